@@ -5,9 +5,12 @@ subsequence has the token at its lowest common node as its min-hash, so all subs
 tokens fall into *compact windows*, one per node whose subtree spans w tokens. One hash function is enough here: a verbatim
 stretch has one min-hash in all texts, so two texts that share ``span`` characters share the signature of a compact window.
 As w is fixed, the nodes wanted are the least tokens of all runs of w tokens, which sliding minima give without the tree.
-Windows whose signature occurs in one text only are dropped; in the others each stretch of ``span`` characters gets a
-128-bit hash, and equal hashes verify the match. Of a run of shared stretches only the left-maximal one makes pairs (the
-characters before it differ, or a text begins), so a stretch inside a run that a third of all texts share makes none.
+
+Signatures of one text only are dropped. A signature of at most ``few`` rows is verified pair by pair: each occurrence
+carries the characters that a stretch of ``span`` characters around it can reach, and the common reach to both sides must
+add up to ``span``. A signature of more rows is never paired: each stretch around it becomes a 128-bit hash, equal hashes
+are shared stretches, and only left-maximal ones (different characters before them, or the start of a text) make pairs, so
+a stretch in the middle of a passage that a third of all texts hold makes none, and every pair made is in the result.
 
 Scale: one narrow pass over all texts, a shuffle of (signature, text hash), one pass over candidates only. Copies are
 represented by one text and expanded at the end. Groups are joined, never collected.
@@ -24,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPAN, GRAM = 160, 80
+SPAN, GRAM, FEW = 160, 80, 32
 BATCH_CHARS = 1 << 21
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -104,14 +107,38 @@ def signatures(texts: list[str], span: int, gram: int) -> tuple[np.ndarray, np.n
     return np.concatenate(which), np.concatenate(found)
 
 
-def stretches(text: str, shared: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, hash, hash, code before or -1) of each stretch of ``span`` characters whose signature is in ``shared``."""
+def _lcp(a: str, b: str) -> int:
+    """The length of the longest common prefix."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    lo, hi = 0, n  # a[:lo] is common, a[:hi] isn't
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        lo, hi = (mid, hi) if a[lo:mid] == b[lo:mid] else (lo, mid)
+    return lo
+
+
+def occurrences(text: str, shared: np.ndarray, span: int, gram: int) -> dict[tuple[int, str, str], list[int]]:
+    """(signature, up to span - gram characters before it in reverse, up to span from it) -> places of the signatures in ``shared``."""
+    tokens = window_hashes(_codes(text), gram)
+    out: dict[tuple[int, str, str], list[int]] = {}
+    reach = span - gram
+    for p in np.flatnonzero(np.isin(tokens, shared)).tolist():
+        out.setdefault((int(tokens[p].view(np.int64)), text[max(0, p - reach) : p][::-1], text[p : p + span]), []).append(p)
+    return out
+
+
+def stretches(text: str, shared: np.ndarray, span: int, gram: int) -> dict[tuple[int, int, int], list[int]]:
+    """(hash, hash, code before or -1) -> starts of the stretches of ``span`` characters whose signature is in ``shared``."""
     codes = _codes(text)
-    least = sliding_min(window_hashes(codes, gram), span - gram + 1)
-    at = np.flatnonzero(np.isin(least, shared))
+    at = np.flatnonzero(np.isin(sliding_min(window_hashes(codes, gram), span - gram + 1), shared))
     before = np.where(at > 0, codes[at - 1].astype(np.int64), -1)
-    one, two = (window_hashes(codes, span, b) for b in BASES)
-    return at, one[at], two[at], before
+    one, two = (window_hashes(codes, span, b)[at].view(np.int64) for b in BASES)
+    out: dict[tuple[int, int, int], list[int]] = {}
+    for key, p in zip(zip(one.tolist(), two.tolist(), before.tolist()), at.tolist()):
+        out.setdefault(key, []).append(p)
+    return out
 
 
 class SharedSpans:
@@ -121,46 +148,74 @@ class SharedSpans:
     should be unique. Other columns are ignored.
     """
 
-    def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM):
-        self.span, self.gram = span, gram
+    def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM, few: int = FEW):
+        self.span, self.gram, self.few = span, gram, few
         docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         self.ids = docs.select("doc_id")
         self.docs = docs.filter(F.length("text") >= span).withColumn("uid", F.xxhash64("text"))
         self.members = self.docs.select("doc_id", "uid")
-        self.windows = self._windows().persist(StorageLevel.DISK_ONLY)
+        self.found = self._found().persist(StorageLevel.DISK_ONLY)
 
-    def _windows(self) -> DataFrame:
-        span, gram = self.span, self.gram
+    def _found(self) -> DataFrame:
+        """uid, sig, left, right, h2, before, ats: occurrences of signatures, with left and right, and stretches, with h2 and before."""
+        span, gram, few = self.span, self.gram, self.few
 
         def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 which, found = signatures(b.column(1).to_pylist(), span, gram)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(which)), pa.array(found.view(np.int64))], ["uid", "sig"])
 
-        def hash_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for uid, text, shared in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                    at, one, two, before = stretches(text, shared.values.to_numpy().view(np.uint64), span, gram)
-                    arrays = [pa.array(np.full(len(at), uid)), pa.array(at.astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(before.astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays(arrays, ["uid", "at", "h1", "h2", "before"])
-
-        signed = self.docs.select("uid", "text").mapInArrow(sign, "uid long, sig long").persist(StorageLevel.DISK_ONLY)
-        common = signed.groupBy("sig").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).filter("lo <> hi").select("sig")
-        per_text = signed.join(common, "sig").groupBy("uid").agg(F.collect_set("sig").alias("shared"))
-        chosen = self.members.groupBy("uid").agg(F.min("doc_id").alias("rep")).join(per_text, "uid").select("rep", "shared")
-        work = self.docs.join(chosen, self.docs["doc_id"] == chosen["rep"]).select("uid", "text", "shared")
-        return work.mapInArrow(hash_stretches, "uid long, at int, h1 long, h2 long, before int")
+                rows = []
+                for uid, text, shared, hot in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+                    sigs, hot = shared.values.to_numpy().view(np.uint64), hot.values.to_numpy(zero_copy_only=False).astype(bool)
+                    if not hot.all():
+                        rows += [(uid, sig, left, right, None, None, ats) for (sig, left, right), ats in occurrences(text, sigs[~hot], span, gram).items()]
+                    if hot.any():
+                        rows += [(uid, h1, None, None, h2, before, ats) for (h1, h2, before), ats in stretches(text, sigs[hot], span, gram).items()]
+                columns = list(zip(*rows)) or [()] * 7
+                types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["uid", "sig", "left", "right", "h2", "before", "ats"])
+
+        signed = self.docs.select("uid", "text").mapInArrow(sign, "uid long, sig long")
+        common = signed.groupBy("sig").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("sig", (F.col("n") > few).alias("hot"))
+        per_text = signed.join(common, "sig").groupBy("uid").agg(F.collect_set(F.struct("sig", "hot")).alias("shared"))
+        chosen = self.members.groupBy("uid").agg(F.min("doc_id").alias("rep")).join(per_text, "uid").select("rep", F.col("shared.sig").alias("sigs"), F.col("shared.hot").alias("hot"))
+        work = self.docs.join(chosen, self.docs["doc_id"] == chosen["rep"]).select("uid", "text", "sigs", "hot")
+        return work.mapInArrow(locate, "uid long, sig long, left string, right string, h2 long, before int, ats array<int>")
+
+    def _verified(self) -> DataFrame:
+        """a, b, at_a, at_b, back, length: pairs of occurrences whose common reach is at least ``span``."""
+        span = self.span
+        few = self.found.filter("left IS NOT NULL").select("uid", "sig", "left", "right", "ats")
+        a, b = (few.select("sig", *(F.col(c).alias(f"{c}_{x}") for c in ("uid", "left", "right", "ats"))) for x in "ab")
+        met = a.join(b, "sig").filter("uid_a < uid_b").select("uid_a", "uid_b", "left_a", "left_b", "right_a", "right_b", "ats_a", "ats_b")
+
+        def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in batches:
+                rows = []
+                for ua, ub, la, lb, ra, rb, xa, xb in zip(*(c.to_pylist() for c in t.columns)):
+                    back = _lcp(la, lb)
+                    if back + (on := _lcp(ra, rb)) >= span:
+                        rows.append((ua, ub, xa, xb, back, back + on))
+                columns = list(zip(*rows)) or [()] * 6
+                types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["a", "b", "at_a", "at_b", "back", "length"])
+
+        return met.mapInArrow(verify, "a long, b long, at_a array<int>, at_b array<int>, back int, length int")
 
     def text_pairs(self) -> DataFrame:
         """uid_a < uid_b of different texts that share a stretch."""
-        w = self.windows
-        keys = w.groupBy("h1", "h2").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.min("before").alias("b0"), F.max("before").alias("b1"))
+        many = self.found.filter("h2 IS NOT NULL").select("uid", F.col("sig").alias("h1"), "h2", "before")
+        keys = many.groupBy("h1", "h2").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.min("before").alias("b0"), F.max("before").alias("b1"))
         keys = keys.filter("lo <> hi AND (b0 <> b1 OR b0 = -1)").select("h1", "h2")
-        left = w.join(keys, ["h1", "h2"], "left_semi").select("h1", "h2", "uid", "before")
-        a, b = left.alias("a"), left.alias("b")
+        maximal = many.join(keys, ["h1", "h2"], "left_semi")
+        a, b = maximal.alias("a"), maximal.alias("b")
         same = (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2")) & (F.col("a.uid") < F.col("b.uid"))
         open_left = (F.col("a.before") != F.col("b.before")) | (F.col("a.before") == -1)
-        return a.join(b, same & open_left).select(F.col("a.uid").alias("uid_a"), F.col("b.uid").alias("uid_b")).distinct()
+        hot = a.join(b, same & open_left).select(F.col("a.uid").alias("uid_a"), F.col("b.uid").alias("uid_b"))
+        return self._verified().select(F.col("a").alias("uid_a"), F.col("b").alias("uid_b")).unionByName(hot).distinct()
 
     def pairs(self) -> DataFrame:
         """doc_id_a < doc_id_b of all different documents that share a stretch, copies included."""
@@ -173,15 +228,19 @@ class SharedSpans:
         return across.select("x", "y").unionByName(within.select("x", "y")).select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b"))
 
     def shared_chars(self) -> DataFrame:
-        """doc_id, n_chars, n_shared: how many characters of each document lie in a stretch that another document holds too."""
+        """doc_id, n_shared: how many characters of each document lie in a stretch that another document holds too."""
         span = self.span
+        few = self._verified()
+        sides = (few.select(F.col(x).alias("uid"), F.explode(f"at_{x}").alias("at"), "back", "length").select("uid", (F.col("at") - F.col("back")).alias("lo"), "length") for x in "ab")
+        one, two = (s.select("uid", "lo", (F.col("lo") + F.col("length")).alias("hi")) for s in sides)
+        many = self.found.filter("h2 IS NOT NULL").select("uid", F.col("sig").alias("h1"), "h2", "ats")
+        keys = many.groupBy("h1", "h2").agg(F.min("uid").alias("u0"), F.max("uid").alias("u1")).filter("u0 <> u1").select("h1", "h2")
+        three = many.join(keys, ["h1", "h2"], "left_semi").select("uid", F.explode("ats").alias("lo")).select("uid", "lo", (F.col("lo") + span).alias("hi"))
+        spans = one.unionByName(two).unionByName(three).groupBy("uid", "lo").agg(F.max("hi").alias("hi")).groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
+        empty = F.struct(F.lit(0).alias("end"), F.lit(0).alias("sum"))
+        add = lambda s, x: F.struct(F.greatest(s["end"], x["hi"]).alias("end"), (s["sum"] + F.greatest(F.lit(0), x["hi"] - F.greatest(s["end"], x["lo"]))).alias("sum"))
+        covered = spans.select("uid", F.aggregate("spans", empty, add)["sum"].alias("covered"))
         sizes = self.members.groupBy("uid").agg(F.count("*").alias("copies"))
-        keys = self.windows.groupBy("h1", "h2").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).filter("lo <> hi").select("h1", "h2")
-        starts = self.windows.join(keys, ["h1", "h2"], "left_semi").groupBy("uid").agg(F.sort_array(F.collect_set("at")).alias("starts"))
-        # each start covers up to span characters, less where the next start is nearer
-        gaps = F.zip_with(F.slice("starts", 1, F.size("starts") - 1), F.slice("starts", 2, F.size("starts") - 1), lambda x, y: F.least(y - x, F.lit(span)))
-        covered = starts.select("uid", (F.aggregate(gaps, F.lit(0), lambda s, x: s + x) + span).alias("covered"))
-        lengths = self.docs.select("doc_id", "uid", F.length("text").alias("n"))
-        joined = lengths.join(sizes, "uid").join(covered, "uid", "left")
+        joined = self.docs.select("doc_id", "uid", F.length("text").alias("n")).join(sizes, "uid").join(covered, "uid", "left")
         shared = joined.select("doc_id", F.when(F.col("copies") > 1, F.col("n")).otherwise(F.coalesce("covered", F.lit(0))).alias("n_shared"))
         return self.ids.join(shared, "doc_id", "left").select("doc_id", F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared"))
