@@ -59,21 +59,20 @@ def fill_containers(sizes: DataFrame, n_rows: int, capacity: int = CAPACITY, sha
     """
     shards = max(1, -(-n_rows // shard_items))
     n, full = F.col("n_tokens"), F.floor(F.col("n_tokens") / capacity).cast("int")
-    whole = (
-        sizes.filter(n >= capacity)
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), full - 1)))
-        .select("doc_id", "piece", F.lit(capacity).cast("long").alias("n_tokens"), F.concat_ws("-", F.lit("full"), "doc_id", "piece").alias("container"))
-    )
-    empty = sizes.filter(n == 0).select("doc_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast("string").alias("container"))
-    items = sizes.filter(n % capacity > 0).select(
-        "doc_id", full.alias("piece"), (n % capacity).alias("n_tokens"), F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
-    )
+    whole = F.transform(F.when(full > 0, F.sequence(F.lit(0), full - 1)).otherwise(F.array().cast("array<int>")), lambda k: F.struct(k.alias("piece"), F.lit(capacity).cast("long").alias("n")))
+    rest = F.when((n % capacity > 0) | (n == 0), F.array(F.struct(full.alias("piece"), (n % capacity).cast("long").alias("n")))).otherwise(F.array().cast("array<struct<piece:int,n:bigint>>"))
+    pieces = sizes.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"), F.explode(F.concat(whole, rest)).alias("p"))
 
     def place(t: pa.Table) -> pa.Table:
         t = t.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
-        boxes = pack(t.column("n_tokens").to_numpy(), capacity)
+        ids, places, tokens = (t.column(c).to_numpy() for c in ("doc_id", "piece", "n_tokens"))
         shard = t.column("shard")[0].as_py()
-        return t.select(["doc_id", "piece", "n_tokens"]).append_column("container", pa.array([f"{shard}-{b}" for b in boxes], pa.string()))
+        names = np.array([None] * len(t), dtype=object)
+        for k in np.flatnonzero(tokens == capacity).tolist():
+            names[k] = f"full-{ids[k]}-{places[k]}"
+        items = (tokens > 0) & (tokens < capacity)
+        names[items] = [f"{shard}-{b}" for b in pack(tokens[items], capacity).tolist()]
+        return t.select(["doc_id", "piece", "n_tokens"]).append_column("container", pa.array(names, pa.string()))
 
-    placed = items.groupBy("shard").applyInArrow(place, "doc_id long, piece int, n_tokens long, container string")
-    return placed.unionByName(whole).unionByName(empty)
+    rows = pieces.select("doc_id", "shard", F.col("p.piece").alias("piece"), F.col("p.n").alias("n_tokens"))
+    return rows.groupBy("shard").applyInArrow(place, "doc_id long, piece int, n_tokens long, container string")
