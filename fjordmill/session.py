@@ -4,12 +4,32 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever they run; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="fjordmill-")) / "fjordmill.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The parquet table ``name`` below ``root``."""
+    ship_package(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
