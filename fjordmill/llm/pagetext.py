@@ -68,7 +68,7 @@ MENU = [
     *"nyheter|innenriks|utenriks|meninger|debatt|været|eavis|podkast|nyhetsbrev|om oss|logg inn|søk|meny|abonner".split("|"),
     *"startsida|inrikes|utrikes|väder|e-tidning|poddar|logga in|sök|prenumerera|ekonomi".split("|"),
     *"startseite|nachrichten|inland|ausland|meinung|wetter|e-paper|über uns|anmelden|suche|menü|abo|wirtschaft|politik".split("|"),
-    *"accueil|actualités|france|monde|sports|opinions|météo|le journal|journal du jour|lettres|qui sommes-nous|connexion|rechercher|s'abonner|économie|balados|à propos".split("|"),
+    *"accueil|actualités|france|monde|sports|opinions|météo|le journal|journal|journal du jour|lettres|qui sommes-nous|connexion|rechercher|s'abonner|économie|balados|à propos".split("|"),
 ]
 
 # Lines of page furniture, by kind; matched at the start of a folded line.
@@ -82,7 +82,7 @@ FURNITURE = [
     r"(?:send|skicka|envoyer|email)\b.{0,25}\b(?:ven|venn|vän|friend|ami|freunde)", r"artikel an freunde", r"(?:gem|lagre|spara|save|für)\b.{0,5}\b(?:til senere|till senare|for later|später merken)", r"lire plus tard", r"(?:giv|pass|gi|ge|faire)\b.{0,25}\b(?:videre|vidare|on|passer|suivre)$", r"artikel weitergeben", r"faites (?:suivre|passer|circuler).{0,30}$", r"(?:print|udskriv|skriv ut|drucken|imprimer)\b.{0,20}$",
     # teasers
     r"(?:seneste|siste|senaste) nyt+$", r"(?:latest|neueste meldungen|dernières nouvelles|derniers articles)\W*$", r"(?:redaktionen|redaksjonen|redaktionen) (?:anbefaler|tipsar|tipser|rekommenderar)", r"picked by our editors", r"empfehlungen der redaktion", r"(?:le|les) choix de la rédaction", r"(?:andre|andra|others?|andere|d.autres)\b.{0,12}\b(?:læser|leser|läser|read|lesen|lisent)\b", r"à lire (?:aussi|également|ailleurs)\b", r"(?:mest|most|gerade viel|les plus)\b.{0,6}\b(?:læste|lest|lästa?|läst|read|gelesen|lus)\b",
-    r"(?:læs|les|läs|read|lies|lesen sie|lisez|se|see|siehe|voir) (?:også|også|också|also|more|auch|aussi|mer|mere)\b", r"also (?:read|on)\b", r"(?:relaterede|related|mer om|more on|mehr zum)\b.{0,30}$",
+    r"(?:læs|les|läs|read|lies|lesen sie|lisez|se|see|siehe|voir) (?:også|också|även|also|more|auch|aussi|mer|mere)\b", r"also (?:read|on)\b", r"(?:relater\w*|related|verwandt\w*|liés?|mer om|more on|mehr zum)\b.{0,30}$",
     # advertisement and newsletters
     r"(?:annonce|reklame|annonse|annons|reklam|advertisement|sponsored|sponsoreret|sponset|sponsrad|anzeige|werbung|publicité|sponsorisé|annonsørinnhold)\W*$", r".{0,40}\b(?:fortsætter|fortsetter|fortsätter|continues|fortgesetzt|suite)\b.{0,20}\b(?:annoncen|annonsen|advertisement|anzeige|publicité)", r".{0,30}nach der anzeige", r"la suite après",
     r"(?:tilmeld|meld|sign up|anmäl|registrer|inscrivez|abonnez|abonnér)\b.{0,40}\b(?:nyhedsbrev\w*|nyhetsbrev\w*|newsletter\w*|lettre\w*)\b", r"newsletter bestellen", r"(?:få|get|recevez|hent)\b.{1,60}\b(?:indbakke|innboksen|inkorgen|inbox|matin|postfach|boîte)\b", r".{1,50}\b(?:im postfach|dans votre boîte)\b", r"(?:s.inscrire|recevoir|recevez) .{0,40}lettre",

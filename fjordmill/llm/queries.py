@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fjordmill.llm import encode, packing, repeated_lines, residue, spans
+from fjordmill.llm import encode, mainbody, packing, repeated_lines, residue, spans
 from fjordmill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,14 @@ def p4_clean(spark: SparkSession, root: str) -> DataFrame:
     return residue.without_residue(table(spark, root, "scraped_cache"))
 
 
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return mainbody.furniture_lines(table(spark, root, "scraped_cache"))
+
+
+def p6_bodies(spark: SparkSession, root: str) -> DataFrame:
+    return mainbody.main_bodies(table(spark, root, "scraped_cache"))
+
+
 def p8_ids(spark: SparkSession, root: str) -> DataFrame:
     return encode.encode_texts(table(spark, root, "documents"))
 
@@ -50,7 +58,7 @@ def p10_shared(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [p2_found, p2_clean, p2_sites, p4_found, p4_clean, p8_ids, p9_containers, p10_found, p10_shared]
+    found = [p2_found, p2_clean, p2_sites, p4_found, p4_clean, p6_found, p6_bodies, p8_ids, p9_containers, p10_found, p10_shared]
     return {f.__name__: f for f in found}
 
 
