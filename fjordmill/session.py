@@ -7,7 +7,9 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _shipped: set[str] = set()
@@ -33,6 +35,13 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def broadcast_if_small(df: DataFrame, limit: int, measure: Column | None = None) -> DataFrame:
+    """df, kept on disk, with a broadcast hint if its rows (or the sum of ``measure``) are at most ``limit``; else as it is."""
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    size = kept.agg(F.sum(measure) if measure is not None else F.count("*")).first()[0] or 0
+    return F.broadcast(kept) if size <= limit else kept
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``; only where it is unset, a folder of our own (local tests)."""
     have = spark.sparkContext.getCheckpointDir()
