@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fjordmill.llm import encode, mainbody, packing, repeated_lines, residue, spans
+from fjordmill.llm import encode, language, mainbody, packing, repeated_lines, residue, spans, truncation
 from fjordmill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    return truncation.cut_fields(table(spark, root, "scraped_cache")).select("row_id", "field")
+
+
+def p1_rates(spark: SparkSession, root: str) -> DataFrame:
+    return truncation.truncation_rates(table(spark, root, "scraped_cache"))
+
+
+def p1_spikes(spark: SparkSession, root: str) -> DataFrame:
+    return truncation.length_spikes(truncation.text_fields(table(spark, root, "scraped_cache")))
+
+
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return repeated_lines.repeated_places(table(spark, root, "sample_old_facebook"))
 
@@ -24,6 +36,14 @@ def p2_sites(spark: SparkSession, root: str) -> DataFrame:
     return repeated_lines.site_report(table(spark, root, "sample_old_facebook"))
 
 
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    return language.mislabelled_segments(table(spark, root, "scraped_cache"))
+
+
+def p3_segments(spark: SparkSession, root: str) -> DataFrame:
+    return language.language_segments(table(spark, root, "scraped_cache"))
+
+
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return residue.residue_found(table(spark, root, "scraped_cache"))
 
@@ -58,7 +78,7 @@ def p10_shared(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [p2_found, p2_clean, p2_sites, p4_found, p4_clean, p6_found, p6_bodies, p8_ids, p9_containers, p10_found, p10_shared]
+    found = [p1_found, p1_rates, p1_spikes, p2_found, p2_clean, p2_sites, p3_found, p3_segments, p4_found, p4_clean, p6_found, p6_bodies, p8_ids, p9_containers, p10_found, p10_shared]
     return {f.__name__: f for f in found}
 
 

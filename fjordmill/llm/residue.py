@@ -1,12 +1,13 @@
 """Template residue, filler and error-page text.
 
 Three detectors: placeholders that no engine filled, filler (pseudo-Latin runs, stand-in lines, a last line that repeats
-itself) and whole responses of notices. A response is a notice if every fragment of it is one, is neutral (references, the
-site's name) or is furniture, and one is a notice. Notices that the wordings miss are found by combined host evidence: a
+itself) and whole responses of notices. A response is a notice if every fragment of it is one or is neutral (references, the
+site's name), and one is a notice. Notices that the wordings miss are found by combined host evidence: a
 response of few words whose folded text comes from several hosts and shares no long word with its title or address.
 
 Scale: all detectors are JVM expressions over single rows; the host evidence is one aggregation over the hashes of short
-responses, and its result, texts that several hosts answer with, is joined by hash.
+responses, and its result, texts that several hosts answer with, is joined by hash; it is broadcast only after a check of
+its size.
 
 Nulls and blanks are never found. Missing titles and addresses share no words with anything.
 """
@@ -17,18 +18,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fjordmill.llm.pagetext import FILLER, FURNITURE, LATIN, NEUTRAL, NOTICES, PLACEHOLDERS, SEPARATED_MENU, joined
+from fjordmill.session import broadcast_if_small
 
 LOW_INFORMATION_WORDS = 60
 EVIDENCE_HOSTS = 3
-LATIN_WORD = "(?:" + "|".join(sorted(set(LATIN), key=len, reverse=True)) + ")"
-LATIN_RUN = rf"(?i)\b{LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4,}}\b"
+BROADCAST_KEYS = 1_000_000
+BY_LETTER = {a: sorted({w[1:] for w in LATIN if w[0] == a}, key=len, reverse=True) for a in sorted({w[0] for w in LATIN})}
+LATIN_WORD = "(?:" + "|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in BY_LETTER.items()) + r")\b"
+LATIN_RUN = rf"\b{LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4}}"
 PLACEHOLDER = r"(?=[{$#<%\[@*_])" + joined(PLACEHOLDERS)
 FILLER_LINE = rf"(?im)^\W*{joined(FILLER)}\W*$"
 LAST_TWICE = r"(?:^|\n)([^\n ]+ [^\n]{3,100})\n\1\s*$"
-NOTICE = rf"(?i){joined(NOTICES)}"
-NEUTRAL_LINE = rf"(?i){joined(NEUTRAL)}"
-FURNITURE_LINE = rf"(?i)^\W*(?:{joined(FURNITURE)}|{SEPARATED_MENU}$)"
+NOTICE = joined(NOTICES)
+NEUTRAL_LINE = joined(NEUTRAL)
+FURNITURE_LINE = rf"^\W*(?:{joined(FURNITURE)}|{SEPARATED_MENU}$)"
 SPLIT = r"\n+| [–—] | - |(?<=[.!?])\s+"
+FIRST_FRAGMENT = r"^\s*((?:(?! [–—-] |[.!?]\s)[^\n])*+[.!?]?)"
 
 
 def host(*urls: str) -> Column:
@@ -43,18 +48,21 @@ def holds_placeholder(c: Column) -> Column:
 
 def holds_filler(c: Column) -> Column:
     """Pseudo-Latin of five words in a row, a stand-in line, or two equal last lines that aren't furniture."""
-    twice = c.rlike(LAST_TWICE) & ~F.regexp_extract(c, LAST_TWICE, 1).rlike(FURNITURE_LINE)
-    return F.coalesce(c.rlike(LATIN_RUN) | c.rlike(FILLER_LINE) | twice, F.lit(False))
+    twice = c.rlike(LAST_TWICE) & ~F.lower(F.regexp_extract(c, LAST_TWICE, 1)).rlike(FURNITURE_LINE)
+    return F.coalesce(F.lower(c).rlike(LATIN_RUN) | c.rlike(FILLER_LINE) | twice, F.lit(False))
 
 
 def is_notice(c: Column, site: Column) -> Column:
-    """Whether all of a text is a notice; site is the page's host."""
-    bare = F.transform(F.split(F.trim(c), SPLIT), lambda x: F.regexp_replace(x, r"^\s+|[\s.]+$", ""))
+    """Whether all of a text is a notice; site is the page's host. The first fragment is looked at before all others."""
     name = F.regexp_extract(F.coalesce(site, F.lit("")), r"^([^.]+)", 1)
+    stripped = lambda x: F.regexp_replace(x, r"^\s+|[\s.]+$", "")
     a_notice = lambda x: x.rlike(NOTICE)
-    says_nothing = lambda x: (x == "") | x.rlike(NEUTRAL_LINE) | (F.lower(x) == name) | x.rlike(FURNITURE_LINE)
-    fragments = F.forall(bare, lambda x: a_notice(x) | says_nothing(x)) & F.exists(bare, a_notice)
-    return F.coalesce(F.when(F.length(F.trim(c)) > 0, fragments), F.lit(False))
+    says_nothing = lambda x: (x == "") | (x == name) | x.rlike(NEUTRAL_LINE)
+    fits = lambda x: a_notice(x) | says_nothing(x)
+    text = F.lower(F.trim(c))
+    first = stripped(F.regexp_extract(text, FIRST_FRAGMENT, 1))
+    bare = F.transform(F.split(text, SPLIT), stripped)
+    return F.coalesce(F.when((F.length(text) > 0) & fits(first), F.forall(bare, fits) & F.exists(bare, a_notice)), F.lit(False))
 
 
 def folded(c: Column, site: Column) -> Column:
@@ -74,27 +82,33 @@ def host_evidence(df: DataFrame) -> DataFrame:
     about = F.array_union(long_words(F.col("title")), long_words(F.col("original_url")))
     fits = F.arrays_overlap(about, long_words(F.col("content")))
     site = F.col("site")
-    furniture = F.forall(F.split(F.trim("content"), r"\n+"), lambda x: x.rlike(FURNITURE_LINE) | ~x.rlike(r"\p{L}{2}"))
+    furniture = F.forall(F.split(F.lower(F.trim("content")), r"\n+"), lambda x: x.rlike(FURNITURE_LINE) | ~x.rlike(r"\p{L}{2}"))
     keyed = df.filter(short & (F.trim("content") != "") & ~F.coalesce(fits, F.lit(False)) & ~furniture & F.col("site").isNotNull())
     pairs = keyed.select(F.xxhash64(folded(F.col("content"), site)).alias("key"), "site").distinct()
     return pairs.groupBy("key").agg(F.count("*").alias("hosts")).filter(F.col("hosts") >= EVIDENCE_HOSTS).select("key")
 
 
-def flag_residue(df: DataFrame) -> DataFrame:
-    """df's row_id and the columns bad_content, bad_snippet, bad_error; one row per row of df.
+def with_residue_flag(df: DataFrame) -> DataFrame:
+    """df with site, the page's host, and bad_content, whether its content is residue.
 
-    df has row_id, original_url, resolved_url, title, content, paywall_snippet and error.
+    df has original_url, resolved_url, title and content; columns of these two names are replaced.
     """
-    rows = df.select("row_id", "title", "original_url", "content", "paywall_snippet", "error", host("resolved_url", "original_url").alias("site"))
-    site = F.col("site")
-    bad = lambda c: holds_placeholder(c) | holds_filler(c) | is_notice(c, site)
-    evidence = host_evidence(rows).withColumnRenamed("key", "evidence")
+    rows = df.withColumn("site", host("resolved_url", "original_url"))
+    c, site = F.col("content"), F.col("site")
     short = F.size(F.split(F.trim("content"), r"\s+")) <= LOW_INFORMATION_WORDS
-    keyed = rows.withColumn("key", F.when(short, F.xxhash64(folded(F.col("content"), site))))
-    marked = keyed.select(
-        "row_id", "key", bad(F.col("content")).alias("by_text"), bad(F.col("paywall_snippet")).alias("bad_snippet"), holds_placeholder(F.col("error")).alias("bad_error")
-    ).join(evidence, F.col("key") == F.col("evidence"), "left")
-    return marked.select("row_id", (F.col("by_text") | F.col("evidence").isNotNull()).alias("bad_content"), "bad_snippet", "bad_error")
+    by_text = holds_placeholder(c) | holds_filler(c) | is_notice(c, site)
+    evidence = broadcast_if_small(host_evidence(rows).withColumnRenamed("key", "_evidence"), BROADCAST_KEYS)
+    # long contents have a key of their own that spreads them, should the evidence be too large to broadcast
+    keyed = rows.withColumn("_key", F.when(short, F.xxhash64(folded(c, site))).otherwise(F.xxhash64(F.lit("long"), c))).withColumn("_text", by_text)
+    joined_rows = keyed.join(evidence, F.col("_key") == F.col("_evidence"), "left")
+    return joined_rows.withColumn("bad_content", F.col("_text") | F.col("_evidence").isNotNull()).drop("_key", "_text", "_evidence")
+
+
+def flag_residue(df: DataFrame) -> DataFrame:
+    """df with bad_content, bad_snippet and bad_error; one row per row of df."""
+    c, e = F.col("paywall_snippet"), F.col("error")
+    snippet = holds_placeholder(c) | holds_filler(c) | is_notice(c, F.col("site"))
+    return with_residue_flag(df).withColumns({"bad_snippet": snippet, "bad_error": holds_placeholder(e)})
 
 
 def residue_found(df: DataFrame) -> DataFrame:
@@ -108,7 +122,7 @@ def residue_found(df: DataFrame) -> DataFrame:
 def without_residue(df: DataFrame) -> DataFrame:
     """df with null in the fields found."""
     cols = df.columns
-    flags = flag_residue(df)
-    joined_rows = df.join(flags, "row_id", "left")
+    flags = flag_residue(df.withColumns({f"_own_{c}": F.col(c) for c in cols if c in ("site", "bad_content", "bad_snippet", "bad_error")}))
     flag = {"content": "bad_content", "paywall_snippet": "bad_snippet", "error": "bad_error"}
-    return joined_rows.select(*(F.when(~F.coalesce(F.col(flag[c]), F.lit(False)), F.col(c)).alias(c) if c in flag else F.col(c) for c in cols))
+    own = lambda c: F.col(f"_own_{c}" if f"_own_{c}" in flags.columns else c).alias(c)
+    return flags.select(*(F.when(~F.col(flag[c]), F.col(c)).alias(c) if c in flag else own(c) for c in cols))
