@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fjordmill.plans import core
+from fjordmill.plans import core, report_queries, url_queries
 
-MODULES = [core]
-FLAGSHIP = core.p7_domains
+MODULES = [core, url_queries, report_queries]
+FLAGSHIP = report_queries.a1_metrics
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
