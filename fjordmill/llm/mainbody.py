@@ -19,13 +19,16 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fjordmill.llm.pagetext import FURNITURE, MENU_LINE, NOTICES, SEPARATED_MENU, SUBHEADS, joined
-from fjordmill.llm.residue import flag_residue, host
+from fjordmill.llm.pagetext import FUNCTION_WORDS, FURNITURE, MENU, NOTICES, SEPARATED_MENU, SUBHEADS, joined
+from fjordmill.llm.residue import host, with_residue_flag
+from fjordmill.session import broadcast_if_small
 
 TEMPLATE_PAGES, TEMPLATE_SHARE = 3, 0.01
+BROADCAST_LINES = 1_000_000
 
 PARAGRAPH, FURNISHED, TEASERS, SUBHEAD, MARK, BULLET, SENTENCE, SHORT = range(8)
 ENDS = re.compile(r"[.!?…:;][»”“\"')\]]*\W*$|[»”“]\W*$")
@@ -39,6 +42,7 @@ MARKS = re.compile(
     r"|[\d\s|;,.%:/–-]+)"
 )
 LABELLED = re.compile(r"[^\W\d_]+(?: [^\W\d_]+){0,2} ?: +\S")
+DIGITS = re.compile("[0-9]+")
 BULLETS = re.compile(r"(?:[•*·‣▪]|\d{1,2}[.)]|[a-z]\))\s+\S")
 DASHED = re.compile(r"[-–—]\s+\S")
 CLOCKED = re.compile(r"(?:kl\. ?)?\d{1,2}[:.]\d{2}\s+\S")
@@ -54,13 +58,35 @@ TEASER_RE = re.compile(
 SUBHEAD_SET = set(SUBHEADS)
 
 
+def _stems(patterns: list[str]) -> set[str]:
+    """The first four letters of the words in patterns; a line without any of them, other than function words, can't match."""
+    common = {w for words in FUNCTION_WORDS for w in words.split()}
+    return {w[:4] for p in patterns for w in WORD.findall(re.sub(r"\\[a-zA-Z]", " ", p).lower()) if w not in common}
+
+
+HINTS = _stems([*FURNITURE, *NOTICES, TEASER_RE.pattern, *MENU])
+TERMINAL = ".!?»”"
+SPECIAL = "©«‹★☆▲▼►◄■●<>{(["
+
+
 def kind_of(line: str) -> int:
     """The kind of a stripped, non-blank line by itself."""
-    low = line.lower().rstrip(" :.")
+    blanks = line.count(" ")
+    if blanks >= 14 and line[-1] in TERMINAL:
+        return PARAGRAPH
+    low = line.lower()
+    if low.rstrip(" :.") in SUBHEAD_SET:
+        return SUBHEAD
+    stems = {w[:4] for w in low.replace("·", " ").replace("|", " ").replace("/", " ").replace(",", " ").replace(":", " ").replace(".", " ").replace("’", " ").split()}
+    if line[0].isalpha() and HINTS.isdisjoint(stems) and blanks >= 4 and ":" not in line and "»" not in line and "·" not in line and "|" not in line and "/" not in line and "  " not in line:
+        if not line[-1].isalnum() and ENDS.search(line) or INNER_END.search(line):
+            return PARAGRAPH
+        if MARKS.fullmatch(line):
+            return MARK
+        return SENTENCE
+    low = low.rstrip(" :.")
     words = WORD.findall(line)
     ended = bool(ENDS.search(line))
-    if low in SUBHEAD_SET:
-        return SUBHEAD
     if TEASER_RE.match(line) and len(words) <= 8 and not ended:
         return FURNISHED if ":" in line[:-1] else TEASERS
     if FURNITURE_RE.match(line) and not (ended and len(words) >= 8 and not re.match(r"\W*(?:©|få |get |recevez )", line, re.I)):
@@ -99,16 +125,16 @@ class Pages:
             k = self.known[line] = kind_of(line)
         return k
 
-    def main(self, lines: list[str], constant: list[bool] | None = None, title: str | None = None) -> list[bool | None]:
-        """For each line whether it is main body; None for blank lines. constant marks the lines of the host's template."""
+    def main(self, lines: list[str], template: set[int] = frozenset(), title: str | None = None) -> list[bool | None]:
+        """For each line whether it is main body; None for blank lines. template has the line hashes of the host's template."""
         bare = [x.strip() for x in lines]
         kinds = [self.kind(x) if x else -1 for x in bare]
-        constant = constant or [False] * len(lines)
+        constant = lambda k: Templates.has(template, lines[k])
         title = (title or "").lower()
         body = [k for k, x in enumerate(kinds) if x == PARAGRAPH]
         first, last = (body[0], body[-1]) if body else (None, None)
         if first is None:
-            first = next((k for k, x in enumerate(kinds) if x in (SENTENCE, BULLET) and not constant[k]), len(lines))
+            first = next((k for k, x in enumerate(kinds) if x in (SENTENCE, BULLET) and not constant(k)), len(lines))
             last = first
         out: list[bool | None] = []
         in_teasers = after_furniture = False
@@ -116,7 +142,7 @@ class Pages:
             if x == -1:
                 out.append(None)
                 continue
-            const = constant[k]
+            const = x in (BULLET, SENTENCE, SHORT) and constant(k)
             if x == PARAGRAPH:
                 in_teasers = False
                 main = True
@@ -140,10 +166,10 @@ class Pages:
         return out
 
 
-def line_key(c):
-    """The hash of a line for alignment: lower-case, digits masked; null where the line is a paragraph or blank."""
-    t = F.regexp_replace(F.lower(F.trim(c)), "[0-9]+", "0")
-    return F.when((t != "") & ~t.rlike(r"[.!?]\W*$"), F.xxhash64(t))
+def line_keys(c: str):
+    """The hash of each line for alignment: lower-case, digits masked; null for blank lines and lines that end as sentences do."""
+    lines = F.transform(F.split(F.regexp_replace(F.lower(F.col(c)), "[0-9]+", "0"), "\n"), lambda x: F.trim(x))
+    return F.transform(lines, lambda x: F.when((x != "") & ~F.substring(x, -1, 1).isin(".", "!", "?"), F.xxhash64(x)))
 
 
 def templates(rows: DataFrame) -> DataFrame:
@@ -155,26 +181,44 @@ def templates(rows: DataFrame) -> DataFrame:
 
 
 def page_rows(df: DataFrame) -> DataFrame:
-    """row_id, content, title and constant, which marks the lines of the host's template; pages of residue are left out."""
-    good = flag_residue(df).filter("NOT bad_content").select(F.col("row_id").alias("good_id"))
-    rows = df.select(
-        "row_id", "title", "content", host("resolved_url", "original_url").alias("site"), F.xxhash64(F.coalesce("url_hash", "original_url")).alias("page"),
-        F.transform(F.split("content", "\n"), line_key).alias("keys"),
-    )
-    kept = rows.filter("content IS NOT NULL").join(good, F.col("row_id") == F.col("good_id"), "left_semi").drop("page").join(templates(rows), "site", "left")
-    constant = F.transform("keys", lambda x: F.coalesce(F.array_contains("template", x), F.lit(False)))
-    return kept.select("row_id", "content", "title", constant.alias("constant"))
+    """row_id, content, title, site and its template, line hashes; pages of residue are left out.
+
+    The templates are broadcast only after a check of their number of lines; above ``BROADCAST_LINES`` they are joined.
+    """
+    pages = df.select(host("resolved_url", "original_url").alias("site"), F.xxhash64(F.coalesce("url_hash", "original_url")).alias("page"), line_keys("content").alias("keys"))
+    found = broadcast_if_small(templates(pages), BROADCAST_LINES, F.size("template"))
+    rows = with_residue_flag(df.select("row_id", "title", "content", "original_url", "resolved_url").filter("content IS NOT NULL"))
+    return rows.filter("NOT bad_content").join(found, "site", "left").select("row_id", "content", "title", "site", "template")
+
+
+class Templates:
+    """The templates of the sites met so far, to be looked up by line; the hash is that of ``line_keys``."""
+
+    def __init__(self):
+        self.known: dict[str | None, set[int]] = {None: set()}
+
+    def of(self, site: str | None, template: pa.ListScalar) -> set[int]:
+        if site not in self.known:
+            self.known[site] = set(template.values.to_pylist()) if template.is_valid else set()
+        return self.known[site]
+
+    @staticmethod
+    def has(template: set[int], line: str) -> bool:
+        if not template:
+            return False
+        digest = xxhash.xxh64_intdigest(DIGITS.sub("0", line.lower()).strip(" ").encode("utf8", "surrogatepass"), seed=42)
+        return (digest - (1 << 64) if digest >> 63 else digest) in template
 
 
 def furniture_lines(df: DataFrame) -> DataFrame:
     """row_id, line_no (from 1): the non-blank lines of each content that aren't main body. Residue pages are left out."""
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pages = Pages()
+        pages, known = Pages(), Templates()
         for b in batches:
             ids, numbers = [], []
-            for row_id, content, title, constant in zip(*(c.to_pylist() for c in b.columns)):
-                for k, main in enumerate(pages.main(content.split("\n"), constant, title), 1):
+            for row_id, content, title, site, template in zip(*(c.to_pylist() for c in b.columns[:4]), b.column(4)):
+                for k, main in enumerate(pages.main(content.split("\n"), known.of(site, template), title), 1):
                     if main is False:
                         ids.append(row_id)
                         numbers.append(k)
@@ -187,12 +231,12 @@ def main_bodies(df: DataFrame) -> DataFrame:
     """row_id, body: each content's main body. Null contents and residue pages are left out."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pages = Pages()
+        pages, known = Pages(), Templates()
         for b in batches:
             bodies = []
-            for _, content, title, constant in zip(*(c.to_pylist() for c in b.columns)):
+            for _, content, title, site, template in zip(*(c.to_pylist() for c in b.columns[:4]), b.column(4)):
                 lines = content.split("\n")
-                bodies.append("\n".join(x for x, main in zip(lines, pages.main(lines, constant, title)) if main is not False))
+                bodies.append("\n".join(x for x, main in zip(lines, pages.main(lines, known.of(site, template), title)) if main is not False))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bodies, pa.string())], ["row_id", "body"])
 
     return page_rows(df).mapInArrow(extract, "row_id long, body string")

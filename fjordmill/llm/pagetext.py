@@ -98,6 +98,16 @@ FURNITURE = [
 SUBHEADS = "baggrund|bakgrunn|bakgrund|background|hintergrund|le contexte|contexte|det mener parterne|dette mener partene|det tycker båda sidor|what both sides think|was beide seiten meinen|ce que pensent les deux camps|sådan gør du|slik gjør du det|så gör du|how to do it|so geht es|comment faire|spørgsmål og svar|spørsmål og svar|frågor och svar|questions and answers|fragen und antworten|questions et réponses|fakta|facts|fakten|les faits|tidslinje|timeline|konklusion|conclusion|fazit".split("|")
 
 
+# Function words, which say nothing about a line's kind.
+FUNCTION_WORDS = [
+    "og jeg det at en til er som på de med af av for ikke der var har om blev ble hun fra ud ut op opp hvor hvad hva her vil når efter etter også uden uten i et den din du dine",
+    "och att till är inte där hon från upp hur vad när också utan ditt",
+    "and the that to a is as on they with of for not there was has about from out up where what here will when after also in your you an it",
+    "und das ein zu ist wie auf die mit von für nicht da sie aus wo was hier nach auch der den dem im an",
+    "et le que un est comme sur ils avec de pour ne pas il du dans la les des une vous votre aux en",
+]
+
+
 def joined(patterns: list[str]) -> str:
     return "(?:" + "|".join(patterns) + ")"
 

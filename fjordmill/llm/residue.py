@@ -23,17 +23,16 @@ from fjordmill.session import broadcast_if_small
 LOW_INFORMATION_WORDS = 60
 EVIDENCE_HOSTS = 3
 BROADCAST_KEYS = 1_000_000
+NOTICE_CHARS = 300  # a longer fragment is no notice
 BY_LETTER = {a: sorted({w[1:] for w in LATIN if w[0] == a}, key=len, reverse=True) for a in sorted({w[0] for w in LATIN})}
-LATIN_WORD = "(?:" + "|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in BY_LETTER.items()) + r")\b"
+LATIN_WORD = "(?:" + "|".join(f"[{a.upper()}{a}](?:{'|'.join(rest)})" for a, rest in BY_LETTER.items()) + r")\b"
 LATIN_RUN = rf"\b{LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4}}"
 PLACEHOLDER = r"(?=[{$#<%\[@*_])" + joined(PLACEHOLDERS)
 FILLER_LINE = rf"(?im)^\W*{joined(FILLER)}\W*$"
-LAST_TWICE = r"(?:^|\n)([^\n ]+ [^\n]{3,100})\n\1\s*$"
 NOTICE = joined(NOTICES)
 NEUTRAL_LINE = joined(NEUTRAL)
 FURNITURE_LINE = rf"^\W*(?:{joined(FURNITURE)}|{SEPARATED_MENU}$)"
 SPLIT = r"\n+| [–—] | - |(?<=[.!?])\s+"
-FIRST_FRAGMENT = r"^\s*((?:(?! [–—-] |[.!?]\s)[^\n])*+[.!?]?)"
 
 
 def host(*urls: str) -> Column:
@@ -48,19 +47,21 @@ def holds_placeholder(c: Column) -> Column:
 
 def holds_filler(c: Column) -> Column:
     """Pseudo-Latin of five words in a row, a stand-in line, or two equal last lines that aren't furniture."""
-    twice = c.rlike(LAST_TWICE) & ~F.lower(F.regexp_extract(c, LAST_TWICE, 1)).rlike(FURNITURE_LINE)
-    return F.coalesce(F.lower(c).rlike(LATIN_RUN) | c.rlike(FILLER_LINE) | twice, F.lit(False))
+    text = F.rtrim(c)
+    last = F.substring_index(text, "\n", -1)
+    twice = (F.substring_index(text, "\n", -2) == F.concat_ws("\n", last, last)) & last.contains(" ") & ~F.lower(last).rlike(FURNITURE_LINE)
+    return F.coalesce(c.rlike(LATIN_RUN) | c.rlike(FILLER_LINE) | twice, F.lit(False))
 
 
 def is_notice(c: Column, site: Column) -> Column:
     """Whether all of a text is a notice; site is the page's host. The first fragment is looked at before all others."""
     name = F.regexp_extract(F.coalesce(site, F.lit("")), r"^([^.]+)", 1)
     stripped = lambda x: F.regexp_replace(x, r"^\s+|[\s.]+$", "")
-    a_notice = lambda x: x.rlike(NOTICE)
+    a_notice = lambda x: (F.length(x) <= NOTICE_CHARS) & x.rlike(NOTICE)
     says_nothing = lambda x: (x == "") | (x == name) | x.rlike(NEUTRAL_LINE)
     fits = lambda x: a_notice(x) | says_nothing(x)
     text = F.lower(F.trim(c))
-    first = stripped(F.regexp_extract(text, FIRST_FRAGMENT, 1))
+    first = stripped(F.split(F.substring_index(text, "\n", 1), SPLIT, 2)[0])
     bare = F.transform(F.split(text, SPLIT), stripped)
     return F.coalesce(F.when((F.length(text) > 0) & fits(first), F.forall(bare, fits) & F.exists(bare, a_notice)), F.lit(False))
 
