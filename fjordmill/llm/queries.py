@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
-    return truncation.cut_fields(table(spark, root, "scraped_cache")).select("row_id", "field")
+    return truncation.cut_at_limits(table(spark, root, "scraped_cache")).select("row_id", "field")
 
 
 def p1_rates(spark: SparkSession, root: str) -> DataFrame:

@@ -2,131 +2,250 @@
 
 1. Length histograms per source and column, in characters and in bytes over distinct texts, show spikes at limits: a
    length is a spike if it has at least ``SPIKE_LEAST`` texts, ``SPIKE_TIMES`` the mean of the lengths around it and six
-   standard deviations of a Poisson count more than it. A text of
-   a spike length is suspect, as is any text that doesn't end as a sentence does; both are judged by 2 and 3.
-2. Other texts are cut if they end inside markup, an entity or a broken character, or with a mark (dots, an ellipsis in
-   brackets) after something other than a finished sentence.
+   standard deviations of a Poisson count more than it. A text of a spike length is suspect, as is any text that doesn't
+   end as a sentence does; both are judged by 2 and 3.
+2. A text is cut if it ends inside markup, an entity or a broken character, or with a mark (dots, an ellipsis in brackets)
+   after something other than a finished sentence.
 3. What is left ends without punctuation: a heading, list, name, link or furniture, or an unmarked cut. The last fragment
    is held against the complete units of the corpus (finished sentences, and lines that another line follows): it is
-   whole if its skeleton (short words as they are, long words, names and numbers by kind) is that of complete units, and its
-   last word ends units. A fragment after a finished sentence in its line must be like the unfinished ends of such lines.
+   whole if its skeleton (names and numbers by kind, and in all but short units words of four letters or more too) is that
+   of complete units, and its last word ends units. A fragment after a finished sentence in its line must be like the
+   unfinished ends of such lines.
 
-Notices and filler don't count. Scale: units are hashed and counted by one aggregation each for skeletons and last words,
-combined on the map side; only texts without an end (a minor part) are joined to them, by hash. Nulls, blanks and texts
-without letters at their end are whole.
+Notices and filler don't count. Scale: units are counted in each task before the shuffle, in a table that is flushed when
+it is full; only their hashes travel. Texts without an end (a minor part) are joined to the counts by hash. Nulls, blanks
+and texts without letters at their end are whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fjordmill.llm.residue import FILLER_LINE, LATIN_RUN, PLACEHOLDER, host, is_notice
+from fjordmill.llm.pagetext import FILLER, LATIN, NEUTRAL, NOTICES, PLACEHOLDERS, joined
+from fjordmill.llm.residue import NOTICE_CHARS, SPLIT, host
 
 SPIKE_LEAST, SPIKE_TIMES, SPIKE_REACH = 8, 4.0, 20
 UNIT_LEAST = 2
-FINISHED = r"[.!?][^\p{L}\p{N}<&]*$"
-MARK = r"\s*(?:…|\.\.\.|\[(?:…|\.\.\.)\]|\((?:…|\.\.\.)\))\s*$"
-IN_MARKUP = r"<[a-zA-Z/!?][^<>]{0,200}$|<$|&[#a-zA-Z][#a-zA-Z0-9]{0,7}$|&$"
-BROKEN = "�$"
-LINK = r"(?:https?://|www\.)\S+$"
-SENTENCE_BREAK = r"(?<=[^0-9\n][.!?…])[»”“\"’)\]]*\s+"
 SHORT_BLANKS = 4
+FLUSH = 300_000
+UNFINISHED, MARKED, BROKEN = "unfinished", "marked", "broken"
+
+MARK = re.compile(r"\s*(?:…|\.\.\.|\[(?:…|\.\.\.)\]|\((?:…|\.\.\.)\))$")
+IN_MARKUP = re.compile(r"<[a-zA-Z/!?][^<>]*$|<$|&[#a-zA-Z][#a-zA-Z0-9]{0,7}$|&$|�$")
+LINK = re.compile(r"(?:https?://|www\.)\S+$")
+SENTENCE_BREAK = re.compile(r"(?<=[^0-9\n][.!?…])[»”“\"’)\]]*\s+")
+LEAD = re.compile(r"\s*(?:[-–•*]\s+|\d+[.)]\s+|\d+[:.]\d\d\s+)")
+LETTER = re.compile(r"[^\W\d_]")
+NOTICE_RE, NEUTRAL_RE, SPLIT_RE = re.compile(joined(NOTICES)), re.compile(joined(NEUTRAL)), re.compile(SPLIT)
+RESIDUE_LINE = re.compile(rf"(?i)^\W*{joined(FILLER)}\W*$|{joined(PLACEHOLDERS)}")
+LATIN_SET = set(LATIN)
+PUNCTUATION = " \t.,;:!?…»«”“„\"'’()[]{}–—-*•/|·"
+
+
+def is_finished(text: str) -> bool:
+    """Whether a text, trimmed at its end, ends as a sentence does; quotes, brackets and emoji may follow the full stop."""
+    for ch in reversed(text):
+        if ch in ".!?":
+            return True
+        if ch.isalnum() or ch in "<&":
+            return False
+    return False
+
+
+def is_notice_text(text: str, site: str | None) -> bool:
+    """The rule of residue.is_notice for one text."""
+    name = (site or "").split(".")[0]
+    some = False
+    for x in SPLIT_RE.split(text.strip().lower()):
+        x = x.strip().rstrip(". \t\r\n")
+        if len(x) <= NOTICE_CHARS and NOTICE_RE.search(x):
+            some = True
+        elif x and x != name and not NEUTRAL_RE.search(x):
+            return False
+    return some
+
+
+def is_filler_line(line: str) -> bool:
+    words = [w.strip(PUNCTUATION).lower() for w in line.split()]
+    run = 0
+    for w in words:
+        run = run + 1 if w in LATIN_SET else 0
+        if run >= 5:
+            return True
+    return bool(RESIDUE_LINE.search(line))
+
+
+class Units:
+    """Skeletons and last words of fragments; words seen before are remembered."""
+
+    def __init__(self, remember: int = 300_000):
+        self.short: dict[str, str] = {}
+        self.long: dict[str, str] = {}
+        self.remember = remember
+
+    def _kind(self, token: str, long: bool) -> str:
+        core = token.strip(PUNCTUATION)
+        if not core:
+            return token
+        if any(ch.isdigit() for ch in core):
+            kind = "X" if core[0].isalpha() else "0"
+        elif core[0].isupper():
+            kind = "X"
+        else:
+            kind = "w" if long and len(core) >= 4 else core
+        return token.replace(core, kind, 1)
+
+    def skeleton(self, fragment: str, after: bool) -> str:
+        fragment = fragment.strip()
+        lead = LEAD.match(fragment)
+        tokens = (fragment[lead.end() :] if lead else fragment).split()
+        long = len(tokens) > SHORT_BLANKS
+        known = self.long if long else self.short
+        out = []
+        for t in tokens:
+            k = known.get(t)
+            if k is None:
+                if len(known) >= self.remember:
+                    known.clear()
+                k = known[t] = self._kind(t, long)
+            out.append(k)
+        return ("+" if after else "") + " ".join(out).rstrip(PUNCTUATION)
+
+    @staticmethod
+    def last_word(fragment: str) -> str:
+        word = fragment.rstrip(PUNCTUATION).rsplit(None, 1)[-1:]
+        core = word[0].strip(PUNCTUATION).lower() if word else ""
+        return "0" if any(ch.isdigit() for ch in core) else core
+
+    def fragments(self, line: str) -> list[tuple[str, bool]]:
+        """The fragments of a line, and whether each is unfinished after a finished one."""
+        parts = [p for p in SENTENCE_BREAK.split(line) if p.strip()]
+        return [(p, k > 0 and not is_finished(p)) for k, p in enumerate(parts)]
+
+    def complete(self, text: str) -> Iterator[tuple[str, str]]:
+        """(skeleton, last word) of the complete units of a text, trimmed at its end."""
+        lines = [x for x in text.split("\n") if x.strip()]
+        for n, line in enumerate(lines, 1):
+            parts = self.fragments(line)
+            if n == len(lines) and not is_finished(line):
+                parts = parts[:-1]
+            for part, after in parts:
+                yield self.skeleton(part, after), self.last_word(part)
 
 
 def text_fields(df: DataFrame, fields: tuple[str, ...] = ("content", "paywall_snippet")) -> DataFrame:
-    """row_id, source, site, field, text: the fields that aren't blank, one row each, trimmed at their end."""
+    """row_id, source, site, field, text: the fields that aren't empty, one row each."""
     pairs = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields))
     rows = df.select("row_id", F.coalesce("source", F.lit("")).alias("source"), host("resolved_url", "original_url").alias("site"), F.explode(pairs).alias("p"))
-    raw = rows.select("row_id", "source", "site", F.col("p.field").alias("field"), F.col("p.text").alias("raw"))
-    return raw.withColumn("text", F.regexp_replace("raw", r"\s+$", "")).filter(F.length("text") > 0)
-
-
-def skeleton(c: Column) -> Column:
-    """A text with numbers and names by kind."""
-    return F.regexp_replace(F.regexp_replace(c, r"\p{Lu}[\p{L}\p{N}’'-]*+|\b\p{Ll}[\p{L}-]*+[0-9][\p{L}\p{N}-]*+", "X"), "[0-9]+", "0")
-
-
-def fragments(line: Column) -> Column:
-    return F.split(line, SENTENCE_BREAK)
-
-
-def unit_keys(line: Column) -> Column:
-    """The hashes of a skeleton line's fragments; an unfinished one after a finished one has a kind of its own."""
-    bare = lambda f: F.regexp_replace(f, r"^\s*(?:[-–•*]\s+|0[.)]\s+|0[:.]0\s+)?|[^\p{L}0-9]+$", "")
-    long = lambda f: F.length(f) - F.length(F.translate(f, " ", "")) >= SHORT_BLANKS
-    kind = lambda f: F.when(long(f), F.regexp_replace(f, r"\p{Ll}{4,}+", "w")).otherwise(f)
-    return F.transform(fragments(line), lambda f, k: F.xxhash64((k > 0) & ~f.rlike(r"[.!?…]\W*$"), kind(bare(f))))
-
-
-def last_words(line: Column) -> Column:
-    return F.transform(fragments(line), lambda f: F.xxhash64(F.regexp_replace(F.lower(F.regexp_extract(f, r"([\p{L}\p{N}’'-]+)[^\p{L}\p{N}]*$", 1)), "[0-9]+", "0")))
-
-
-def corpus_units(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key) of skeletons and (word) of last words of the complete units, with at least two occurrences and one."""
-    lines = lambda c: F.split(c, "\n+")
-    whole = F.col("text").rlike(FINISHED)
-    keys = F.flatten(F.transform(lines(skeleton(F.col("text"))), unit_keys))
-    words = F.flatten(F.transform(lines(F.col("text")), last_words))
-    without_last = lambda a: F.slice(a, F.lit(1), F.size(a) - F.when(whole, 0).otherwise(1))
-    k = texts.select(F.explode(without_last(keys)).alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= UNIT_LEAST).select("key")
-    w = texts.select(F.explode(without_last(words)).alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= UNIT_LEAST).select("word")
-    return k, w
+    return rows.select("row_id", "source", "site", F.col("p.field").alias("field"), F.col("p.text").alias("text")).filter(F.length("text") > 0)
+
+
+def corpus_units(texts: DataFrame, least: int = UNIT_LEAST) -> DataFrame:
+    """unit: the hashes of skeletons and last words with at least ``least`` complete units in the corpus."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, seen = Units(), Counter()
+
+        def flush() -> pa.RecordBatch:
+            keys = pa.array([xxhash.xxh64_intdigest(k.encode("utf8", "surrogatepass")) - (1 << 63) for k in seen], pa.int64())
+            out = pa.RecordBatch.from_arrays([keys, pa.array(seen.values(), pa.int64())], ["unit", "n"])
+            seen.clear()
+            return out
+
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                for skeleton, word in units.complete(text.rstrip()):
+                    seen["s" + skeleton] += 1
+                    seen["w" + word] += 1
+                if len(seen) > FLUSH:
+                    yield flush()
+        yield flush()
+
+    return texts.select("text").mapInArrow(count, "unit long, n long").groupBy("unit").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("unit")
+
+
+def open_ends(texts: DataFrame) -> DataFrame:
+    """row_id, source, field, chars, bytes, state, skeleton, word: the fields that don't end as sentences do; notices and filler are left out."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units()
+        key = lambda k: xxhash.xxh64_intdigest(k.encode("utf8", "surrogatepass")) - (1 << 63)
+        for b in batches:
+            rows = []
+            for row_id, source, site, field, raw in zip(*(c.to_pylist() for c in b.columns)):
+                text = raw.rstrip()
+                if not text:
+                    continue
+                marked = False
+                bare = text
+                if text[-1] in ".…])":
+                    while m := MARK.search(bare):
+                        bare, marked = bare[: m.start()].rstrip(), True
+                if is_finished(bare) or not bare:
+                    continue
+                last = text.rsplit("\n", 1)[-1]
+                if is_filler_line(last) or is_notice_text(text, site):
+                    continue
+                parts = units.fragments(bare.rsplit("\n", 1)[-1])
+                part, after = parts[-1] if parts else ("", False)
+                broken = bool(IN_MARKUP.search(text))
+                state = BROKEN if broken else MARKED if marked else UNFINISHED
+                if state == UNFINISHED and (not LETTER.search(part) or LINK.search(last)):
+                    continue
+                rows.append((row_id, source, field, len(raw), len(raw.encode("utf8", "surrogatepass")), state, key("s" + units.skeleton(part, after)), key("w" + units.last_word(part))))
+            columns = list(zip(*rows)) or [()] * 8
+            types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+            names = ["row_id", "source", "field", "chars", "bytes", "state", "skeleton", "word"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    slim = texts.select(F.col("row_id").cast("long"), "source", "site", "field", "text")
+    return slim.mapInArrow(look, "row_id long, source string, field string, chars int, bytes int, state string, skeleton long, word long")
 
 
 def length_spikes(texts: DataFrame) -> DataFrame:
     """source, field, unit (chars, bytes), length, n_texts: the lengths that stand out from those around them."""
-    units = F.array(F.struct(F.lit("chars").alias("unit"), F.length("raw").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.octet_length("raw").alias("length")))
-    distinct = texts.select("source", "field", F.length("raw").alias("_c"), F.xxhash64("raw").alias("_h"), F.explode(units).alias("u")).select("source", "field", "u.unit", "u.length", "_h").distinct()
-    counts = distinct.groupBy("source", "field", "unit", "length").agg(F.count("*").alias("n_texts"))
+    units = F.array(F.struct(F.lit("chars").alias("unit"), F.length("text").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.octet_length("text").alias("length")))
+    distinct = texts.select("source", "field", units.alias("units"), F.xxhash64("text").alias("_h")).groupBy("source", "field", "_h").agg(F.first("units").alias("units"))
+    counts = distinct.select("source", "field", F.explode("units").alias("u")).groupBy("source", "field", "u.unit", "u.length").agg(F.count("*").alias("n_texts"))
     near = W.partitionBy("source", "field", "unit").orderBy("length").rangeBetween(-SPIKE_REACH, SPIKE_REACH)
     around = (F.sum("n_texts").over(near) - F.col("n_texts")) / (2 * SPIKE_REACH)
-    return counts.withColumn("_around", around).filter((F.col("n_texts") >= SPIKE_LEAST) & (F.col("n_texts") >= SPIKE_TIMES * F.col("_around")) & (F.col("n_texts") >= F.col("_around") + 6 * F.sqrt(F.col("_around") + 1))).drop("_around")
+    stands_out = (F.col("n_texts") >= SPIKE_LEAST) & (F.col("n_texts") >= SPIKE_TIMES * F.col("_around")) & (F.col("n_texts") >= F.col("_around") + 6 * F.sqrt(F.col("_around") + 1))
+    return counts.withColumn("_around", around).filter(stands_out).drop("_around")
 
 
 def cut_fields(df: DataFrame) -> DataFrame:
-    """row_id, source, field, at_limit: the cut contents and snippets of df, one row each, and whether their length is a spike.
+    """row_id, source, field, state: the cut contents and snippets of df, one row each, and how the cut shows.
 
     df has row_id, source, original_url, resolved_url, content and paywall_snippet; other columns are ignored.
     """
     texts = text_fields(df)
-    keys, words = corpus_units(texts)
-    spikes = length_spikes(texts).select("source", "field", "unit", "length")
-    lengths = lambda unit, c: spikes.filter(F.col("unit") == unit).select("source", "field", F.col("length").alias(c))
-    text = F.col("text")
-    unmarked = F.regexp_replace(F.regexp_replace("text", MARK, ""), r"\s+$", "")
-    marked = text.rlike(MARK) & (text != unmarked)
-    # a full stop before three dots is the sentence's own
-    finished = F.when(marked, unmarked.rlike(r"[.!?][^\p{L}\p{N}]*$|^$")).otherwise(text.rlike(FINISHED))
-    last_line = F.substring_index(text, "\n", -1)
-    filler = F.lower(last_line).rlike(LATIN_RUN) | last_line.rlike(FILLER_LINE) | last_line.rlike(PLACEHOLDER)
-    open_ended = texts.filter(~finished).withColumns({"marked": marked, "last_line": last_line}).filter(~filler & ~is_notice(text, F.col("site")))
-    last = open_ended.withColumns(
-        {
-            "broken": F.col("text").rlike(IN_MARKUP) | F.col("text").rlike(BROKEN),
-            "letters": F.element_at(fragments(F.col("last_line")), -1).rlike(r"\p{L}"),
-            "link": F.col("last_line").rlike(LINK),
-            "key": F.element_at(unit_keys(skeleton(F.col("last_line"))), -1),
-            "word": F.element_at(last_words(F.col("last_line")), -1),
-            "chars": F.length("raw"),
-            "bytes": F.octet_length("raw"),
-        }
-    ).drop("text", "raw", "last_line")
-    judged = (
-        last.join(lengths("chars", "chars").withColumn("in_chars", F.lit(True)), ["source", "field", "chars"], "left")
-        .join(lengths("bytes", "bytes").withColumn("in_bytes", F.lit(True)), ["source", "field", "bytes"], "left")
-        .join(keys.withColumn("like_units", F.lit(True)), "key", "left")
-        .join(words.withColumn("ends_units", F.lit(True)), "word", "left")
-    )
-    spike = F.col("in_chars").isNotNull() | F.col("in_bytes").isNotNull()
-    whole = ~F.col("letters") | F.col("link") | (F.col("like_units").isNotNull() & F.col("ends_units").isNotNull())
-    return judged.filter(F.col("broken") | F.col("marked") | ~whole).select("row_id", "source", "field", spike.alias("at_limit"))
+    units = corpus_units(texts)
+    ends = open_ends(texts)
+    like = units.select(F.col("unit").alias("skeleton"), F.lit(True).alias("like_units"))
+    ending = units.select(F.col("unit").alias("word"), F.lit(True).alias("ends_units"))
+    judged = ends.join(like, "skeleton", "left").join(ending, "word", "left")
+    whole = F.col("like_units").isNotNull() & F.col("ends_units").isNotNull()
+    return judged.filter((F.col("state") != UNFINISHED) | ~whole).select("row_id", "source", "field", "state", "chars", "bytes")
+
+
+def cut_at_limits(df: DataFrame) -> DataFrame:
+    """row_id, source, field, state, at_limit: cut_fields and whether the length is a spike of its source and column."""
+    spikes = length_spikes(text_fields(df)).select("source", "field", "unit", F.col("length").alias("_length"))
+    by_unit = lambda u: spikes.filter(F.col("unit") == u).select("source", "field", F.col("_length").alias(u), F.lit(True).alias(f"in_{u}"))
+    cut = cut_fields(df).join(by_unit("chars"), ["source", "field", "chars"], "left").join(by_unit("bytes"), ["source", "field", "bytes"], "left")
+    return cut.select("row_id", "source", "field", "state", (F.col("in_chars").isNotNull() | F.col("in_bytes").isNotNull()).alias("at_limit"))
 
 
 def truncation_rates(df: DataFrame) -> DataFrame:
-    """source, field, n_texts, n_cut, rate: how often each source cuts each column; blank fields don't count as texts."""
+    """source, field, n_texts, n_cut, rate: how often each source cuts each column; empty fields don't count as texts."""
     texts = text_fields(df).groupBy("source", "field").agg(F.count("*").alias("n_texts"))
     cut = cut_fields(df).groupBy("source", "field").agg(F.count("*").alias("n_cut"))
     n_cut = F.coalesce("n_cut", F.lit(0))
