@@ -228,8 +228,7 @@ def fit_on(df: DataFrame, rows: int = SAMPLE_ROWS) -> np.ndarray:
     """The model from at most ``rows`` labelled rows of df: those with the least hashes of row_id."""
     labelled = df.filter("language IS NOT NULL AND content IS NOT NULL AND length(language) > 1 AND length(content) > 40").select("language", "content", F.xxhash64("row_id").alias("h"))
     share = min(1.0, 1.5 * rows / max(1, labelled.select("h").count()))
-    limit = int((2 * share - 1) * (2**63 - 1))
-    sample = labelled.filter(F.col("h") <= limit).orderBy("h").limit(rows)
+    sample = labelled.filter(F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000)).orderBy(F.pmod("h", F.lit(1_000_000)), "h").limit(rows)
     return fit([(r["language"], r["content"]) for r in sample.collect()])
 
 
@@ -240,7 +239,7 @@ def language_segments(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFram
     empty ones. label is the language that the row's label names, or null. Repeated rows are inferred each.
     """
     model = df.sparkSession.sparkContext.broadcast(fit_on(df, sample_rows))
-    rows = with_residue_flag(df.filter("content IS NOT NULL")).filter("NOT bad_content").select("row_id", "language", "content")
+    rows = with_residue_flag(df.select("row_id", "language", "content", "title", "original_url", "resolved_url").filter("content IS NOT NULL")).filter("NOT bad_content").select("row_id", "language", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
