@@ -108,9 +108,9 @@ def resolve_redirects(starts: DataFrame, edges: DataFrame, max_redirects: int =
 def sample_per_key(df: DataFrame, key: str, row_id: str, percent: float, cap: int | None = None, seed: int = 42) -> DataFrame:
     """max(1, percent of the rows) per key, at most ``cap``: those with the least seeded hashes. The same rows each time."""
     order = W.partitionBy(key).orderBy(F.xxhash64(F.lit(seed), row_id), row_id)
-    counts = df.groupBy(key).agg(F.count("*").alias("_size"))
+    counts = df.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_size"))
     want = F.greatest(F.lit(1), F.floor(F.col("_size") * F.lit(percent) / 100))
     if cap is not None:
         want = F.least(want, F.lit(cap))
-    ranked = df.withColumn("_rank", F.row_number().over(order)).join(counts, df[key].eqNullSafe(counts[key])).drop(counts[key])
+    ranked = df.withColumn("_rank", F.row_number().over(order)).join(counts, F.col(key).eqNullSafe(F.col("_k"))).drop("_k")
     return ranked.filter(F.col("_rank") <= want).drop("_rank", "_size")

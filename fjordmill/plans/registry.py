@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fjordmill.plans import core, report_queries, url_queries
+from fjordmill.plans import core, report_queries, stream_queries, url_queries
 
-MODULES = [core, url_queries, report_queries]
+MODULES = [core, url_queries, report_queries, stream_queries]
 FLAGSHIP = report_queries.a1_metrics
 
 
