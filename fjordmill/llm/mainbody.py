@@ -32,7 +32,7 @@ BROADCAST_LINES = 1_000_000
 
 PARAGRAPH, FURNISHED, TEASERS, SUBHEAD, MARK, BULLET, SENTENCE, SHORT = range(8)
 ENDS = re.compile(r"[.!?…:;][»”“\"')\]]*\W*$|[»”“]\W*$")
-INNER_END = re.compile(r"[.!?][»”“\"')]* +[»”“\"'(–]?[A-ZÆØÅÄÖÜÉÀ0-9]")
+INNER_END = re.compile(r"[^\d\s][.!?][»”“\"')]* +[»”“\"'(–]?[A-ZÆØÅÄÖÜÉÀ0-9]")
 WORD = re.compile(r"[^\W\d_]+")
 LETTERS = re.compile(r"[^\W\d_]")
 MARKS = re.compile(
@@ -72,7 +72,7 @@ SPECIAL = "©«‹★☆▲▼►◄■●<>{(["
 def kind_of(line: str) -> int:
     """The kind of a stripped, non-blank line by itself."""
     blanks = line.count(" ")
-    if blanks >= 14 and line[-1] in TERMINAL:
+    if line[-1] in TERMINAL and blanks >= 14:
         return PARAGRAPH
     low = line.lower()
     if low.rstrip(" :.") in SUBHEAD_SET:
@@ -118,6 +118,8 @@ class Pages:
         self.remember = remember
 
     def kind(self, line: str) -> int:
+        if line[-1] in TERMINAL and line.count(" ") >= 14:
+            return PARAGRAPH
         k = self.known.get(line)
         if k is None:
             if len(self.known) >= self.remember:

@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 from fjordmill.llm.pagetext import FILLER, FURNITURE, LATIN, NEUTRAL, NOTICES, PLACEHOLDERS, SEPARATED_MENU, joined
 from fjordmill.session import broadcast_if_small
 
-LOW_INFORMATION_WORDS = 60
+LOW_INFORMATION_WORDS, LOW_INFORMATION_CHARS = 60, 1000
 EVIDENCE_HOSTS = 3
 BROADCAST_KEYS = 1_000_000
 NOTICE_CHARS = 300  # a longer fragment is no notice
 BY_LETTER = {a: sorted({w[1:] for w in LATIN if w[0] == a}, key=len, reverse=True) for a in sorted({w[0] for w in LATIN})}
 LATIN_WORD = "(?:" + "|".join(f"[{a.upper()}{a}](?:{'|'.join(rest)})" for a, rest in BY_LETTER.items()) + r")\b"
-LATIN_RUN = rf"\b{LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4}}"
+# a run starts a line or a sentence, or is the usual beginning
+LATIN_RUN = rf"(?:(?m:^)\s*|(?=[A-Z])|(?=lorem ipsum ))\b{LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4}}"
 PLACEHOLDER = r"(?=[{$#<%\[@*_])" + joined(PLACEHOLDERS)
 FILLER_LINE = rf"(?im)^\W*{joined(FILLER)}\W*$"
 NOTICE = joined(NOTICES)
@@ -60,10 +61,9 @@ def is_notice(c: Column, site: Column) -> Column:
     a_notice = lambda x: (F.length(x) <= NOTICE_CHARS) & x.rlike(NOTICE)
     says_nothing = lambda x: (x == "") | (x == name) | x.rlike(NEUTRAL_LINE)
     fits = lambda x: a_notice(x) | says_nothing(x)
-    text = F.lower(F.trim(c))
-    first = stripped(F.split(F.substring_index(text, "\n", 1), SPLIT, 2)[0])
-    bare = F.transform(F.split(text, SPLIT), stripped)
-    return F.coalesce(F.when((F.length(text) > 0) & fits(first), F.forall(bare, fits) & F.exists(bare, a_notice)), F.lit(False))
+    first = stripped(F.split(F.lower(F.substring_index(F.trim(c), "\n", 1)), SPLIT, 2)[0])
+    bare = F.transform(F.split(F.lower(F.trim(c)), SPLIT), stripped)
+    return F.coalesce(F.when((F.length(first) <= NOTICE_CHARS) & fits(first), F.forall(bare, fits) & F.exists(bare, a_notice)), F.lit(False))
 
 
 def folded(c: Column, site: Column) -> Column:
@@ -77,9 +77,14 @@ def long_words(c: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}]+"), lambda w: F.length(w) >= 6)
 
 
+def low_information(c: Column) -> Column:
+    """Whether a text has at most 60 words in at most 1,000 characters."""
+    return (F.length(c) <= LOW_INFORMATION_CHARS) & (F.size(F.split(F.trim(c), r"\s+")) <= LOW_INFORMATION_WORDS)
+
+
 def host_evidence(df: DataFrame) -> DataFrame:
     """key: hashes of the short responses that at least three hosts give and that don't fit their titles and addresses."""
-    short = F.size(F.split(F.trim("content"), r"\s+")) <= LOW_INFORMATION_WORDS
+    short = low_information(F.col("content"))
     about = F.array_union(long_words(F.col("title")), long_words(F.col("original_url")))
     fits = F.arrays_overlap(about, long_words(F.col("content")))
     site = F.col("site")
@@ -96,7 +101,7 @@ def with_residue_flag(df: DataFrame) -> DataFrame:
     """
     rows = df.withColumn("site", host("resolved_url", "original_url"))
     c, site = F.col("content"), F.col("site")
-    short = F.size(F.split(F.trim("content"), r"\s+")) <= LOW_INFORMATION_WORDS
+    short = low_information(c)
     by_text = holds_placeholder(c) | holds_filler(c) | is_notice(c, site)
     evidence = broadcast_if_small(host_evidence(rows).withColumnRenamed("key", "_evidence"), BROADCAST_KEYS)
     # long contents have a key of their own that spreads them, should the evidence be too large to broadcast
