@@ -31,6 +31,7 @@ LANGUAGES = ["da", "en", "de", "sv", "no", "fr"]
 SAMPLE_ROWS = 6000
 BUCKETS = 1 << 18
 PENALTY = 6.0
+LABEL_WORTH = 2.0
 TEMPER = 0.25  # neighbouring 4-grams share three characters
 
 # Codes and names of the languages, lower-case.
@@ -196,8 +197,11 @@ def segments(scores: np.ndarray, chosen: list[int], penalty: float = PENALTY, le
     return merged
 
 
-def infer(model: np.ndarray, texts: list[str]) -> list[list[tuple[str, float, int]]]:
-    """For each text its segments: language, confidence and number of sentences. Texts without words have none."""
+def infer(model: np.ndarray, texts: list[str], labels: list[str | None] | None = None) -> list[list[tuple[str, float, int]]]:
+    """For each text its segments: language, confidence and number of sentences. Texts without words have none.
+
+    A text in one language that two languages explain almost alike goes to the one that its label names.
+    """
     parts = [sentences(t) if WORDS.search(t) else [] for t in texts]
     owner = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
     flat = [s for p in parts for s in p]
@@ -216,6 +220,10 @@ def infer(model: np.ndarray, texts: list[str]) -> list[list[tuple[str, float, in
             found = [(0, len(p), int(top[0]))]
         else:
             found = segments(own, language_set(own, mix[k]))
+        if len(found) == 1 and labels and (named := label_language(labels[k])):
+            part = own.sum(axis=0, dtype=np.float64)
+            if part.max() - part[LANGUAGES.index(named)] < LABEL_WORTH:
+                found = [(0, len(p), LANGUAGES.index(named))]
         rows = []
         for s, e, j in found:
             part = own[s:e].sum(axis=0, dtype=np.float64)
@@ -247,7 +255,7 @@ def language_segments(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFram
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
                 ids, labels, texts = (c.to_pylist() for c in part.columns)
-                for row_id, label, found in zip(ids, labels, infer(model.value, texts)):
+                for row_id, label, found in zip(ids, labels, infer(model.value, texts, labels)):
                     out += [(row_id, n, lang, sure, size, len(found), label_language(label)) for n, (lang, sure, size) in enumerate(found, 1)]
             columns = list(zip(*out)) or [()] * 7
             types = [pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string()]

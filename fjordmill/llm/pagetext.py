@@ -40,7 +40,7 @@ NEUTRAL = [
 
 # Filler that stands for a text to come; whole lines.
 FILLER = [
-    r"(?:br[øö]d)?te(?:k|x)st(?:en)? (?:kommer|skrives|skrivs|følger|följer)(?: \w+)?", r"text goes here", r"(?:body )?(?:copy|text) to (?:follow|come)", r"le texte (?:viendra|suivra|arrive)(?: \w+)?", r"hier (?:steht|kommt|folgt)(?: \w+)? text", r"text folgt(?: \w+)?",
+    r"(?:br[øö]d)?te(?:kst|xt)(?:en)? (?:kommer|skrives|skrivs|følger|följer)(?: \w+)?", r"text goes here", r"(?:body )?(?:copy|text) to (?:follow|come)", r"le texte (?:viendra|suivra|arrive)(?: \w+)?", r"hier (?:steht|kommt|folgt)(?: \w+)? text", r"text folgt(?: \w+)?",
     r"blindtext\b.{0,40}", r"platzhalter(?:text)?\b.{0,40}", r"beispiel(?:text|inhalt)?\b.{0,40}\b(?:vorschau|ansicht)", r"(?:sample|example|dummy|placeholder|filler) (?:content|text|copy)\b.{0,40}", r"eksempel(?:tekst)?\b.{0,30}\b(?:forhåndsvisning|visning)",
     r"exempel(?:text)?\b.{0,30}\bförhandsvisning", r"exemple de (?:texte|contenu)\b.{0,40}", r"texte (?:d.exemple|factice|provisoire)\b.{0,30}", r"test ?(?:artikel|article|artikkel|sak|text|tekst)?(?: test){1,4}",
 ]

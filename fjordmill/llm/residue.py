@@ -29,10 +29,11 @@ LATIN_WORD = "(?:" + "|".join(f"[{a.upper()}{a}](?:{'|'.join(rest)})" for a, res
 # a run starts a line or a sentence, or is the usual beginning
 LATIN_RUN = rf"(?:(?m:^)\s*|(?=[A-Z])|(?=lorem ipsum ))\b{LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4}}"
 PLACEHOLDER = r"(?=[{$#<%\[@*_])" + joined(PLACEHOLDERS)
-FILLER_LINE = rf"(?im)^\W*{joined(FILLER)}\W*$"
-NOTICE = joined(NOTICES)
-NEUTRAL_LINE = joined(NEUTRAL)
-FURNITURE_LINE = rf"^\W*(?:{joined(FURNITURE)}|{SEPARATED_MENU}$)"
+FILLER_LINE = rf"(?imU)^\W*{joined(FILLER)}\W*$"
+# (?U): letters beyond ASCII are letters to the JVM too
+NOTICE = "(?U)" + joined(NOTICES)
+NEUTRAL_LINE = "(?U)" + joined(NEUTRAL)
+FURNITURE_LINE = rf"(?U)^\W*(?:{joined(FURNITURE)}|{SEPARATED_MENU}$)"
 SPLIT = r"\n+| [–—] | - |(?<=[.!?])\s+"
 
 
@@ -50,7 +51,7 @@ def holds_filler(c: Column) -> Column:
     """Pseudo-Latin of five words in a row, a stand-in line, or two equal last lines that aren't furniture."""
     text = F.rtrim(c)
     last = F.substring_index(text, "\n", -1)
-    twice = (F.substring_index(text, "\n", -2) == F.concat_ws("\n", last, last)) & last.contains(" ") & ~F.lower(last).rlike(FURNITURE_LINE)
+    twice = (F.substring_index(text, "\n", -2) == F.concat_ws("\n", last, last)) & last.rlike(r"^[\p{L}].* ") & ~F.lower(last).rlike(FURNITURE_LINE)
     return F.coalesce(c.rlike(LATIN_RUN) | c.rlike(FILLER_LINE) | twice, F.lit(False))
 
 
