@@ -30,8 +30,9 @@ from fjordmill.llm.residue import with_residue_flag
 LANGUAGES = ["da", "en", "de", "sv", "no", "fr"]
 SAMPLE_ROWS = 6000
 BUCKETS = 1 << 18
-PENALTY = 6.0
+PENALTY, MOST = 8.5, 10.0  # what a change of language costs; the most that one sentence can say for or against a language
 LABEL_WORTH = 2.0
+WORDS_WEIGHT = 20.0  # occurrences that each function word counts for; matters in small samples only
 TEMPER = 0.25  # neighbouring 4-grams share three characters
 
 # Codes and names of the languages, lower-case.
@@ -104,7 +105,7 @@ def count_model(texts: list[str], weights: np.ndarray) -> np.ndarray:
     sizes = np.diff(np.append(starts, len(ids)))
     rows = []
     for k in range(len(LANGUAGES)):
-        w = np.concatenate([weights[:, k], np.eye(len(LANGUAGES))[k]]) if len(texts) else np.eye(len(LANGUAGES))[k]
+        w = np.concatenate([weights[:, k], WORDS_WEIGHT * np.eye(len(LANGUAGES))[k]])
         counts = np.bincount(ids, weights=np.repeat(w, sizes), minlength=BUCKETS)
         counts[0] = 0
         row = np.log((counts + 0.05) / (counts.sum() + 0.05 * BUCKETS))
@@ -219,7 +220,9 @@ def infer(model: np.ndarray, texts: list[str], labels: list[str | None] | None =
         if (top == top[0]).all():
             found = [(0, len(p), int(top[0]))]
         else:
-            found = segments(own, language_set(own, mix[k]))
+            # one foreign sentence must not outweigh its neighbours, so that it can't make a segment with one of them
+            bounded = np.maximum(own - own.max(axis=1, keepdims=True), -MOST)
+            found = segments(bounded, language_set(bounded, mix[k]))
         if len(found) == 1 and labels and (named := label_language(labels[k])):
             part = own.sum(axis=0, dtype=np.float64)
             if part.max() - part[LANGUAGES.index(named)] < LABEL_WORTH:
