@@ -12,7 +12,8 @@ add up to ``span``. A signature of more rows is never paired: each stretch aroun
 are shared stretches, and only left-maximal ones (different characters before them, or the start of a text) make pairs, so
 a stretch in the middle of a passage that a third of all texts hold makes none, and every pair made is in the result.
 
-Scale: one narrow pass over all texts, a shuffle of (signature, text hash), one pass over candidates only. Copies are
+Scale: narrow passes over all texts, a shuffle of (signature, text hash), one pass over candidates only; the shared
+signatures are broadcast only after a check of their number, else joined. Copies are
 represented by one text and expanded at the end. Groups are joined, never collected.
 """
 
@@ -27,7 +28,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fjordmill.session import broadcast_if_small
+
 SPAN, GRAM, FEW = 160, 80, 32
+BROADCAST_SIGNATURES = 1_000_000
 BATCH_CHARS = 1 << 21
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -180,8 +184,10 @@ class SharedSpans:
 
         signed = self.docs.select("uid", "text").mapInArrow(sign, "uid long, sig long")
         common = signed.groupBy("sig").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("sig", (F.col("n") > few).alias("hot"))
+        common = broadcast_if_small(common, BROADCAST_SIGNATURES)
         per_text = signed.join(common, "sig").groupBy("uid").agg(F.collect_set(F.struct("sig", "hot")).alias("shared"))
         chosen = self.members.groupBy("uid").agg(F.min("doc_id").alias("rep")).join(per_text, "uid").select("rep", F.col("shared.sig").alias("sigs"), F.col("shared.hot").alias("hot"))
+        chosen = broadcast_if_small(chosen, BROADCAST_SIGNATURES, F.size("sigs"))
         work = self.docs.join(chosen, self.docs["doc_id"] == chosen["rep"]).select("uid", "text", "sigs", "hot")
         return work.mapInArrow(locate, "uid long, sig long, left string, right string, h2 long, before int, ats array<int>")
 
