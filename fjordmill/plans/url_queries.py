@@ -202,6 +202,7 @@ ORACLE = {
         {WALL.format(us='round((nullif(visit_time, 0) + 978307200) * 1000000)')} END AS wall FROM visits WHERE source_type <> 'safari_json'""",
     "t6_seconds_or_millis": f"""SELECT source_file, visit_id, CASE WHEN visit_time BETWEEN 1e9 AND 1e10 THEN {WALL.format(us='round(visit_time * 1000000)')} WHEN visit_time > 1e12 AND visit_time < 2.534e14 THEN
         {WALL.format(us='round(visit_time * 1000)')} END AS wall FROM visits""",
+    "t7_zone_conversion": "SELECT event_id, timezone('Europe/Copenhagen', ts AT TIME ZONE 'UTC') AS local FROM events",
     "t11_iso_text": "SELECT row_id, replace(replace(date, 'T', ' '), 'Z', '') AS date FROM sample_old_facebook",
     "t28_timestamp_problems": """SELECT CASE WHEN coalesce(date, '') = '' THEN 'missing' WHEN try_cast(date AS DOUBLE) IS NULL THEN 'parse_error' WHEN try_cast(date AS DOUBLE) < 1e8 THEN 'too_small'
         WHEN try_cast(date AS DOUBLE) < 946684800 THEN 'pre_2000' ELSE 'ok' END AS problem, count(*) AS n FROM sample_old_facebook GROUP BY 1""",
