@@ -97,10 +97,16 @@ PLACES = f"""
   hot AS (SELECT site, key FROM counted JOIN totals USING (site) WHERE n_rows >= 8 AND n_rows >= 0.1 * site_rows)"""
 
 
+STRETCHES = """
+  WITH stretches AS (SELECT DISTINCT doc_id, md5(substr(text, CAST(p AS BIGINT), 160)) AS stretch FROM (SELECT doc_id, text, unnest(range(1, length(text) - 158)) AS p FROM documents WHERE length(text) >= 160)),
+  shared AS (SELECT * FROM stretches WHERE stretch IN (SELECT stretch FROM stretches GROUP BY 1 HAVING count(*) > 1))"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": PLACES + " SELECT row_id, CAST(line_no AS INT) AS line_no FROM keyed JOIN hot USING (site, key)",
         "p2_clean": PLACES
         + """, kept AS (SELECT row_id, string_agg(line, chr(10) ORDER BY line_no) AS clean FROM keyed LEFT JOIN hot USING (site, key) WHERE hot.key IS NULL GROUP BY row_id)
         SELECT r.row_id, CASE WHEN r.lines IS NOT NULL THEN coalesce(k.clean, '') END AS clean FROM rows r LEFT JOIN kept k USING (row_id)""",
+        "p10_found": STRETCHES + " SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM shared a JOIN shared b ON a.stretch = b.stretch AND a.doc_id < b.doc_id",
     }
