@@ -42,7 +42,7 @@ MARK = re.compile(r"\s*(?:…|\.\.\.|\[(?:…|\.\.\.)\]|\((?:…|\.\.\.)\))$")
 IN_MARKUP = re.compile(r"<[a-zA-Z/!?][^<>]*$|<$|&[#a-zA-Z][#a-zA-Z0-9]{0,7}$|&$|�$")
 LINK = re.compile(r"(?:https?://|www\.)\S+$")
 SENTENCE_BREAK = re.compile(r"(?<=[^0-9\n][.!?…])[»”“\"’)\]]*\s+")
-LEAD = re.compile(r"\s*(?:[-–•*]\s+|\d+[.)]\s+|\d+[:.]\d\d\s+)")
+LEAD = re.compile(r"\s*(?:[-–•*]\s+|\d+[.)]\s+|\d+[:.]\d\d\s+|[^\W\d_]+(?: [^\W\d_]+){0,2} ?:\s+)")
 LETTER = re.compile(r"[^\W\d_]")
 NOTICE_RE, NEUTRAL_RE, SPLIT_RE = re.compile(joined(NOTICES)), re.compile(joined(NEUTRAL)), re.compile(SPLIT)
 RESIDUE_LINE = re.compile(rf"(?i)^\W*{joined(FILLER)}\W*$|{joined(PLACEHOLDERS)}")
