@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +62,36 @@ def chrome_visits(files: DataFrame) -> DataFrame:
     ).filter("url IS NOT NULL AND url <> ''")
 
 
+def keys_at_any_path(df: DataFrame, id_col: str, json_col: str, keys: list[str], depth: int = 32) -> DataFrame:
+    """id, path, value: every value of one of the keys, at any place in a JSON text; texts that aren't JSON have none."""
+    wanted = set(keys)
+
+    def walk(node, path: str, left: int) -> Iterator[tuple[str, str]]:
+        if left and isinstance(node, dict):
+            for k, v in node.items():
+                here = f"{path}.{k}"
+                if k in wanted:
+                    yield here, v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+                yield from walk(v, here, left - 1)
+        elif left and isinstance(node, list):
+            for n, v in enumerate(node):
+                yield from walk(v, f"{path}[{n}]", left - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                try:
+                    rows += [(key, *x) for x in walk(json.loads(text or "null"), "$", depth)]
+                except ValueError:
+                    pass
+            columns = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (b.column(0).type, pa.string(), pa.string()))], ["id", "path", "value"])
+
+    kind = dict(df.dtypes)[id_col]
+    return df.select(F.col(id_col).alias("id"), F.col(json_col).cast("string")).mapInArrow(run, f"id {kind}, path string, value string")
+
+
 def unified_visits(spark: SparkSession, base: str) -> DataFrame:
     """Visits of the SQLite, Safari JSON and Chrome JSON files below base in one schema, with their source type and account (the folder's name)."""
     from fjordmill.sources import sqlite

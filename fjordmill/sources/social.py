@@ -80,3 +80,12 @@ def numbered_until_gap(catalog: DataFrame, stem: str) -> DataFrame:
     no = F.regexp_extract("filename", rf"^{stem}(\d+)\.json$", 1).try_cast("int")
     numbered = catalog.withColumn("file_no", no).filter("file_no IS NOT NULL")
     return numbered.withColumn("_n", F.row_number().over(W.partitionBy("directory").orderBy("file_no"))).filter("_n = file_no").drop("_n")
+
+
+def external_link(post: str = "post") -> Column:
+    """The outside address of a post variant: link, web page, first entity, url, link attachment, else the first URL in its text."""
+    get = lambda path: F.nullif(F.try_variant_get(F.col(post), path, "string"), F.lit(""))
+    own = get("$.url")
+    entity = F.coalesce(*(get(f"$.entities.urls[0].{k}") for k in ("expanded_url", "unwound_url", "url")))
+    attached = F.coalesce(get("$.attachments[0].link.url"), get("$.attachments[0].url"))
+    return F.coalesce(get("$.link"), get("$.media.webpage.url"), entity, F.when(~own.contains("reddit.com"), own), attached, urls.first_url(get("$.text")))

@@ -121,3 +121,12 @@ def test_csv_and_sinks(spark, tmp_path):
     known = spark.range(3).select("id")
     sinks.append_new(rich.select("id"), str(tmp_path / "new"), "id", known)
     assert spark.read.parquet(str(tmp_path / "new")).count() == 22
+
+
+def test_keys_and_links(spark):
+    df = spark.createDataFrame([(1, '{"a":[{"lang":"da"},{"x":{"lang":["en"]}}]}'), (2, "no json"), (3, None)], "id int, j string")
+    got = {tuple(r) for r in browser_json.keys_at_any_path(df, "id", "j", ["lang"]).collect()}
+    assert got == {(1, "$.a[0].lang", "da"), (1, "$.a[1].x.lang", '["en"]')}
+    posts = ['{"link":"https://a.dk"}', '{"url":"https://reddit.com/x","text":"se https://b.dk/c."}', '{"entities":{"urls":[{"url":"https://t.co/1","expanded_url":"https://c.dk"}]}}', "{}"]
+    df = spark.createDataFrame([(p,) for p in posts], "j string").withColumn("post", F.parse_json("j"))
+    assert [r[0] for r in df.select(social.external_link()).collect()] == ["https://a.dk", "https://b.dk/c", "https://c.dk", None]
