@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fjordmill.functions import urls
+from fjordmill.session import ship_package
 
 SKIPPED = {"script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -89,6 +90,7 @@ COLUMNS = ["title", "content", "description", "author", "date", "language"]
 
 def extract_pages(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     """id, title, content, description, author, date, language of each page; null pages have an empty content."""
+    ship_package(df.sparkSession)
     kind = dict(df.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,6 +153,7 @@ def activities(df: DataFrame, file_col: str, html_col: str) -> DataFrame:
             types = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["source_file", "no", "kind", "time", "value"])
 
+    ship_package(df.sparkSession)
     return df.select(F.col(file_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(run, "source_file string, no int, kind string, time string, value string")
 
 
