@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from fjordmill.llm.pagetext import FUNCTION_WORDS, FURNITURE, MENU, NOTICES, SEPARATED_MENU, SUBHEADS, joined
 from fjordmill.llm.residue import host, with_residue_flag
-from fjordmill.session import broadcast_if_small
+from fjordmill.session import broadcast_if_small, ship_package
 
 TEMPLATE_PAGES, TEMPLATE_SHARE = 3, 0.01
 BROADCAST_LINES = 1_000_000
@@ -187,6 +187,7 @@ def page_rows(df: DataFrame) -> DataFrame:
 
     The templates are broadcast only after a check of their number of lines; above ``BROADCAST_LINES`` they are joined.
     """
+    ship_package(df.sparkSession)
     pages = df.select(host("resolved_url", "original_url").alias("site"), F.xxhash64(F.coalesce("url_hash", "original_url")).alias("page"), line_keys("content").alias("keys"))
     found = broadcast_if_small(templates(pages), BROADCAST_LINES, F.size("template"))
     rows = with_residue_flag(df.select("row_id", "title", "content", "original_url", "resolved_url").filter("content IS NOT NULL"))

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fjordmill.session import ship_package
+
 CAPACITY = 2048
 SHARD_ITEMS = 100_000
 
@@ -57,6 +59,7 @@ def fill_containers(sizes: DataFrame, n_rows: int, capacity: int = CAPACITY, sha
     capacity is split into full pieces and a rest. Rows with no tokens give one row with piece 0, no tokens and a null
     container. Containers are named ``<shard>-<number>``, full pieces' own ``full-<doc_id>-<piece>``.
     """
+    ship_package(sizes.sparkSession)
     shards = max(1, -(-n_rows // shard_items))
     n, full = F.col("n_tokens"), F.floor(F.col("n_tokens") / capacity).cast("int")
     whole = F.transform(F.when(full > 0, F.sequence(F.lit(0), full - 1)).otherwise(F.array().cast("array<int>")), lambda k: F.struct(k.alias("piece"), F.lit(capacity).cast("long").alias("n")))

@@ -28,7 +28,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fjordmill.session import broadcast_if_small
+from fjordmill.session import broadcast_if_small, ship_package
 
 SPAN, GRAM, FEW = 160, 80, 32
 BROADCAST_SIGNATURES = 1_000_000
@@ -153,6 +153,7 @@ class SharedSpans:
     """
 
     def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM, few: int = FEW):
+        ship_package(df.sparkSession)
         self.span, self.gram, self.few = span, gram, few
         docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         self.ids = docs.select("doc_id")
