@@ -32,6 +32,12 @@ NOTICES = [
     r"^(?:error|http|fejl|fehler|erreur|fel|feil|status)?[ :#-]*[45]\d\d(?: error| fejl)?$",
 ]
 
+# Every notice holds one of these; a cheap test before the wordings themselves.
+NOTICE_STEMS = (
+    "sid page seite avez denied forbid found adres addres accueil fejl feil galt fel broke wrong occur fehler erreur error excep fatal parse warning notice traceb line gateway servi tempor too templ render connec down { < request "
+    "script skript cookie kakor kapsler robot mensch mennesk second moment checking øjeblik ögonblick instant browser nettles webbläs navigateur updat opdat oppdat uppdat aktualis mettez 4 5"
+).split()
+
 # What stands beside a notice and says nothing itself.
 NEUTRAL = [
     r"^(?:hov|oops|ups|hoppla|whoops|oups|uups|øv|beklager|sorry|desværre|tyvärr|leider|désolé|entschuldigung)\W*$",
@@ -108,6 +114,13 @@ FUNCTION_WORDS = [
 ]
 
 
+def by_first(words: list[str]) -> str:
+    """An alternation of literal words that looks at the first character once."""
+    firsts = sorted({w[0] for w in words})
+    rest = lambda a: sorted({w[1:] for w in words if w[0] == a}, key=len, reverse=True)
+    return "(?:" + "|".join(f"{re.escape(a)}(?:{'|'.join(map(re.escape, rest(a)))})" for a in firsts) + ")"
+
+
 def joined(patterns: list[str]) -> str:
     return "(?:" + "|".join(patterns) + ")"
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fjordmill.llm.pagetext import FILLER, FURNITURE, LATIN, NEUTRAL, NOTICES, PLACEHOLDERS, SEPARATED_MENU, joined
+from fjordmill.llm.pagetext import FILLER, FURNITURE, LATIN, NEUTRAL, NOTICE_STEMS, NOTICES, PLACEHOLDERS, SEPARATED_MENU, by_first, joined
 from fjordmill.session import broadcast_if_small
 
 LOW_INFORMATION_WORDS, LOW_INFORMATION_CHARS = 60, 1000
@@ -26,12 +26,14 @@ BROADCAST_KEYS = 1_000_000
 NOTICE_CHARS = 300  # a longer fragment is no notice
 BY_LETTER = {a: sorted({w[1:] for w in LATIN if w[0] == a}, key=len, reverse=True) for a in sorted({w[0] for w in LATIN})}
 LATIN_WORD = "(?:" + "|".join(f"[{a.upper()}{a}](?:{'|'.join(rest)})" for a, rest in BY_LETTER.items()) + r")\b"
-# a run starts a line or a sentence, or is the usual beginning
-LATIN_RUN = rf"(?:(?m:^)\s*|(?=[A-Z])|(?=lorem ipsum ))\b{LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4}}"
+# a run starts a line or a sentence
+LATIN_RUN = rf"(?m)(?:^\s*|[.!?:] +){LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4}}"
+LATIN_START = "lorem ipsum dolor sit"  # wherever it stands
 PLACEHOLDER = r"(?=[{$#<%\[@*_])" + joined(PLACEHOLDERS)
 FILLER_LINE = rf"(?imU)^\W*{joined(FILLER)}\W*$"
 # (?U): letters beyond ASCII are letters to the JVM too
 NOTICE = "(?U)" + joined(NOTICES)
+NOTICE_HINT = by_first(NOTICE_STEMS)
 NEUTRAL_LINE = "(?U)" + joined(NEUTRAL)
 FURNITURE_LINE = rf"(?U)^\W*(?:{joined(FURNITURE)}|{SEPARATED_MENU}$)"
 SPLIT = r"\n+| [–—] | - |(?<=[.!?])\s+"
@@ -52,14 +54,14 @@ def holds_filler(c: Column) -> Column:
     text = F.rtrim(c)
     last = F.substring_index(text, "\n", -1)
     twice = (F.substring_index(text, "\n", -2) == F.concat_ws("\n", last, last)) & last.rlike(r"^[\p{L}].* ") & ~F.lower(last).rlike(FURNITURE_LINE)
-    return F.coalesce(c.rlike(LATIN_RUN) | c.rlike(FILLER_LINE) | twice, F.lit(False))
+    return F.coalesce(c.rlike(LATIN_RUN) | c.contains(LATIN_START) | c.rlike(FILLER_LINE) | twice, F.lit(False))
 
 
 def is_notice(c: Column, site: Column) -> Column:
     """Whether all of a text is a notice; site is the page's host. The first fragment is looked at before all others."""
     name = F.regexp_extract(F.coalesce(site, F.lit("")), r"^([^.]+)", 1)
     stripped = lambda x: F.regexp_replace(x, r"^\s+|[\s.]+$", "")
-    a_notice = lambda x: (F.length(x) <= NOTICE_CHARS) & x.rlike(NOTICE)
+    a_notice = lambda x: (F.length(x) <= NOTICE_CHARS) & x.rlike(NOTICE_HINT) & x.rlike(NOTICE)
     says_nothing = lambda x: (x == "") | (x == name) | x.rlike(NEUTRAL_LINE)
     fits = lambda x: a_notice(x) | says_nothing(x)
     first = stripped(F.split(F.lower(F.substring_index(F.trim(c), "\n", 1)), SPLIT, 2)[0])
