@@ -269,6 +269,17 @@ def language_segments(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFram
     return rows.mapInArrow(run, "row_id long, seg_no int, lang string, confidence double, n_sentences int, n_segments int, label string")
 
 
+def document_languages(df: DataFrame) -> DataFrame:
+    """row_id, lang, confidence, languages, n_segments: the language of most sentences of each content, the first on ties, and all its languages."""
+    s = language_segments(df)
+    weight = F.sum(F.col("confidence") * F.col("n_sentences")) / F.sum("n_sentences")
+    by_lang = s.groupBy("row_id", "lang").agg(F.sum("n_sentences").alias("n"), weight.alias("confidence"), F.min("seg_no").alias("first"), F.count("*").alias("segments"))
+    best = F.struct(F.col("n"), -F.col("first"))
+    return by_lang.groupBy("row_id").agg(
+        F.max_by("lang", best).alias("lang"), F.max_by("confidence", best).alias("confidence"), F.sort_array(F.collect_set("lang")).alias("languages"), F.sum("segments").alias("n_segments")
+    )
+
+
 def mislabelled_segments(df: DataFrame) -> DataFrame:
     """row_id, seg_no, lang of the contents in several languages and of those whose label is missing, empty of meaning or wrong."""
     s = language_segments(df)

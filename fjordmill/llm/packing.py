@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from fjordmill.session import ship_package
 
 CAPACITY = 2048
-SHARD_ITEMS = 100_000
+SHARD_ITEMS = 25_000
 
 
 def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:

@@ -44,6 +44,10 @@ def p3_segments(spark: SparkSession, root: str) -> DataFrame:
     return language.language_segments(table(spark, root, "scraped_cache"))
 
 
+def p3_documents(spark: SparkSession, root: str) -> DataFrame:
+    return language.document_languages(table(spark, root, "scraped_cache"))
+
+
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return residue.residue_found(table(spark, root, "scraped_cache"))
 
@@ -78,7 +82,7 @@ def p10_shared(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [p1_found, p1_rates, p1_spikes, p2_found, p2_clean, p2_sites, p3_found, p3_segments, p4_found, p4_clean, p6_found, p6_bodies, p8_ids, p9_containers, p10_found, p10_shared]
+    found = [p1_found, p1_rates, p1_spikes, p2_found, p2_clean, p2_sites, p3_found, p3_segments, p3_documents, p4_found, p4_clean, p6_found, p6_bodies, p8_ids, p9_containers, p10_found, p10_shared]
     return {f.__name__: f for f in found}
 
 

@@ -98,6 +98,8 @@ def test_language(spark):
     seg = language.language_segments(df).filter(f"row_id = {n}").collect()
     assert all(0.9 < r["confidence"] <= 1 for r in seg) and sum(r["n_sentences"] for r in seg) == 6
     assert language.language_segments(df.limit(0)).count() == 0
+    doc = language.document_languages(df).filter(f"row_id = {n}").first()
+    assert doc["lang"] == "da" and doc["languages"] == ["da", "en"] and doc["n_segments"] == 2
 
 
 @pytest.mark.parametrize("label, want", [("da", "da"), ("DA", "da"), ("da_DK", "da"), ("Dansk", "da"), ("nb-NO", "no"), ("nor", "no"), ("Français", "fr"), ("und", None), ("", None), (None, None), ("x-default", None), ("-", None), ("swe", "sv")])
