@@ -2,7 +2,8 @@
 
 Each item goes to the fill level (0 is a new container) after which the sum, over all fill levels, of the squared counts of
 partly filled containers is least; a level array holds the counts and the containers open at each level. Ties go to the
-fullest container. Within a shard items come in falling size.
+fullest container. The rule is made for items in random order, so a shard's items come in the order of a hash, but its
+smallest ``LATE`` share last, in falling size, to fill what is left.
 
 Scale: items are hashed into shards of about ``shard_items`` by id; a shard is packed alone, in O(capacity) memory per
 level array, and at most a few containers per fill level stay open in each, which is a vanishing share of a shard. Texts
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from fjordmill.session import ship_package
 
-CAPACITY = 2048
+CAPACITY, LATE = 2048, 0.3
 SHARD_ITEMS = 25_000
 
 
@@ -67,15 +68,19 @@ def fill_containers(sizes: DataFrame, n_rows: int, capacity: int = CAPACITY, sha
     pieces = sizes.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"), F.explode(F.concat(whole, rest)).alias("p"))
 
     def place(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        t = t.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
         ids, places, tokens = (t.column(c).to_numpy() for c in ("doc_id", "piece", "n_tokens"))
         shard = t.column("shard")[0].as_py()
         names = np.array([None] * len(t), dtype=object)
         for k in np.flatnonzero(tokens == capacity).tolist():
             names[k] = f"full-{ids[k]}-{places[k]}"
         items = (tokens > 0) & (tokens < capacity)
-        names[items] = [f"{shard}-{b}" for b in pack(tokens[items], capacity).tolist()]
+        at = np.flatnonzero(items)
+        if len(at):
+            late = tokens[at] < np.quantile(tokens[at], LATE)
+            at = np.concatenate([at[~late], at[late][np.argsort(-tokens[at[late]], kind="stable")]])
+            names[at] = [f"{shard}-{b}" for b in pack(tokens[at], capacity).tolist()]
         return t.select(["doc_id", "piece", "n_tokens"]).append_column("container", pa.array(names, pa.string()))
 
-    rows = pieces.select("doc_id", "shard", F.col("p.piece").alias("piece"), F.col("p.n").alias("n_tokens"))
+    rows = pieces.select("doc_id", "shard", F.col("p.piece").alias("piece"), F.col("p.n").alias("n_tokens"), F.xxhash64("doc_id", "p.piece").alias("order"))
     return rows.groupBy("shard").applyInArrow(place, "doc_id long, piece int, n_tokens long, container string")
