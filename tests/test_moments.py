@@ -105,3 +105,26 @@ def test_blocks_cover_all_rows(spark, sf):
     pages, zones = table(spark, sf, "sample_old_facebook"), table(spark, sf, "source_zones")
     a = resolve_moments(pages, zones, block=7).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, resolve_moments(pages, zones).collect()))
+
+
+def test_iso_forms_agree_with_duckdb(spark, sf):
+    """An independent reading of the ISO and epoch forms of the whole table; wall times near a change of the clock are left to test_forms."""
+    import pytest as pt
+
+    from fjordmill.session import table
+    from tests.oracle import connect
+
+    con = connect(sf)
+    try:
+        con.execute("SELECT timezone('Europe/Copenhagen', TIMESTAMP '2020-01-01')")
+    except Exception:
+        pt.skip("DuckDB has no time zones here")
+    zoned, wall, epoch = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{1,6})?(Z|[+-]\d\d:\d\d)$", r"^\d{4}-\d\d-\d\d( \d\d:\d\d(:\d\d)?)?$", r"^(\d{10}|\d{13}|\d{16})$"
+    sql = f"""WITH v AS (SELECT row_id, 'date' AS field, trim(date) AS t, 'Europe/Copenhagen' AS zone FROM sample_old_facebook
+            UNION ALL SELECT row_id, 'scraped_at', trim(scraped_at), zone FROM sample_old_facebook JOIN source_zones USING (source)),
+        r AS (SELECT row_id, field, CASE WHEN regexp_matches(t, '{zoned}') THEN epoch_us(try_cast(t AS TIMESTAMPTZ)) WHEN regexp_matches(t, '{wall}') THEN epoch_us(timezone(zone, try_cast(t AS TIMESTAMP)))
+            WHEN regexp_matches(t, '{epoch}') THEN CAST(t AS BIGINT) * CASE length(t) WHEN 10 THEN 1000000 WHEN 13 THEN 1000 ELSE 1 END END AS us, t, zone, regexp_matches(t, '{wall}') AS w FROM v)
+        SELECT row_id, field, strftime(make_timestamp(us), '%Y-%m-%d %H:%M:%S.%f') AS utc FROM r WHERE us IS NOT NULL AND NOT (w AND (strftime(try_cast(t AS TIMESTAMP), '%m') IN ('03', '10', '11') AND strftime(try_cast(t AS TIMESTAMP), '%H') < '04'))"""
+    want = {(a, b): c for a, b, c in con.execute(sql).fetchall()}
+    got = {(r["row_id"], r["field"]): r["utc"] for r in resolve_moments(table(spark, sf, "sample_old_facebook"), table(spark, sf, "source_zones")).collect()}
+    assert len(want) > 50 and {k: (v, got.get(k)) for k, v in want.items() if got.get(k) != v} == {}
