@@ -2,8 +2,9 @@
 
 1. Length histograms per source and column, in characters and in bytes over distinct texts, show spikes at limits: a
    length is a spike if it has at least ``SPIKE_LEAST`` texts, ``SPIKE_TIMES`` the mean of the lengths around it and six
-   standard deviations of a Poisson count more than it. A text of a spike length is suspect, as is any text that doesn't
-   end as a sentence does; both are judged by 2 and 3.
+   standard deviations of a Poisson count more than it. A text of a spike length that ends without punctuation is cut,
+   unless its last line is, letter for letter, a line that another line follows elsewhere. Other texts that don't end as
+   sentences do are judged by 2 and 3.
 2. A text is cut if it ends inside markup, an entity or a broken character, or with a mark (dots, an ellipsis in brackets)
    after something other than a finished sentence.
 3. What is left ends without punctuation: a heading, list, name, link or furniture, or an unmarked cut. The last fragment
@@ -14,7 +15,7 @@
 
 Notices and filler don't count. Scale: units are counted in each task before the shuffle, in a table that is flushed when
 it is full; only their hashes travel. Texts without an end (a minor part) are joined to the counts by hash. Nulls, blanks
-and texts without letters at their end are whole.
+are whole, and so are links and texts without letters at their end, unless at a spike.
 """
 
 from __future__ import annotations
@@ -141,6 +142,11 @@ class Units:
             for part, after in parts:
                 yield self.skeleton(part, after), self.last_word(part)
 
+    @staticmethod
+    def followed_lines(text: str) -> list[str]:
+        """The lines of a text, trimmed at its end, that another line follows."""
+        return [x for line in text.split("\n")[:-1] if (x := line.strip())]
+
 
 def text_fields(df: DataFrame, fields: tuple[str, ...] = ("content", "paywall_snippet")) -> DataFrame:
     """row_id, source, site, field, text: the fields that aren't empty, one row each."""
@@ -151,7 +157,7 @@ def text_fields(df: DataFrame, fields: tuple[str, ...] = ("content", "paywall_sn
 
 
 def corpus_units(texts: DataFrame, least: int = UNIT_LEAST) -> DataFrame:
-    """unit: the hashes of skeletons and last words with at least ``least`` complete units in the corpus."""
+    """unit: the hashes of skeletons, last words and followed lines with at least ``least`` complete units in the corpus."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units, seen = Units(), Counter()
@@ -164,9 +170,12 @@ def corpus_units(texts: DataFrame, least: int = UNIT_LEAST) -> DataFrame:
 
         for b in batches:
             for text in b.column(0).to_pylist():
-                for skeleton, word in units.complete(text.rstrip()):
+                text = text.rstrip()
+                for skeleton, word in units.complete(text):
                     seen["s" + skeleton] += 1
                     seen["w" + word] += 1
+                for line in units.followed_lines(text):
+                    seen["l" + line] += 1
                 if len(seen) > FLUSH:
                     yield flush()
         yield flush()
@@ -175,7 +184,10 @@ def corpus_units(texts: DataFrame, least: int = UNIT_LEAST) -> DataFrame:
 
 
 def open_ends(texts: DataFrame) -> DataFrame:
-    """row_id, source, field, chars, bytes, state, skeleton, word: the fields that don't end as sentences do; notices and filler are left out."""
+    """row_id, source, field, chars, bytes, state, plain, skeleton, word, line: the fields that don't end as sentences do.
+
+    plain: whether the end is a link or has no letters. Notices and filler are left out.
+    """
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = Units()
@@ -200,16 +212,15 @@ def open_ends(texts: DataFrame) -> DataFrame:
                 part, after = parts[-1] if parts else ("", False)
                 broken = bool(IN_MARKUP.search(text))
                 state = BROKEN if broken else MARKED if marked else UNFINISHED
-                if state == UNFINISHED and (not LETTER.search(part) or LINK.search(last)):
-                    continue
-                rows.append((row_id, source, field, len(raw), len(raw.encode("utf8", "surrogatepass")), state, key("s" + units.skeleton(part, after)), key("w" + units.last_word(part))))
-            columns = list(zip(*rows)) or [()] * 8
-            types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
-            names = ["row_id", "source", "field", "chars", "bytes", "state", "skeleton", "word"]
+                plain = not LETTER.search(part) or bool(LINK.search(last))
+                rows.append((row_id, source, field, len(raw), len(raw.encode("utf8", "surrogatepass")), state, plain, key("s" + units.skeleton(part, after)), key("w" + units.last_word(part)), key("l" + last.strip())))
+            columns = list(zip(*rows)) or [()] * 10
+            types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
+            names = ["row_id", "source", "field", "chars", "bytes", "state", "plain", "skeleton", "word", "line"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     slim = texts.select(F.col("row_id").cast("long"), "source", "site", "field", "text")
-    return slim.mapInArrow(look, "row_id long, source string, field string, chars int, bytes int, state string, skeleton long, word long")
+    return slim.mapInArrow(look, "row_id long, source string, field string, chars int, bytes int, state string, plain boolean, skeleton long, word long, line long")
 
 
 def length_spikes(texts: DataFrame) -> DataFrame:
@@ -224,26 +235,27 @@ def length_spikes(texts: DataFrame) -> DataFrame:
 
 
 def cut_fields(df: DataFrame) -> DataFrame:
-    """row_id, source, field, state: the cut contents and snippets of df, one row each, and how the cut shows.
+    """row_id, source, field, state, chars, bytes, at_limit: the cut contents and snippets of df, one row each, how the cut
+    shows and whether the length is a spike of its source and column.
 
     df has row_id, source, original_url, resolved_url, content and paywall_snippet; other columns are ignored.
     """
     texts = text_fields(df)
     units = corpus_units(texts)
-    ends = open_ends(texts)
-    like = units.select(F.col("unit").alias("skeleton"), F.lit(True).alias("like_units"))
-    ending = units.select(F.col("unit").alias("word"), F.lit(True).alias("ends_units"))
-    judged = ends.join(like, "skeleton", "left").join(ending, "word", "left")
-    whole = F.col("like_units").isNotNull() & F.col("ends_units").isNotNull()
-    return judged.filter((F.col("state") != UNFINISHED) | ~whole).select("row_id", "source", "field", "state", "chars", "bytes")
+    spikes = length_spikes(texts).select("source", "field", "unit", F.col("length").alias("_length"))
+    by_unit = lambda u: spikes.filter(F.col("unit") == u).select("source", "field", F.col("_length").alias(u), F.lit(True).alias(f"in_{u}"))
+    ends = open_ends(texts).join(by_unit("chars"), ["source", "field", "chars"], "left").join(by_unit("bytes"), ["source", "field", "bytes"], "left")
+    ends = ends.withColumn("at_limit", F.col("in_chars").isNotNull() | F.col("in_bytes").isNotNull())
+    known = lambda c: units.select(F.col("unit").alias(c), F.lit(True).alias(f"{c}_known"))
+    judged = ends.join(known("skeleton"), "skeleton", "left").join(known("word"), "word", "left").join(known("line"), "line", "left")
+    like_units = F.col("plain") | (F.col("skeleton_known").isNotNull() & F.col("word_known").isNotNull())
+    whole = F.when(F.col("at_limit"), F.col("line_known").isNotNull()).otherwise(like_units)
+    return judged.filter((F.col("state") != UNFINISHED) | ~whole).select("row_id", "source", "field", "state", "chars", "bytes", "at_limit")
 
 
 def cut_at_limits(df: DataFrame) -> DataFrame:
-    """row_id, source, field, state, at_limit: cut_fields and whether the length is a spike of its source and column."""
-    spikes = length_spikes(text_fields(df)).select("source", "field", "unit", F.col("length").alias("_length"))
-    by_unit = lambda u: spikes.filter(F.col("unit") == u).select("source", "field", F.col("_length").alias(u), F.lit(True).alias(f"in_{u}"))
-    cut = cut_fields(df).join(by_unit("chars"), ["source", "field", "chars"], "left").join(by_unit("bytes"), ["source", "field", "bytes"], "left")
-    return cut.select("row_id", "source", "field", "state", (F.col("in_chars").isNotNull() | F.col("in_bytes").isNotNull()).alias("at_limit"))
+    """row_id, source, field, state, at_limit of cut_fields."""
+    return cut_fields(df).drop("chars", "bytes")
 
 
 def truncation_rates(df: DataFrame) -> DataFrame:

@@ -156,3 +156,17 @@ def test_spikes(spark):
     assert ("chars", 250) in spikes and ("bytes", 250) in spikes and len(spikes) == 2
     at = truncation.cut_at_limits(pages(spark, rows)).filter("at_limit").count()
     assert at >= 1
+
+
+def test_spike_decides(spark):
+    """At a limit only a known line is whole; elsewhere a line like one is, and so is a link."""
+    known, like, link = "Nye tal om skolen", "Gode tal om skolen", "https://kort.example/sider/nr"
+    rows = [{"content": f"{known}\n{DA[k % 3]} {k}."} for k in range(12)]
+    n = len(rows)
+    texts = [(f"{k:03d} " + DA[k % 3] * 9)[: 250 - len(end) - 2] + ".\n" + end for end in (known, like, link) for k in range(10)]
+    free = [f"{DA[0]}\n{like}", f"{DA[1] * 2}\n{link}"]
+    df = pages(spark, rows + [{"content": t} for t in texts + free])
+    assert {len(t) for t in texts} == {250}
+    found = {r["row_id"] for r in truncation.cut_at_limits(df).filter("at_limit").collect()}
+    assert found == set(range(n + 10, n + 30)) == {r["row_id"] for r in truncation.cut_fields(df).collect()}
+    assert truncation.truncation_rates(df).first()["n_cut"] == 20
