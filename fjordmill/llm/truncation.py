@@ -3,15 +3,18 @@
 1. Length histograms per source and column, in characters and in bytes over distinct texts, show spikes at limits: a
    length is a spike if it has at least ``SPIKE_LEAST`` texts, ``SPIKE_TIMES`` the mean of the lengths around it and six
    standard deviations of a Poisson count more than it. A text of a spike length that ends without punctuation is cut,
-   unless its last line is, letter for letter, a line that another line follows elsewhere. Other texts that don't end as
+   unless its last line is, letter for letter, a line that another line follows elsewhere, or a line of some length that
+   other texts end in too (a footer). Other texts that don't end as
    sentences do are judged by 2 and 3.
 2. A text is cut if it ends inside markup, an entity or a broken character, or with a mark (dots, an ellipsis in brackets)
    after something other than a finished sentence.
 3. What is left ends without punctuation: a heading, list, name, link or furniture, or an unmarked cut. The last fragment
    is held against the complete units of the corpus (finished sentences, and lines that another line follows): it is
    whole if its skeleton (names and numbers by kind, and in all but short units words of four letters or more too) is that
-   of complete units, and its last word ends units. A fragment after a finished sentence in its line must be like the
-   unfinished ends of such lines.
+   of complete units, and its last word ends units, both in a share of at least ``END_SHARE``: ends against ends and
+   places inside longer units, counted over distinct texts, so that the verdict doesn't hang on the size of the corpus; one
+   text alone is no evidence. A fragment that is letter for letter a complete unit is whole. A fragment after a finished sentence in its line must be
+   like the unfinished ends of such lines.
 
 Notices and filler don't count. Scale: units are counted in each task before the shuffle, in a table that is flushed when
 it is full; only their hashes travel. Texts without an end (a minor part) are joined to the counts by hash. Nulls, blanks
@@ -32,12 +35,14 @@ from pyspark.sql import functions as F
 
 from fjordmill.llm.pagetext import FILLER, LATIN, NEUTRAL, NOTICES, PLACEHOLDERS, joined
 from fjordmill.llm.residue import NOTICE_CHARS, SPLIT, host
-from fjordmill.session import ship_package
+from fjordmill.session import broadcast_if_small, ship_package
 
 SPIKE_LEAST, SPIKE_TIMES, SPIKE_REACH = 8, 4.0, 20
-UNIT_LEAST = 2
+END_SHARE, END_LEAST = 0.05, 2
+ENDING_CHARS = 20
 SHORT_BLANKS = 4
 FLUSH = 300_000
+BROADCAST_COPIES = 1_000_000
 UNFINISHED, MARKED, BROKEN = "unfinished", "marked", "broken"
 
 MARK = re.compile(r"\s*(?:…|\.\.\.|\[(?:…|\.\.\.)\]|\((?:…|\.\.\.)\))$")
@@ -91,6 +96,8 @@ class Units:
     def __init__(self, remember: int = 300_000):
         self.short: dict[str, str] = {}
         self.long: dict[str, str] = {}
+        self.words: dict[str, str] = {}
+        self.longer: dict[str, list[str]] = {}
         self.remember = remember
 
     def _kind(self, token: str, long: bool) -> str:
@@ -105,21 +112,21 @@ class Units:
             kind = "w" if long and len(core) >= 4 else core
         return token.replace(core, kind, 1)
 
+    def _known(self, token: str, long: bool) -> str:
+        known = self.long if long else self.short
+        k = known.get(token)
+        if k is None:
+            if len(known) >= self.remember:
+                known.clear()
+            k = known[token] = self._kind(token, long)
+        return k
+
     def skeleton(self, fragment: str, after: bool) -> str:
         fragment = fragment.strip()
         lead = LEAD.match(fragment)
         tokens = (fragment[lead.end() :] if lead else fragment).split()
         long = len(tokens) > SHORT_BLANKS
-        known = self.long if long else self.short
-        out = []
-        for t in tokens:
-            k = known.get(t)
-            if k is None:
-                if len(known) >= self.remember:
-                    known.clear()
-                k = known[t] = self._kind(t, long)
-            out.append(k)
-        return ("+" if after else "") + " ".join(out).rstrip(PUNCTUATION)
+        return ("+" if after else "") + " ".join([self._known(t, long) for t in tokens]).rstrip(PUNCTUATION)
 
     @staticmethod
     def last_word(fragment: str) -> str:
@@ -127,20 +134,52 @@ class Units:
         core = word[0].strip(PUNCTUATION).lower() if word else ""
         return "0" if any(ch.isdigit() for ch in core) else core
 
+    def beginnings(self, fragment: str, after: bool) -> list[str]:
+        """The skeletons of a fragment's first words, for each number of words but all."""
+        fragment = fragment.strip()
+        lead = LEAD.match(fragment)
+        tokens = (fragment[lead.end() :] if lead else fragment).split()
+        sign = "+" if after else ""
+        short = [self._known(t, False) for t in tokens[:SHORT_BLANKS]]
+        out = [sign + " ".join(short[:k]).rstrip(PUNCTUATION) for k in range(1, min(len(tokens), SHORT_BLANKS + 1))]
+        if len(tokens) <= SHORT_BLANKS + 1:
+            return out
+        kinds = sign + " ".join([self._known(t, True) for t in tokens[:-1]])
+        longer = self.longer.get(kinds)
+        if longer is None:
+            if len(self.longer) >= self.remember // 20:
+                self.longer.clear()
+            at = [k for k, c in enumerate(kinds) if c == " "][SHORT_BLANKS:] + [len(kinds)]
+            longer = self.longer[kinds] = [kinds[:k].rstrip(PUNCTUATION) for k in at]
+        return out + longer
+
+    def inner_words(self, fragment: str) -> list[str]:
+        """The words of a fragment before its last one, as ``last_word`` would give them."""
+        out, known = [], self.words
+        for t in fragment.split()[:-1]:
+            w = known.get(t)
+            if w is None:
+                if len(known) >= self.remember:
+                    known.clear()
+                w = known[t] = self.last_word(t)
+            if w:
+                out.append(w)
+        return out
+
     def fragments(self, line: str) -> list[tuple[str, bool]]:
         """The fragments of a line, and whether each is unfinished after a finished one."""
         parts = [p for p in SENTENCE_BREAK.split(line) if p.strip()]
         return [(p, k > 0 and not is_finished(p)) for k, p in enumerate(parts)]
 
-    def complete(self, text: str) -> Iterator[tuple[str, str]]:
-        """(skeleton, last word) of the complete units of a text, trimmed at its end."""
+    def complete(self, text: str) -> Iterator[tuple[str, bool, bool]]:
+        """(unit, after, in_line) of the complete units of a text, trimmed at its end; in_line: whether another one stands before it in its line."""
         lines = [x for x in text.split("\n") if x.strip()]
         for n, line in enumerate(lines, 1):
             parts = self.fragments(line)
             if n == len(lines) and not is_finished(line):
                 parts = parts[:-1]
-            for part, after in parts:
-                yield self.skeleton(part, after), self.last_word(part)
+            for k, (part, after) in enumerate(parts):
+                yield part, after, k > 0
 
     @staticmethod
     def followed_lines(text: str) -> list[str]:
@@ -156,35 +195,58 @@ def text_fields(df: DataFrame, fields: tuple[str, ...] = ("content", "paywall_sn
     return rows.select("row_id", "source", "site", F.col("p.field").alias("field"), F.col("p.text").alias("text")).filter(F.length("text") > 0)
 
 
-def corpus_units(texts: DataFrame, least: int = UNIT_LEAST) -> DataFrame:
-    """unit: the hashes of skeletons, last words and followed lines with at least ``least`` complete units in the corpus."""
+def distinct_texts(texts: DataFrame) -> DataFrame:
+    """text: each text of ``texts`` once; only the keys of later copies travel, not the texts."""
+    keyed = texts.select("row_id", "field", F.xxhash64("text").alias("_h"))
+    first = keyed.groupBy("_h").agg(F.min(F.struct("row_id", "field")).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    copies = keyed.join(first, "_h").filter(F.struct("row_id", "field") != F.col("_first")).select("row_id", "field")
+    return texts.join(broadcast_if_small(copies, BROADCAST_COPIES), ["row_id", "field"], "left_anti").select("text")
+
+
+def corpus_units(texts: DataFrame, share: float = END_SHARE) -> DataFrame:
+    """unit, ends: the hashes of the skeletons and last words that end at least ``share`` of the units they occur in, of
+    unfinished units, of the lines that another line follows and of the long last lines, with their number of distinct texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, seen = Units(), Counter()
+        units, ends, inside = Units(), Counter(), Counter()
 
         def flush() -> pa.RecordBatch:
-            keys = pa.array([xxhash.xxh64_intdigest(k.encode("utf8", "surrogatepass")) - (1 << 63) for k in seen], pa.int64())
-            out = pa.RecordBatch.from_arrays([keys, pa.array(seen.values(), pa.int64())], ["unit", "n"])
-            seen.clear()
+            keys = ends.keys() | inside.keys()
+            hashes = pa.array([xxhash.xxh64_intdigest(k.encode("utf8", "surrogatepass")) - (1 << 63) for k in keys], pa.int64())
+            out = pa.RecordBatch.from_arrays([hashes, pa.array([ends[k] for k in keys], pa.int64()), pa.array([inside[k] for k in keys], pa.int64())], ["unit", "ends", "inside"])
+            ends.clear()
+            inside.clear()
             return out
 
         for b in batches:
             for text in b.column(0).to_pylist():
                 text = text.rstrip()
-                for skeleton, word in units.complete(text):
-                    seen["s" + skeleton] += 1
-                    seen["w" + word] += 1
-                for line in units.followed_lines(text):
-                    seen["l" + line] += 1
-                if len(seen) > FLUSH:
+                if not text:
+                    continue
+                ending, inner, words = set(), set(), set()
+                for part, after, in_line in units.complete(text):
+                    ending.add("s" + units.skeleton(part, after))
+                    ending.add("w" + units.last_word(part))
+                    if not is_finished(part):
+                        ending.add("u" + part.strip())
+                    inner.update(units.beginnings(part, in_line))
+                    words.update(units.inner_words(part))
+                ending.update(["l" + x for x in units.followed_lines(text)])
+                last = text.rsplit("\n", 1)[-1].strip()
+                if len(last) >= ENDING_CHARS and not is_finished(last) and not LINK.search(last):  # links cut short are alike
+                    ending.add("e" + last)
+                ends.update(ending)
+                inside.update(["s" + x for x in inner] + ["w" + x for x in words])
+                if len(ends) + len(inside) > FLUSH:
                     yield flush()
         yield flush()
 
-    return texts.select("text").mapInArrow(count, "unit long, n long").groupBy("unit").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("unit")
+    counted = distinct_texts(texts).mapInArrow(count, "unit long, ends long, inside long").groupBy("unit").agg(F.sum("ends").alias("ends"), F.sum("inside").alias("inside"))
+    return counted.filter((F.col("ends") > 0) & (F.col("ends") >= share * (F.col("ends") + F.col("inside")))).select("unit", "ends")
 
 
 def open_ends(texts: DataFrame) -> DataFrame:
-    """row_id, source, field, chars, bytes, state, plain, skeleton, word, line: the fields that don't end as sentences do.
+    """row_id, source, field, chars, bytes, state, plain, skeleton, word, same, line, ending: the fields that don't end as sentences do.
 
     plain: whether the end is a link or has no letters. Notices and filler are left out.
     """
@@ -213,14 +275,14 @@ def open_ends(texts: DataFrame) -> DataFrame:
                 broken = bool(IN_MARKUP.search(text))
                 state = BROKEN if broken else MARKED if marked else UNFINISHED
                 plain = not LETTER.search(part) or bool(LINK.search(last))
-                rows.append((row_id, source, field, len(raw), len(raw.encode("utf8", "surrogatepass")), state, plain, key("s" + units.skeleton(part, after)), key("w" + units.last_word(part)), key("l" + last.strip())))
-            columns = list(zip(*rows)) or [()] * 10
-            types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
-            names = ["row_id", "source", "field", "chars", "bytes", "state", "plain", "skeleton", "word", "line"]
+                rows.append((row_id, source, field, len(raw), len(raw.encode("utf8", "surrogatepass")), state, plain, key("s" + units.skeleton(part, after)), key("w" + units.last_word(part)), key("u" + part.strip()), key("l" + last.strip()), key("e" + last.strip())))
+            columns = list(zip(*rows)) or [()] * 12
+            types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            names = ["row_id", "source", "field", "chars", "bytes", "state", "plain", "skeleton", "word", "same", "line", "ending"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     slim = texts.select(F.col("row_id").cast("long"), "source", "site", "field", "text")
-    return slim.mapInArrow(look, "row_id long, source string, field string, chars int, bytes int, state string, plain boolean, skeleton long, word long, line long")
+    return slim.mapInArrow(look, "row_id long, source string, field string, chars int, bytes int, state string, plain boolean, skeleton long, word long, same long, line long, ending long")
 
 
 def length_spikes(texts: DataFrame) -> DataFrame:
@@ -246,10 +308,13 @@ def cut_fields(df: DataFrame) -> DataFrame:
     by_unit = lambda u: spikes.filter(F.col("unit") == u).select("source", "field", F.col("_length").alias(u), F.lit(True).alias(f"in_{u}"))
     ends = open_ends(texts).join(by_unit("chars"), ["source", "field", "chars"], "left").join(by_unit("bytes"), ["source", "field", "bytes"], "left")
     ends = ends.withColumn("at_limit", F.col("in_chars").isNotNull() | F.col("in_bytes").isNotNull())
-    known = lambda c: units.select(F.col("unit").alias(c), F.lit(True).alias(f"{c}_known"))
-    judged = ends.join(known("skeleton"), "skeleton", "left").join(known("word"), "word", "left").join(known("line"), "line", "left")
-    like_units = F.col("plain") | (F.col("skeleton_known").isNotNull() & F.col("word_known").isNotNull())
-    whole = F.when(F.col("at_limit"), F.col("line_known").isNotNull()).otherwise(like_units)
+    least = {"skeleton": END_LEAST, "word": END_LEAST, "same": 1, "line": 1, "ending": END_LEAST}
+    pairs = F.array(*(F.struct(F.lit(c).alias("role"), F.col(c).alias("unit")) for c in least))
+    own = ["row_id", "source", "field", "state", "chars", "bytes", "plain", "at_limit"]
+    # all five in one join: the corpus is counted once
+    sought = ends.select(*own, F.explode(pairs).alias("p")).select(*own, "p.role", "p.unit").join(units, "unit", "left")
+    judged = sought.groupBy(*own).agg(*(F.coalesce(F.max(F.when(F.col("role") == c, F.col("ends") >= n)), F.lit(False)).alias(c) for c, n in least.items()))
+    whole = F.when(F.col("at_limit"), F.col("line") | F.col("ending")).otherwise(F.col("plain") | F.col("same") | (F.col("skeleton") & F.col("word")))
     return judged.filter((F.col("state") != UNFINISHED) | ~whole).select("row_id", "source", "field", "state", "chars", "bytes", "at_limit")
 
 

@@ -170,3 +170,17 @@ def test_spike_decides(spark):
     found = {r["row_id"] for r in truncation.cut_at_limits(df).filter("at_limit").collect()}
     assert found == set(range(n + 10, n + 30)) == {r["row_id"] for r in truncation.cut_fields(df).collect()}
     assert truncation.truncation_rates(df).first()["n_cut"] == 20
+
+
+@pytest.mark.parametrize("size", [1, 10])
+def test_units_are_relative(spark, size):
+    """Words that seldom end a unit don't make one whole, however large the corpus; a page cached again counts once."""
+    noun = ["skolen", "broen", "vejen", "havnen", "byen"]
+    rows = [{"content": f"{DA[0]}\nVi fik planen om {noun[k % 5]} og parken {k}."} for k in range(60 * size)] + [{"content": f"{DA[0]}\nVi fik planen om\nSlut nr {k}."} for k in range(2 * size)]
+    n = len(rows)
+    rows += [{"content": f"{DA[0]} {k}.\nDe kom til byen\nSlut."} for k in range(40 * size)]
+    rows += [{"content": f"{DA[2]}\nHan skrev en bog\nSlut."}] * 3
+    m = n + 40 * size + 3
+    rows += [{"content": f"{DA[1]}\n{x}"} for x in ("Nu fik planen om", "Hun skrev en bog", "Vi kom til byen", "Han skrev en bog")]
+    found = {r["row_id"] for r in truncation.cut_fields(pages(spark, rows)).collect()}
+    assert found == {m, m + 1}
