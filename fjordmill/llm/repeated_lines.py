@@ -14,7 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fjordmill.operators.moments import moment_micros
+
 MIN_ROWS, MIN_SHARE = 8, 0.1
+DAY_MICROS = 86_400_000_000
 # White space beside the line feed, as str.split() knows it.
 BLANKS = "\\t\\u000b\\u000c\\r\\u001c-\\u001f\\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -67,9 +70,13 @@ def without_repeated(df: DataFrame, id_col: str = "row_id", domain: str = "domai
     return joined.select("row_id", F.array_join(F.transform(kept, lambda p: p["line"]), "\n").alias("clean"))
 
 
-def site_report(df: DataFrame, id_col: str = "row_id", domain: str = "domain", content: str = "content", date: str = "date") -> DataFrame:
-    """site, line_key, n_rows, n_clusters, n_days: the repeated lines with the distinct publication days they occur on."""
-    rows = line_keys(df, id_col, domain, content, F.substring(F.trim(F.col(date)), 1, 10).alias("day"))
+def site_report(df: DataFrame, id_col: str = "row_id", domain: str = "domain", content: str = "content", date: str = "date", zone: str = "Europe/Copenhagen") -> DataFrame:
+    """site, line_key, n_rows, n_clusters, n_days: the repeated lines with the distinct publication days they occur on.
+
+    A day is that of the date's moment in UTC; dates without zone are in ``zone``. Dates that are no moment count for no day.
+    """
+    dated = moment_micros(df.select(id_col, domain, content, date, F.lit(zone).alias("_zone")), date, "_zone", "_micros")
+    rows = line_keys(dated, id_col, domain, content, F.floor(F.col("_micros") / DAY_MICROS).alias("day"))
     hot = repeated(rows)
     days = rows.select("site", "day", F.explode(F.array_distinct("keys")).alias("key")).join(hot.select("site", "key"), ["site", "key"], "left_semi")
     n_days = days.groupBy("site", "key").agg(F.count_distinct("day").alias("n_days"))

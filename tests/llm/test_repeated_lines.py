@@ -47,3 +47,13 @@ def test_copies_count_as_one_cluster(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "row_id long, domain string, content string, date string")
     assert R.repeated_places(df).count() == 0 and R.without_repeated(df).count() == 0 and R.site_report(df).count() == 0
+
+
+def test_days_are_moments(spark):
+    """One day in many forms counts once; what is no moment counts for none."""
+    same = ["2009-01-14", "2009/01/14", "Jan 14, 2009 3:21 AM", "14. januar 2009", "Wed, 14 Jan 2009 10:00:00 +0000", "1231934400", "1231934401", "1231934400000", "1231934400000000", "2009-01-14T12:00:00Z"]
+    other = ["14. januar 2010", "2009-01-16 00:30"]
+    none = ["None", "N/A", "Invalid Date", "", None, "2009-02-30"]
+    # 2009-01-14 in Copenhagen begins on the 13th in UTC, and so do the other dates without a time
+    df = spark.createDataFrame([(k, "a.dk", f"samme\negen {chr(97 + k)}", d) for k, d in enumerate(same + other + none)], "row_id long, domain string, content string, date string")
+    assert [r["n_days"] for r in R.site_report(df).collect()] == [4]
