@@ -25,10 +25,9 @@ EVIDENCE_HOSTS = 3
 BROADCAST_KEYS = 1_000_000
 NOTICE_CHARS = 300  # a longer fragment is no notice
 BY_LETTER = {a: sorted({w[1:] for w in LATIN if w[0] == a}, key=len, reverse=True) for a in sorted({w[0] for w in LATIN})}
-LATIN_WORD = "(?:" + "|".join(f"[{a.upper()}{a}](?:{'|'.join(rest)})" for a, rest in BY_LETTER.items()) + r")\b"
-# a run starts a line or a sentence
-LATIN_RUN = rf"(?m)(?:^\s*|[.!?:] +){LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4}}"
-LATIN_START = "lorem ipsum dolor sit"  # wherever it stands
+LATIN_WORD = "(?:" + "|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in BY_LETTER.items()) + r")\b"
+# wherever it stands; the look-behind keeps a run from starting inside a word
+LATIN_RUN = rf"(?i)(?<![\p{{L}}\p{{N}}_]){LATIN_WORD}(?:[ ,.]+{LATIN_WORD}){{4}}"
 PLACEHOLDER = r"(?=[{$#<%\[@*_])" + joined(PLACEHOLDERS)
 FILLER_LINE = rf"(?imU)^\W*{joined(FILLER)}\W*$"
 # (?U): letters beyond ASCII are letters to the JVM too
@@ -54,7 +53,7 @@ def holds_filler(c: Column) -> Column:
     text = F.rtrim(c)
     last = F.substring_index(text, "\n", -1)
     twice = (F.substring_index(text, "\n", -2) == F.concat_ws("\n", last, last)) & last.rlike(r"^[\p{L}].* ") & ~F.lower(last).rlike(FURNITURE_LINE)
-    return F.coalesce(c.rlike(LATIN_RUN) | c.contains(LATIN_START) | c.rlike(FILLER_LINE) | twice, F.lit(False))
+    return F.coalesce(c.rlike(LATIN_RUN) | c.rlike(FILLER_LINE) | twice, F.lit(False))
 
 
 def is_notice(c: Column, site: Column) -> Column:

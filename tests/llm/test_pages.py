@@ -184,3 +184,12 @@ def test_units_are_relative(spark, size):
     rows += [{"content": f"{DA[1]}\n{x}"} for x in ("Nu fik planen om", "Hun skrev en bog", "Vi kom til byen", "Han skrev en bog")]
     found = {r["row_id"] for r in truncation.cut_fields(pages(spark, rows)).collect()}
     assert found == {m, m + 1}
+
+
+def test_pseudo_latin_anywhere(spark):
+    run = "lorem ipsum amet elit nunc"
+    bad = [f"Overskrift {a}{x} og mere." for a in ("– ", "»", "(", "her, ", "<p>", "om ", "om\t") for x in (run, run.capitalize(), run.upper())] + ["Title – Lorem ipsum dolor sit amet", "VELIT AMET DOLOR NUNC VITAE"]
+    good = ["Overskrift om lorem ipsum amet elit her.", "Xlorem ipsum amet elit nuncx.", "ålorem ipsum amet elit nunc"]
+    df = pages(spark, [{"content": x} for x in bad + good] + [{"content": "ok.", "paywall_snippet": bad[0]}])
+    found = {tuple(r) for r in residue.residue_found(df).collect()}
+    assert found == {(k, "content") for k in range(len(bad))} | {(len(bad + good), "paywall_snippet")}
