@@ -3,7 +3,8 @@
 Pages are sequences of lines, so a page's tree has one level and matching it to the pages of its host means matching equal
 lines: a line that recurs on several pages of one host is a constant node of the host's template, lines between constants
 are slots. Slots are body unless the constant before them opens a slot of another kind (teasers); constants are furniture
-unless they are known subheadings or stand between two paragraphs. A general vocabulary names constants on hosts with too
+unless they are known subheadings or stand between two paragraphs. Sentences are constants only on at least
+``SENTENCE_PAGES`` pages and ``SENTENCE_SHARE`` of a host's, and then furniture wherever they stand. A general vocabulary names constants on hosts with too
 few pages to align.
 
 Scale: template counts are one aggregation of line hashes; a host's template has at most lines-per-page / TEMPLATE_SHARE
@@ -28,6 +29,7 @@ from fjordmill.llm.residue import host, with_residue_flag
 from fjordmill.session import broadcast_if_small, ship_package
 
 TEMPLATE_PAGES, TEMPLATE_SHARE = 3, 0.01
+SENTENCE_PAGES, SENTENCE_SHARE = 5, 0.05
 BROADCAST_LINES = 1_000_000
 
 PARAGRAPH, FURNISHED, TEASERS, SUBHEAD, MARK, BULLET, SENTENCE, SHORT = range(8)
@@ -47,6 +49,7 @@ BULLETS = re.compile(r"(?:[•*·‣▪]|\d{1,2}[.)]|[a-z]\))\s+\S")
 DASHED = re.compile(r"[-–—]\s+\S")
 CLOCKED = re.compile(r"(?:kl\. ?)?\d{1,2}[:.]\d{2}\s+\S")
 FURNITURE_RE = re.compile(rf"\W*(?:{joined(FURNITURE)})", re.I)
+LONG_FURNITURE = re.compile(r"\W*(?:©|få |get |recevez )", re.I)  # furniture even as a sentence
 MENU_RE = re.compile(rf"\W*{SEPARATED_MENU}\W*", re.I)
 MANY_ITEMS = re.compile(r"[^/|·»›]{1,25}(?:\s*[/|·»›]\s*[^/|·»›]{1,25}){2,}")
 NOTICE_RE = re.compile(joined(NOTICES), re.I)
@@ -72,7 +75,7 @@ SPECIAL = "©«‹★☆▲▼►◄■●<>{(["
 def kind_of(line: str) -> int:
     """The kind of a stripped, non-blank line by itself."""
     blanks = line.count(" ")
-    if line[-1] in TERMINAL and blanks >= 14:
+    if line[-1] in TERMINAL and blanks >= 14 and not LONG_FURNITURE.match(line):
         return PARAGRAPH
     low = line.lower()
     if low.rstrip(" :.") in SUBHEAD_SET:
@@ -89,7 +92,7 @@ def kind_of(line: str) -> int:
     ended = bool(ENDS.search(line))
     if TEASER_RE.match(line) and len(words) <= 8 and not ended:
         return FURNISHED if ":" in line[:-1] else TEASERS
-    if FURNITURE_RE.match(line) and not (ended and len(words) >= 8 and not re.match(r"\W*(?:©|få |get |recevez )", line, re.I)):
+    if FURNITURE_RE.match(line) and not (ended and len(words) >= 8 and not LONG_FURNITURE.match(line)):
         return FURNISHED
     if not LETTERS.search(line):
         return MARK if MARKS.fullmatch(line) else (FURNISHED if len(line) < 12 else MARK)
@@ -118,7 +121,7 @@ class Pages:
         self.remember = remember
 
     def kind(self, line: str) -> int:
-        if line[-1] in TERMINAL and line.count(" ") >= 14:
+        if line[-1] in TERMINAL and line.count(" ") >= 14 and not LONG_FURNITURE.match(line):
             return PARAGRAPH
         k = self.known.get(line)
         if k is None:
@@ -132,6 +135,8 @@ class Pages:
         bare = [x.strip() for x in lines]
         kinds = [self.kind(x) if x else -1 for x in bare]
         constant = lambda k: Templates.has(template, lines[k])
+        if template:
+            kinds = [FURNISHED if x == PARAGRAPH and Templates.has(template, lines[k], often=True) else x for k, x in enumerate(kinds)]
         title = (title or "").lower()
         body = [k for k, x in enumerate(kinds) if x == PARAGRAPH]
         first, last = (body[0], body[-1]) if body else (None, None)
@@ -169,17 +174,24 @@ class Pages:
 
 
 def line_keys(c: str):
-    """The hash of each line for alignment: lower-case, digits masked; null for blank lines and lines that end as sentences do."""
+    """(key, ended) of each line for alignment: its hash, lower-case, digits masked, null for blank lines, and whether it ends as sentences do."""
     lines = F.transform(F.split(F.regexp_replace(F.lower(F.col(c)), "[0-9]+", "0"), "\n"), lambda x: F.trim(x))
-    return F.transform(lines, lambda x: F.when((x != "") & ~F.substring(x, -1, 1).isin(".", "!", "?"), F.xxhash64(x)))
+    return F.transform(lines, lambda x: F.when(x != "", F.struct(F.xxhash64(x).alias("key"), F.substring(x, -1, 1).isin(".", "!", "?").alias("ended"))))
 
 
 def templates(rows: DataFrame) -> DataFrame:
-    """site, template: the line hashes that recur on the pages of a host; copies of an address count once."""
-    pages = rows.filter("site IS NOT NULL AND keys IS NOT NULL").select("site", "page", F.explode(F.array_distinct(F.array_compact("keys"))).alias("key"))
-    counted = pages.groupBy("site", "key", "page").agg(F.lit(1).alias("one")).groupBy("site", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= TEMPLATE_PAGES)
+    """site, template: the line hashes that recur on the pages of a host; copies of an address count once.
+
+    Lines on ``SENTENCE_PAGES`` and ``SENTENCE_SHARE`` of the pages have the complement of their hash in it too; lines that
+    end as sentences do are left out below that.
+    """
+    pages = rows.filter("site IS NOT NULL AND keys IS NOT NULL").select("site", "page", F.explode(F.array_distinct(F.array_compact("keys"))).alias("k")).select("site", "page", "k.key", "k.ended")
+    counted = pages.groupBy("site", "key", "ended", "page").agg(F.lit(1).alias("one")).groupBy("site", "key", "ended").agg(F.count("*").alias("n")).filter(F.col("n") >= TEMPLATE_PAGES)
     totals = rows.filter("site IS NOT NULL").groupBy("site").agg(F.count_distinct("page").alias("pages"))
-    return counted.join(totals, "site").filter(F.col("n") >= F.col("pages") * TEMPLATE_SHARE).groupBy("site").agg(F.collect_set("key").alias("template"))
+    often = (F.col("n") >= SENTENCE_PAGES) & (F.col("n") >= F.col("pages") * SENTENCE_SHARE)
+    kept = counted.join(totals, "site").filter(F.when(F.col("ended"), often).otherwise(F.col("n") >= F.col("pages") * TEMPLATE_SHARE))
+    keys = kept.select("site", F.explode(F.when(often, F.array("key", F.bitwise_not("key"))).otherwise(F.array("key"))).alias("key"))
+    return keys.groupBy("site").agg(F.collect_set("key").alias("template"))
 
 
 def page_rows(df: DataFrame) -> DataFrame:
@@ -206,11 +218,12 @@ class Templates:
         return self.known[site]
 
     @staticmethod
-    def has(template: set[int], line: str) -> bool:
+    def has(template: set[int], line: str, often: bool = False) -> bool:
         if not template:
             return False
         digest = xxhash.xxh64_intdigest(DIGITS.sub("0", line.lower()).strip(" ").encode("utf8", "surrogatepass"), seed=42)
-        return (digest - (1 << 64) if digest >> 63 else digest) in template
+        key = digest - (1 << 64) if digest >> 63 else digest
+        return (~key if often else key) in template
 
 
 def furniture_lines(df: DataFrame) -> DataFrame:

@@ -193,3 +193,14 @@ def test_pseudo_latin_anywhere(spark):
     df = pages(spark, [{"content": x} for x in bad + good] + [{"content": "ok.", "paywall_snippet": bad[0]}])
     found = {tuple(r) for r in residue.residue_found(df).collect()}
     assert found == {(k, "content") for k in range(len(bad))} | {(len(bad + good), "paywall_snippet")}
+
+
+def test_furniture_sentences(spark):
+    """A sentence on many pages of a host is furniture; so are long sentences in furniture wordings."""
+    notice = "Vi passer på dine oplysninger og beder dig tage stilling til dem, før du går videre til siderne her hos os."
+    prompt = "Få Avisen i din indbakke hver morgen, så du altid ved, hvad der sker i byen og i landet."
+    rights = "© 2025 Avisen, som alle har lov til at læse, men ingen må gengive uden at spørge redaktionen først om det."
+    rows = [{"content": f"{notice}\nSag {chr(97 + k)} {DA[k % 3]}\nKort sagt om dem.\n{prompt}\n{rights}", "original_url": f"https://lokal.example/{k}"} for k in range(6)]
+    rows += [{"content": f"{notice}\n{DA[0]}\n{prompt}\n{rights}", "original_url": "https://andet.example/1"}]
+    got = {tuple(r) for r in mainbody.furniture_lines(pages(spark, rows)).collect()}
+    assert got == {(k, x) for k in range(6) for x in (1, 3, 4, 5)} | {(6, 3), (6, 4)}
