@@ -23,7 +23,7 @@ from fjordmill.session import broadcast_if_small
 LOW_INFORMATION_WORDS, LOW_INFORMATION_CHARS = 60, 1000
 EVIDENCE_HOSTS = 3
 BROADCAST_KEYS = 1_000_000
-NOTICE_CHARS = 300  # a longer fragment is no notice
+NOTICE_CHARS = 300  # a longer fragment is a notice only if it begins as a failure message does
 BY_LETTER = {a: sorted({w[1:] for w in LATIN if w[0] == a}, key=len, reverse=True) for a in sorted({w[0] for w in LATIN})}
 LATIN_WORD = "(?:" + "|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in BY_LETTER.items()) + r")\b"
 # wherever it stands; the look-behind keeps a run from starting inside a word
@@ -32,6 +32,7 @@ PLACEHOLDER = r"(?=[{$#<%\[@*_])" + joined(PLACEHOLDERS)
 FILLER_LINE = rf"(?imU)^\W*{joined(FILLER)}\W*$"
 # (?U): letters beyond ASCII are letters to the JVM too
 NOTICE = "(?U)" + joined(NOTICES)
+LONG_NOTICE = r"^(?:\{\s*.?(?:error|status|message|code).?\s*:|traceback \(|(?:fatal error|parse error|traceback)\b.{0,3}[:(]|[a-z_.]*(?:error|exception): .|<error>)"
 NOTICE_HINT = by_first(NOTICE_STEMS)
 NEUTRAL_LINE = "(?U)" + joined(NEUTRAL)
 FURNITURE_LINE = rf"(?U)^\W*(?:{joined(FURNITURE)}|{SEPARATED_MENU}$)"
@@ -60,12 +61,12 @@ def is_notice(c: Column, site: Column) -> Column:
     """Whether all of a text is a notice; site is the page's host. The first fragment is looked at before all others."""
     name = F.regexp_extract(F.coalesce(site, F.lit("")), r"^([^.]+)", 1)
     stripped = lambda x: F.regexp_replace(x, r"^\s+|[\s.]+$", "")
-    a_notice = lambda x: (F.length(x) <= NOTICE_CHARS) & x.rlike(NOTICE_HINT) & x.rlike(NOTICE)
+    a_notice = lambda x: F.when(F.length(x) <= NOTICE_CHARS, x.rlike(NOTICE_HINT) & x.rlike(NOTICE)).otherwise(x.rlike(LONG_NOTICE))
     says_nothing = lambda x: (x == "") | (x == name) | x.rlike(NEUTRAL_LINE)
     fits = lambda x: a_notice(x) | says_nothing(x)
     first = stripped(F.split(F.lower(F.substring_index(F.trim(c), "\n", 1)), SPLIT, 2)[0])
     bare = F.transform(F.split(F.lower(F.trim(c)), SPLIT), stripped)
-    return F.coalesce(F.when((F.length(first) <= NOTICE_CHARS) & fits(first), F.forall(bare, fits) & F.exists(bare, a_notice)), F.lit(False))
+    return F.coalesce(F.when(fits(first), F.forall(bare, fits) & F.exists(bare, a_notice)), F.lit(False))
 
 
 def folded(c: Column, site: Column) -> Column:

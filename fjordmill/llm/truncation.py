@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fjordmill.llm.pagetext import FILLER, LATIN, NEUTRAL, NOTICES, PLACEHOLDERS, joined
-from fjordmill.llm.residue import NOTICE_CHARS, SPLIT, host
+from fjordmill.llm.residue import LONG_NOTICE, NOTICE_CHARS, SPLIT, host
 from fjordmill.session import broadcast_if_small, ship_package
 
 SPIKE_LEAST, SPIKE_TIMES, SPIKE_REACH = 8, 4.0, 20
@@ -51,7 +51,7 @@ LINK = re.compile(r"(?:https?://|www\.)\S+$")
 SENTENCE_BREAK = re.compile(r"(?<=[^0-9\n][.!?…])[»”“\"’)\]]*\s+")
 LEAD = re.compile(r"\s*(?:[-–•*]\s+|\d+[.)]\s+|\d+[:.]\d\d\s+|[^\W\d_]+(?: [^\W\d_]+){0,2} ?:\s+)")
 LETTER = re.compile(r"[^\W\d_]")
-NOTICE_RE, NEUTRAL_RE, SPLIT_RE = re.compile(joined(NOTICES)), re.compile(joined(NEUTRAL)), re.compile(SPLIT)
+NOTICE_RE, LONG_NOTICE_RE, NEUTRAL_RE, SPLIT_RE = re.compile(joined(NOTICES)), re.compile(LONG_NOTICE), re.compile(joined(NEUTRAL)), re.compile(SPLIT)
 RESIDUE_LINE = re.compile(rf"(?i)^\W*{joined(FILLER)}\W*$|{joined(PLACEHOLDERS)}")
 LATIN_SET = set(LATIN)
 PUNCTUATION = " \t.,;:!?…»«”“„\"'’()[]{}–—-*•/|·"
@@ -73,7 +73,7 @@ def is_notice_text(text: str, site: str | None) -> bool:
     some = False
     for x in SPLIT_RE.split(text.strip().lower()):
         x = x.strip().rstrip(". \t\r\n")
-        if len(x) <= NOTICE_CHARS and NOTICE_RE.search(x):
+        if NOTICE_RE.search(x) if len(x) <= NOTICE_CHARS else LONG_NOTICE_RE.search(x):
             some = True
         elif x and x != name and not NEUTRAL_RE.search(x):
             return False

@@ -204,3 +204,13 @@ def test_furniture_sentences(spark):
     rows += [{"content": f"{notice}\n{DA[0]}\n{prompt}\n{rights}", "original_url": "https://andet.example/1"}]
     got = {tuple(r) for r in mainbody.furniture_lines(pages(spark, rows)).collect()}
     assert got == {(k, x) for k in range(6) for x in (1, 3, 4, 5)} | {(6, 3), (6, 4)}
+
+
+def test_long_failure_messages(spark):
+    long = "x" * 40 + " y" * 200
+    bad = ['{"error": "' + long + '"}', "Traceback (most recent call last): " + long, "Fatal error: " + long, "<Error><Code>NoAccess</Code>" + long, "TypeError: " + long]
+    good = [long + " access denied", "Avisen skriver: fatal error: " + long, "Warning: " + long]
+    df = pages(spark, [{"content": x} for x in bad + good] + [{"content": "ok.", "paywall_snippet": bad[0]}])
+    found = {tuple(r) for r in residue.residue_found(df).collect()}
+    assert found == {(k, "content") for k in range(len(bad))} | {(len(bad + good), "paywall_snippet")}
+    assert all(truncation.is_notice_text(x, None) for x in bad) and not any(truncation.is_notice_text(x, None) for x in good)
