@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordmill.session import ensure_checkpoint_dir, table
+from fjordmill.session import delete_on_exit, ensure_checkpoint_dir, table
 from fjordmill.streaming import events as E
 
 
@@ -34,6 +34,7 @@ def s_sessions(s: SparkSession, d: str) -> DataFrame:
 def s_stream_tumbling(s: SparkSession, d: str) -> DataFrame:
     """The daily windows as a stream over the table's files; the last state is the result."""
     base = f"{ensure_checkpoint_dir(s)}/stream-{uuid.uuid4().hex}"
+    delete_on_exit(s, base)
     schema = table(s, d, "events").schema
     stream = s.readStream.schema(schema).parquet(f"{d}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     out = f"{base}/out"

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 _shipped: set[str] = set()
 
 
@@ -35,23 +34,42 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def broadcast_if_small(df: DataFrame, limit: int, measure: Column | None = None) -> DataFrame:
-    """df, kept on disk, with a broadcast hint if its rows (or the sum of ``measure``) are at most ``limit``; else as it is."""
-    kept = df.persist(StorageLevel.DISK_ONLY)
-    size = kept.agg(F.sum(measure) if measure is not None else F.count("*")).first()[0] or 0
-    return F.broadcast(kept) if size <= limit else kept
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``; only where it is unset, a folder of our own (local tests)."""
+    """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``; a folder of our own only in local mode where that is unset."""
     have = spark.sparkContext.getCheckpointDir()
     if have:
         return have
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset; a cluster needs a shared folder there")
         path = os.path.join(tempfile.gettempdir(), "fjordmill-checkpoints")
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    return spark.sparkContext.getCheckpointDir() or path
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, on whatever file system it is, when the application ends."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df, written once as a table into the shared checkpoint folder and read back: its lineage is cut, it survives lost
+    executors, and it is removed when the application ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    delete_on_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, limit: int, measure: Column | None = None) -> DataFrame:
+    """df, staged, with a broadcast hint if its rows (or the sum of ``measure``) are at most ``limit``; else as it is."""
+    kept = staged(df)
+    size = kept.agg(F.sum(measure) if measure is not None else F.count("*")).first()[0] or 0
+    return F.broadcast(kept) if size <= limit else kept
 
 
 def local_session(cores: str = "8", app: str = "fjordmill") -> SparkSession:
