@@ -1,21 +1,33 @@
 """The main body of each page, by wrapper induction over same-host pages.
 
-Pages are sequences of lines, so a page's tree has one level and matching it to the pages of its host means matching equal
-lines: a line that recurs on several pages of one host is a constant node of the host's template, lines between constants
-are slots. Slots are body unless the constant before them opens a slot of another kind (teasers); constants are furniture
-unless they are known subheadings or stand between two paragraphs. Sentences are constants only on at least
-``SENTENCE_PAGES`` pages and ``SENTENCE_SHARE`` of a host's, and then furniture wherever they stand. A general vocabulary names constants on hosts with too
-few pages to align.
-
-Scale: template counts are one aggregation of line hashes; a host's template has at most lines-per-page / TEMPLATE_SHARE
-lines. It is joined to the pages on the host, where adaptive execution splits hot hosts. The walk over a page's lines is an
-Arrow stage of single rows.
-
-Null and empty contents have no lines. Pages without a host have no template; the vocabulary holds for them.
+A page is a tree: its lines are the root's children, and a line's children are its items (the entries of a menu line) or its
+label (what stands before a colon). Numbers and the site's name are masked in node labels. Three steps:
+
+1. Constants. A node that recurs on several pages of a host is a constant of the host's template; a node that recurs on
+   several hosts is one of the shared template, which stands in where a host has too few pages. Copies of an address
+   count once. A constant's role comes from where its host's pages have it: what nearly
+   always introduces a sentence, seldom stands before the first one and hardly ever after the last is a heading of the main slot; what introduces two
+   open lines in a row opens a slot of teasers; the rest is furniture.
+2. Alignment. The template tree is head, main slot, tail, in this order; each constant has a place in them as often as the
+   host's pages have it there. A page is matched to it by order-preserving tree matching: the bounds of the main slot are
+   those under which the weights of all nodes add up to most (``align``); a constant out of the template's order matches
+   nothing and is content.
+3. Decision. Matched constants are furniture or headings; slots are content, but for slots of teasers.
+
+Hosts of at least ``TEMPLATE_PAGES`` pages are decided by their templates and the shapes of lines alone. Only on hosts with fewer do the
+wordings of ``pagetext`` name what the shared template doesn't know. Sentences are constants only on at least ``SENTENCE_PAGES`` pages and
+``SENTENCE_SHARE`` of a host's.
+
+Scale: nodes are counted by hash with partial sums; a host's template has at most nodes-per-page / CONSTANT_SHARE own constants. It
+is joined to the pages on the host: broadcast after a check of the number of nodes, else by a shuffle join that adaptive execution splits
+on hot hosts. The walk over a page's lines is an Arrow stage of single rows.
+
+Null and empty contents have no lines. Pages without a host have no template; the wordings hold for them. Equal rows get equal results.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -26,11 +38,13 @@ from pyspark.sql import functions as F
 
 from fjordmill.llm.pagetext import FUNCTION_WORDS, FURNITURE, MENU, NOTICES, SEPARATED_MENU, SUBHEADS, joined
 from fjordmill.llm.residue import host, with_residue_flag
-from fjordmill.session import broadcast_if_small, ship_package
+from fjordmill.session import broadcast_if_small, ship_package, staged
 
-TEMPLATE_PAGES, TEMPLATE_SHARE = 3, 0.01
+TEMPLATE_PAGES = 20
+CONSTANT_PAGES, CONSTANT_SHARE, SHARED_HOSTS = 3, 0.01, 3
+HEADING_SHARE, HEADING_HEAD, HEADING_TAIL, OPENER_SHARE = 0.87, 0.6, 0.06, 0.5
 SENTENCE_PAGES, SENTENCE_SHARE = 5, 0.05
-BROADCAST_LINES = 1_000_000
+BROADCAST_NODES = 1_000_000
 
 PARAGRAPH, FURNISHED, TEASERS, SUBHEAD, MARK, BULLET, SENTENCE, SHORT = range(8)
 ENDS = re.compile(r"[.!?…:;][»”“\"')\]]*\W*$|[»”“]\W*$")
@@ -44,6 +58,7 @@ MARKS = re.compile(
     r"|[\d\s|;,.%:/–-]+)"
 )
 LABELLED = re.compile(r"[^\W\d_]+(?: [^\W\d_]+){0,2} ?: +\S")
+LABEL = re.compile(r"([^\W\d_]+(?:[ -][^\W\d_]+){0,4}) ?: +\S")
 DIGITS = re.compile("[0-9]+")
 BULLETS = re.compile(r"(?:[•*·‣▪]|\d{1,2}[.)]|[a-z]\))\s+\S")
 DASHED = re.compile(r"[-–—]\s+\S")
@@ -51,6 +66,8 @@ CLOCKED = re.compile(r"(?:kl\. ?)?\d{1,2}[:.]\d{2}\s+\S")
 FURNITURE_RE = re.compile(rf"\W*(?:{joined(FURNITURE)})", re.I)
 LONG_FURNITURE = re.compile(r"\W*(?:©|få |get |recevez )", re.I)  # furniture even as a sentence
 MENU_RE = re.compile(rf"\W*{SEPARATED_MENU}\W*", re.I)
+ITEM_BREAK = re.compile(r"\s+[»›>]\s+|\s*[/|·•]\s*|\s{2,}")
+PAGE_NUMBERS = re.compile(r"[«‹<]?(?:[ |·]*\d+)*[ |·]*(?:[»›>]|\.\.\.)|[«‹].*|\d+ ?/ ?\d+|[★☆▲▼►◄■●]+")
 MANY_ITEMS = re.compile(r"[^/|·»›]{1,25}(?:\s*[/|·»›]\s*[^/|·»›]{1,25}){2,}")
 NOTICE_RE = re.compile(joined(NOTICES), re.I)
 TEASER_RE = re.compile(
@@ -113,43 +130,223 @@ def kind_of(line: str) -> int:
     return SENTENCE if len(words) >= 4 else SHORT
 
 
+def shape_of(line: str) -> int:
+    """The kind of a stripped, non-blank line by its shape, whatever its words."""
+    if line[-1] in TERMINAL and line.count(" ") >= 14:
+        return PARAGRAPH
+    if not LETTERS.search(line):
+        return FURNISHED if PAGE_NUMBERS.fullmatch(line) else MARK if MARKS.fullmatch(line) or len(line) >= 12 else FURNISHED
+    words, ended = len(WORD.findall(line)), bool(ENDS.search(line))
+    if not ended and MARKS.fullmatch(line):
+        return MARK
+    if CLOCKED.match(line):
+        return FURNISHED
+    if not ended and MANY_ITEMS.fullmatch(line) and words <= 24:
+        return FURNISHED
+    if (ended and words >= 3) or INNER_END.search(line):
+        return PARAGRAPH
+    if BULLETS.match(line) or DASHED.match(line):
+        return BULLET
+    return SENTENCE if words >= 4 else SHORT
+
+
+def is_sentence(line: str) -> bool:
+    """Whether a stripped line ends as sentences do; the anchor of the main slot while nothing is known of the template."""
+    return line[-1] not in ":;" and line.count(" ") >= 2 and bool(ENDS.search(line))
+
+
+class Nodes:
+    """The node labels of lines, as 64-bit hashes."""
+
+    def __init__(self, site: str | None = None):
+        name = (site or "").split(".")[0]
+        self.name = name if len(name) >= 3 else None
+
+    def folded(self, line: str) -> str:
+        t = DIGITS.sub("0", line.lower())
+        return (t.replace(self.name, "@") if self.name else t).strip(" :\u00a0\r\t")
+
+    @staticmethod
+    def hashed(label: str) -> int:
+        h = xxhash.xxh64_intdigest(label.encode("utf8", "surrogatepass"))
+        return h - (1 << 64) if h >> 63 else h
+
+    def line(self, line: str) -> int:
+        return self.hashed(self.folded(line))
+
+    def label(self, line: str) -> int | None:
+        """The node of what stands before a colon, for lines that don't end as sentences do."""
+        m = LABEL.match(line)
+        return self.hashed(self.folded(m[1]) + ":") if m and not ENDS.search(line) else None
+
+    def items(self, line: str) -> list[int]:
+        """The nodes of a menu line's entries; none for other lines."""
+        if len(line) > 240 or is_sentence(line):
+            return []
+        parts = [x for x in ITEM_BREAK.split(line) if x and len(x) <= 25]
+        return [self.line(x) for x in parts] if len(parts) >= 2 else []
+
+
+NODE_SCHEMA = "site string, page long, node long, ended boolean, n int, before int, head int, tail int, open int"
+
+
+def page_nodes(df: DataFrame) -> DataFrame:
+    """site, page, node, ended and, for each node of a page, how often it occurs, introduces a sentence, stands before the
+    first sentence, after the last one, and introduces two open lines. page is the hash of the first long sentence, of the whole text if there is none."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows: list[tuple] = []
+            for site, page, content in zip(*(c.to_pylist() for c in b.columns)):
+                lines = [x for x in (y.strip() for y in content.split("\n")) if x]
+                if not lines:
+                    continue
+                nodes = Nodes(site)
+                sentence = [is_sentence(x) for x in lines]
+                body = [k for k, x in enumerate(sentence) if x]
+                first, last = (body[0], body[-1]) if body else (len(lines), len(lines))
+                found: dict[tuple[int, bool], list[int]] = {}
+                opens = [not x and y.count(" ") >= 3 and not MARKS.fullmatch(y) for x, y in zip(sentence, lines)] + [False, False]
+                for k, x in enumerate(lines):
+                    before = k + 1 < len(lines) and sentence[k + 1]
+                    opener = opens[k + 1] and opens[k + 2]
+                    keys = [nodes.line(x)]
+                    if not sentence[k]:
+                        keys += [y for y in (nodes.label(x), *nodes.items(x)) if y is not None]
+                    for n, key in enumerate(keys):
+                        own = n == 0
+                        at = found.setdefault((key, sentence[k]), [0, 0, 0, 0, 0])
+                        at[0] += 1
+                        at[1] += before and (own or bool(nodes.label(x)))
+                        at[2] += k < first
+                        at[3] += k > last
+                        at[4] += opener and own
+                rows += [(site, page, key, ended, *v) for (key, ended), v in found.items()]
+            columns = list(zip(*rows)) or [()] * 9
+            types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int32()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["site", "page", "node", "ended", "n", "before", "head", "tail", "open"])
+
+    return df.filter("site IS NOT NULL AND content IS NOT NULL").select("site", "page", "content").mapInArrow(walk, NODE_SCHEMA)
+
+
+def templates(df: DataFrame) -> DataFrame:
+    """site, pages, template: for each host its number of pages and its nodes with role, share in the head and share in the tail."""
+    sums = [F.sum(c).alias(c) for c in ("n", "before", "head", "tail", "open")]
+    per_page = page_nodes(df).groupBy("site", "page", "node", "ended").agg(*(F.max(c).alias(c) for c in ("n", "before", "head", "tail", "open")))
+    counted = staged(per_page.groupBy("site", "node", "ended").agg(F.count("*").alias("pages"), *sums))
+    totals = df.filter("site IS NOT NULL AND content IS NOT NULL").groupBy("site").agg(F.count_distinct("page").alias("site_pages"))
+    shared = counted.filter("NOT ended").groupBy("node").agg(F.count("*").alias("hosts"), *sums).filter(F.col("hosts") >= SHARED_HOSTS)
+    shared = broadcast_if_small(shared.select(F.col("node").alias("_node"), *(F.col(c).alias(f"s_{c}") for c in ("n", "before", "head", "tail", "open"))), BROADCAST_NODES)
+    own = counted.join(totals, "site").join(shared, ~F.col("ended") & (F.col("node") == F.col("_node")), "left")
+    often = (F.col("pages") >= SENTENCE_PAGES) & (F.col("pages") >= F.col("site_pages") * SENTENCE_SHARE)
+    constant = (F.col("pages") >= CONSTANT_PAGES) & (F.col("pages") >= F.col("site_pages") * CONSTANT_SHARE)
+    kept = own.filter(F.when(F.col("ended"), often).otherwise(constant | F.col("_node").isNotNull()))
+    stat = lambda c: F.coalesce(F.col(f"s_{c}"), F.col(c)).cast("double")
+    n = stat("n")
+    heading = ~F.col("ended") & ((stat("before") + 1) / (n + 1.5) >= HEADING_SHARE) & (stat("head") <= HEADING_HEAD * n) & (stat("tail") <= HEADING_TAIL * n + 1)
+    opener = ~F.col("ended") & (stat("open") >= OPENER_SHARE * n)
+    role = F.when(heading, SUBHEAD).when(opener, TEASERS).otherwise(FURNISHED)
+    node = F.struct("node", role.alias("role"), (stat("head") / n).alias("head"), (stat("tail") / n).alias("tail"))
+    return kept.groupBy("site").agg(F.first("site_pages").alias("pages"), F.collect_list(node).alias("template"))
+
+
+class Template:
+    """A host's template: the role of each node and its weights in the head, the main slot and the tail."""
+
+    def __init__(self, pages: int = 0, nodes: list[dict] | None = None):
+        self.enough = pages >= TEMPLATE_PAGES
+        self.roles: dict[int, int] = {}
+        self.weights: dict[int, tuple[float, float, float]] = {}
+        for x in nodes or []:
+            self.roles[x["node"]] = x["role"]
+            head, tail = x["head"], x["tail"]
+            self.weights[x["node"]] = tuple(math.log(0.05 + 0.95 * max(p, 0.0)) for p in (head, 1 - head - tail, tail))
+
+
+def align(weights: list[tuple[float, float, float]]) -> tuple[int, int]:
+    """(start, end) of the main slot: nodes before it match the head of the template, those from its end on the tail, in
+    order, so that the weights add up to most. Ties make the main slot as long as can be."""
+    head = main = 0.0
+    best, start = 0.0, 0  # the best head so far, less the main slot's sum up to there
+    whole, bounds = float("-inf"), (0, len(weights))
+    tails = sum(w[2] for w in weights)
+    for k in range(len(weights) + 1):
+        value = best + main + tails
+        if value >= whole - 1e-9:
+            whole, bounds = max(value, whole), (start, k)
+        if k < len(weights):
+            head += weights[k][0]
+            main += weights[k][1]
+            tails -= weights[k][2]
+            if head - main > best + 1e-9:
+                best, start = head - main, k + 1
+    return bounds
+
+
+SLOT = {PARAGRAPH: (-4.0, 0.0, -4.0), SUBHEAD: (-1.0, 0.0, -2.0)}
+NEUTRAL_NODE = (0.0, 0.0, 0.0)
+
+
 class Pages:
     """Classifies pages line by line; lines seen before are remembered."""
 
     def __init__(self, remember: int = 200_000):
-        self.known: dict[str, int] = {}
+        self.worded: dict[str, int] = {}
+        self.shaped: dict[str, int] = {}
         self.remember = remember
 
-    def kind(self, line: str) -> int:
-        if line[-1] in TERMINAL and line.count(" ") >= 14 and not LONG_FURNITURE.match(line):
-            return PARAGRAPH
-        k = self.known.get(line)
+    def _kind(self, line: str, by_shape: bool) -> int:
+        known = self.shaped if by_shape else self.worded
+        k = known.get(line)
         if k is None:
-            if len(self.known) >= self.remember:
-                self.known.clear()
-            k = self.known[line] = kind_of(line)
+            if len(known) >= self.remember:
+                known.clear()
+            k = known[line] = shape_of(line) if by_shape else kind_of(line)
         return k
 
-    def main(self, lines: list[str], template: set[int] = frozenset(), title: str | None = None) -> list[bool | None]:
-        """For each line whether it is main body; None for blank lines. template has the line hashes of the host's template."""
-        bare = [x.strip() for x in lines]
-        kinds = [self.kind(x) if x else -1 for x in bare]
-        constant = lambda k: Templates.has(template, lines[k])
-        if template:
-            kinds = [FURNISHED if x == PARAGRAPH and Templates.has(template, lines[k], often=True) else x for k, x in enumerate(kinds)]
+    def main(self, lines: list[str], template: Template | None = None, site: str | None = None, title: str | None = None) -> list[bool | None]:
+        """For each line whether it is main body; None for blank lines."""
+        template = template or Template()
+        nodes, roles, weights = Nodes(site), template.roles, template.weights
         title = (title or "").lower()
-        body = [k for k, x in enumerate(kinds) if x == PARAGRAPH]
-        first, last = (body[0], body[-1]) if body else (None, None)
-        if first is None:
-            first = next((k for k, x in enumerate(kinds) if x in (SENTENCE, BULLET) and not constant(k)), len(lines))
-            last = first
-        out: list[bool | None] = []
+        bare = [x.strip() for x in lines]
+        at = [k for k, x in enumerate(bare) if x]
+        kinds: list[int] = []
+        constant: set[int] = set()  # the bullets that are; a list's entries recur as the names in them do, so only those before the text count
+        places: list[tuple[float, float, float]] = []
+        for k in at:
+            line = bare[k]
+            kind = self._kind(line, template.enough)
+            place = SLOT.get(kind, NEUTRAL_NODE)
+            if roles and kind != MARK and not (len(line) > 15 and line.lower() in title):
+                node = nodes.line(line)
+                role = roles.get(node)
+                if role is None and kind != PARAGRAPH:
+                    label = nodes.label(line)
+                    role, node = (roles.get(label), label) if label is not None else (None, node)
+                    if role is None:
+                        items = nodes.items(line)
+                        if items and 2 * sum(x in roles and roles[x] != SUBHEAD for x in items) >= len(items):
+                            node = next(x for x in items if x in roles and roles[x] != SUBHEAD)
+                            role = FURNISHED
+                if role is not None and (template.enough or kind in (SENTENCE, SHORT, BULLET, PARAGRAPH) and role != SUBHEAD):
+                    place = weights[node]
+                    if kind == BULLET:
+                        constant.add(len(kinds))
+                    else:
+                        kind = role
+            kinds.append(kind)
+            places.append(place)
+        start, end = align(places)
+        body = [k for k in range(start, end) if kinds[k] == PARAGRAPH]
+        if body:
+            first, last = body[0], body[-1]
+        else:
+            first = last = next((k for k, x in enumerate(kinds) if x in (SENTENCE, BULLET) and k not in constant), len(at))
+        out: list[bool | None] = [None] * len(lines)
         in_teasers = after_furniture = False
         for k, x in enumerate(kinds):
-            if x == -1:
-                out.append(None)
-                continue
-            const = x in (BULLET, SENTENCE, SHORT) and constant(k)
+            text = bare[at[k]]
             if x == PARAGRAPH:
                 in_teasers = False
                 main = True
@@ -163,67 +360,48 @@ class Pages:
                 main = True
                 in_teasers = in_teasers and x == MARK
             elif k < first:
-                main = (x == SENTENCE and not const) or (x == BULLET and not const and not in_teasers) or (len(bare[k]) > 3 and bare[k].lower() in title)
+                main = x == SENTENCE or (x == BULLET and not in_teasers and k not in constant) or (len(text) > 3 and text.lower() in title)
                 in_teasers = in_teasers and not main
             elif k > last:
-                main = not in_teasers and not after_furniture and not (const and x != BULLET)
+                main = not in_teasers and not after_furniture
             else:
-                main = not in_teasers and not (const and x == SENTENCE)
-            out.append(main)
+                main = not in_teasers
+            out[at[k]] = main
         return out
 
 
-def line_keys(c: str):
-    """(key, ended) of each line for alignment: its hash, lower-case, digits masked, null for blank lines, and whether it ends as sentences do."""
-    lines = F.transform(F.split(F.regexp_replace(F.lower(F.col(c)), "[0-9]+", "0"), "\n"), lambda x: F.trim(x))
-    return F.transform(lines, lambda x: F.when(x != "", F.struct(F.xxhash64(x).alias("key"), F.substring(x, -1, 1).isin(".", "!", "?").alias("ended"))))
-
-
-def templates(rows: DataFrame) -> DataFrame:
-    """site, template: the line hashes that recur on the pages of a host; copies of an address count once.
-
-    Lines on ``SENTENCE_PAGES`` and ``SENTENCE_SHARE`` of the pages have the complement of their hash in it too; lines that
-    end as sentences do are left out below that.
-    """
-    pages = rows.filter("site IS NOT NULL AND keys IS NOT NULL").select("site", "page", F.explode(F.array_distinct(F.array_compact("keys"))).alias("k")).select("site", "page", "k.key", "k.ended")
-    counted = pages.groupBy("site", "key", "ended", "page").agg(F.lit(1).alias("one")).groupBy("site", "key", "ended").agg(F.count("*").alias("n")).filter(F.col("n") >= TEMPLATE_PAGES)
-    totals = rows.filter("site IS NOT NULL").groupBy("site").agg(F.count_distinct("page").alias("pages"))
-    often = (F.col("n") >= SENTENCE_PAGES) & (F.col("n") >= F.col("pages") * SENTENCE_SHARE)
-    kept = counted.join(totals, "site").filter(F.when(F.col("ended"), often).otherwise(F.col("n") >= F.col("pages") * TEMPLATE_SHARE))
-    keys = kept.select("site", F.explode(F.when(often, F.array("key", F.bitwise_not("key"))).otherwise(F.array("key"))).alias("key"))
-    return keys.groupBy("site").agg(F.collect_set("key").alias("template"))
-
-
 def page_rows(df: DataFrame) -> DataFrame:
-    """row_id, content, title, site and its template, line hashes; pages of residue are left out.
+    """row_id, content, title, site and its pages and template; pages of residue are left out.
 
-    The templates are broadcast only after a check of their number of lines; above ``BROADCAST_LINES`` they are joined.
+    The templates are broadcast only after a check of their number of nodes; above ``BROADCAST_NODES`` they are joined.
     """
     ship_package(df.sparkSession)
-    pages = df.select(host("resolved_url", "original_url").alias("site"), F.xxhash64(F.coalesce("url_hash", "original_url")).alias("page"), line_keys("content").alias("keys"))
-    found = broadcast_if_small(templates(pages), BROADCAST_LINES, F.size("template"))
+    page = F.xxhash64(F.coalesce("url_hash", "original_url"))
+    found = templates(df.select(host("resolved_url", "original_url").alias("site"), page.alias("page"), "content"))
+    found = broadcast_if_small(found, BROADCAST_NODES, F.size("template"))
     rows = with_residue_flag(df.select("row_id", "title", "content", "original_url", "resolved_url").filter("content IS NOT NULL"))
-    return rows.filter("NOT bad_content").join(found, "site", "left").select("row_id", "content", "title", "site", "template")
+    return rows.filter("NOT bad_content").join(found, "site", "left").select("row_id", "content", "title", "site", "pages", "template")
 
 
 class Templates:
-    """The templates of the sites met so far, to be looked up by line; the hash is that of ``line_keys``."""
+    """The templates of the sites met so far."""
 
-    def __init__(self):
-        self.known: dict[str | None, set[int]] = {None: set()}
+    def __init__(self, remember: int = 1000):
+        self.known: dict[str | None, Template] = {None: Template()}
+        self.remember = remember
 
-    def of(self, site: str | None, template: pa.ListScalar) -> set[int]:
+    def of(self, site: str | None, pages: int | None, template: pa.ListScalar) -> Template:
         if site not in self.known:
-            self.known[site] = set(template.values.to_pylist()) if template.is_valid else set()
+            if len(self.known) > self.remember:
+                self.known = {None: Template()}
+            self.known[site] = Template(pages or 0, template.as_py())
         return self.known[site]
 
-    @staticmethod
-    def has(template: set[int], line: str, often: bool = False) -> bool:
-        if not template:
-            return False
-        digest = xxhash.xxh64_intdigest(DIGITS.sub("0", line.lower()).strip(" ").encode("utf8", "surrogatepass"), seed=42)
-        key = digest - (1 << 64) if digest >> 63 else digest
-        return (~key if often else key) in template
+
+def _walked(b: pa.RecordBatch, pages: Pages, known: Templates) -> Iterator[tuple[list[str], list[bool | None]]]:
+    for content, title, site, n, template in zip(*(b.column(k).to_pylist() for k in range(1, 5)), b.column(5)):
+        lines = content.split("\n")
+        yield lines, pages.main(lines, known.of(site, n, template), site, title)
 
 
 def furniture_lines(df: DataFrame) -> DataFrame:
@@ -233,11 +411,10 @@ def furniture_lines(df: DataFrame) -> DataFrame:
         pages, known = Pages(), Templates()
         for b in batches:
             ids, numbers = [], []
-            for row_id, content, title, site, template in zip(*(c.to_pylist() for c in b.columns[:4]), b.column(4)):
-                for k, main in enumerate(pages.main(content.split("\n"), known.of(site, template), title), 1):
-                    if main is False:
-                        ids.append(row_id)
-                        numbers.append(k)
+            for row_id, (_, kept) in zip(b.column(0).to_pylist(), _walked(b, pages, known)):
+                found = [k for k, main in enumerate(kept, 1) if main is False]
+                ids += [row_id] * len(found)
+                numbers += found
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32())], ["row_id", "line_no"])
 
     return page_rows(df).mapInArrow(classify, "row_id long, line_no int")
@@ -249,10 +426,7 @@ def main_bodies(df: DataFrame) -> DataFrame:
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages, known = Pages(), Templates()
         for b in batches:
-            bodies = []
-            for _, content, title, site, template in zip(*(c.to_pylist() for c in b.columns[:4]), b.column(4)):
-                lines = content.split("\n")
-                bodies.append("\n".join(x for x, main in zip(lines, pages.main(lines, known.of(site, template), title)) if main is not False))
+            bodies = ["\n".join(x for x, main in zip(lines, kept) if main is not False) for lines, kept in _walked(b, pages, known)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bodies, pa.string())], ["row_id", "body"])
 
     return page_rows(df).mapInArrow(extract, "row_id long, body string")

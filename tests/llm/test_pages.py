@@ -1,5 +1,7 @@
 """Residue, main body, language and truncation on small pages with known answers."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +216,50 @@ def test_long_failure_messages(spark):
     found = {tuple(r) for r in residue.residue_found(df).collect()}
     assert found == {(k, "content") for k in range(len(bad))} | {(len(bad + good), "paywall_snippet")}
     assert all(truncation.is_notice_text(x, None) for x in bad) and not any(truncation.is_notice_text(x, None) for x in good)
+
+
+def _host(n, name="stor.example", marks=("Reklame her", "Nyt i dag", "Sagen kort")):
+    """n pages of one host in a template that no vocabulary knows, with the lines that aren't main body."""
+    mark, opener, heading = marks
+    noun = lambda k: "".join(random.Random(k).choices("aefgiklmnorstuv", k=8)) + "en"
+    rows, want = [], set()
+    for k in range(n):
+        a, b = noun(k), noun(k + 1000)
+        lines = [("Krogen", 0), ("Stuen", 0), ("Gangen", 0), (f"Sag {k} om {a} og {b} begynder nu", 1), (f"Rådet talte om {a} i går, og {b} blev nævnt {k} gange.", 1)]
+        lines += [(heading, 1)] if k % 2 else []
+        lines += [(f"Mange havde set {b} før, men {a} var ny for {k} af dem.", 1)]
+        lines += [(mark, 0)] if k % 3 else []
+        lines += [(f"Derfor vil de gå til {a} igen om {k} dage.", 1), (mark, 0) if k % 4 == 0 else ("", None)]
+        lines += [(opener, 0), (f"Nu er {a} nummer {k} lukket", 0), (f"Folk spurgte til {b} nummer {k}", 0), ("Krogen  Stuen", 0), ("Vi bor i huset med det røde tag", 0)]
+        rows.append({"content": "\n".join(x for x, _ in lines), "original_url": f"https://{name}/{k}"})
+        want |= {(k, no) for no, (_, main) in enumerate(lines, 1) if main == 0}
+    return rows, want
+
+
+def test_wrapper_decides(spark, monkeypatch):
+    """Templates carry the result on hosts with enough pages; without them other lines come out."""
+    rows, want = _host(60)
+    got = {tuple(r) for r in mainbody.furniture_lines(pages(spark, rows)).collect()}
+    assert got == want
+    monkeypatch.setattr(mainbody, "CONSTANT_PAGES", 1_000)
+    monkeypatch.setattr(mainbody, "SHARED_HOSTS", 1_000)
+    without = {tuple(r) for r in mainbody.furniture_lines(pages(spark, rows)).collect()}
+    assert len(without & want) < 0.7 * len(want)
+
+
+def test_shared_template(spark):
+    """A host of one page has the constants that other hosts share."""
+    rows = [r for h in range(4) for r in _host(12, f"avis{h}.example")[0]]
+    rows.append({"content": "Stuen\nEn ny sag om noget andet begynder\nRådet mødtes på torvet i går.\nReklame her\nDe gik hjem igen bagefter.", "original_url": "https://lille.example/1"})
+    got = {tuple(r) for r in mainbody.furniture_lines(pages(spark, rows)).filter(f"row_id = {len(rows) - 1}").collect()}
+    assert got == {(len(rows) - 1, 1), (len(rows) - 1, 4)}
+
+
+def test_align():
+    """The bounds of the main slot against all bounds."""
+    rng = random.Random(3)
+    for _ in range(200):
+        w = [tuple(rng.choice((-4.0, -1.0, 0.0)) for _ in range(3)) for _ in range(rng.randrange(0, 7))]
+        value = lambda s, e: sum(x[0] for x in w[:s]) + sum(x[1] for x in w[s:e]) + sum(x[2] for x in w[e:])
+        start, end = mainbody.align(w)
+        assert start <= end and abs(value(start, end) - max(value(s, e) for s in range(len(w) + 1) for e in range(s, len(w) + 1))) < 1e-9
