@@ -210,17 +210,18 @@ def page_nodes(df: DataFrame) -> DataFrame:
                 for k, x in enumerate(lines):
                     before = k + 1 < len(lines) and sentence[k + 1]
                     opener = opens[k + 1] and opens[k + 2]
-                    keys = [nodes.line(x)]
-                    if not sentence[k]:
-                        keys += [y for y in (nodes.label(x), *nodes.items(x)) if y is not None]
-                    for n, key in enumerate(keys):
-                        own = n == 0
-                        at = found.setdefault((key, sentence[k]), [0, 0, 0, 0, 0])
+                    if sentence[k]:
+                        found.setdefault((nodes.line(x), True), [0, 0, 0, 0, 0])[0] += 1
+                        continue
+                    label = nodes.label(x) if ":" in x else None
+                    keys = [(nodes.line(x), before, opener), *([(label, before, False)] if label is not None else []), *((y, False, False) for y in nodes.items(x))]
+                    for key, *context in keys:
+                        at = found.setdefault((key, False), [0, 0, 0, 0, 0])
                         at[0] += 1
-                        at[1] += before and (own or bool(nodes.label(x)))
+                        at[1] += context[0]
                         at[2] += k < first
                         at[3] += k > last
-                        at[4] += opener and own
+                        at[4] += context[1]
                 rows += [(site, page, key, ended, *v) for (key, ended), v in found.items()]
             columns = list(zip(*rows)) or [()] * 9
             types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int32()] * 5]
@@ -230,7 +231,7 @@ def page_nodes(df: DataFrame) -> DataFrame:
 
 
 def templates(df: DataFrame) -> DataFrame:
-    """site, pages, template: for each host its number of pages and its nodes with role, share in the head and share in the tail."""
+    """site, pages, template: for each host its number of pages and its nodes, whether they are sentences, with role, share in the head and share in the tail."""
     sums = [F.sum(c).alias(c) for c in ("n", "before", "head", "tail", "open")]
     per_page = page_nodes(df).groupBy("site", "page", "node", "ended").agg(*(F.max(c).alias(c) for c in ("n", "before", "head", "tail", "open")))
     counted = staged(per_page.groupBy("site", "node", "ended").agg(F.count("*").alias("pages"), *sums))
@@ -246,7 +247,7 @@ def templates(df: DataFrame) -> DataFrame:
     heading = ~F.col("ended") & ((stat("before") + 1) / (n + 1.5) >= HEADING_SHARE) & (stat("head") <= HEADING_HEAD * n) & (stat("tail") <= HEADING_TAIL * n + 1)
     opener = ~F.col("ended") & (stat("open") >= OPENER_SHARE * n)
     role = F.when(heading, SUBHEAD).when(opener, TEASERS).otherwise(FURNISHED)
-    node = F.struct("node", role.alias("role"), (stat("head") / n).alias("head"), (stat("tail") / n).alias("tail"))
+    node = F.struct("node", "ended", role.alias("role"), (stat("head") / n).alias("head"), (stat("tail") / n).alias("tail"))
     return kept.groupBy("site").agg(F.first("site_pages").alias("pages"), F.collect_list(node).alias("template"))
 
 
@@ -257,7 +258,9 @@ class Template:
         self.enough = pages >= TEMPLATE_PAGES
         self.roles: dict[int, int] = {}
         self.weights: dict[int, tuple[float, float, float]] = {}
+        self.sentences = False
         for x in nodes or []:
+            self.sentences = self.sentences or x["ended"]
             self.roles[x["node"]] = x["role"]
             head, tail = x["head"], x["tail"]
             self.weights[x["node"]] = tuple(math.log(0.05 + 0.95 * max(p, 0.0)) for p in (head, 1 - head - tail, tail))
@@ -319,10 +322,11 @@ class Pages:
             kind = self._kind(line, template.enough)
             place = SLOT.get(kind, NEUTRAL_NODE)
             if roles and kind != MARK and not (len(line) > 15 and line.lower() in title):
-                node = nodes.line(line)
+                # most paragraphs can be told from template sentences without a hash
+                node = nodes.line(line) if kind != PARAGRAPH or template.sentences or not is_sentence(line) else None
                 role = roles.get(node)
                 if role is None and kind != PARAGRAPH:
-                    label = nodes.label(line)
+                    label = nodes.label(line) if ":" in line else None
                     role, node = (roles.get(label), label) if label is not None else (None, node)
                     if role is None:
                         items = nodes.items(line)

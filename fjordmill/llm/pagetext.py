@@ -115,10 +115,12 @@ FUNCTION_WORDS = [
 
 
 def by_first(words: list[str]) -> str:
-    """An alternation of literal words that looks at the first character once."""
-    firsts = sorted({w[0] for w in words})
-    rest = lambda a: sorted({w[1:] for w in words if w[0] == a}, key=len, reverse=True)
-    return "(?:" + "|".join(f"{re.escape(a)}(?:{'|'.join(map(re.escape, rest(a)))})" for a in firsts) + ")"
+    """An alternation of literal words, longest first, that looks at each shared beginning once."""
+    firsts = sorted({w[0] for w in words if w})
+    rest = lambda a: sorted({w[1:] for w in words if w[:1] == a}, key=len, reverse=True)
+    branch = lambda r: re.escape(r[0]) if len(r) == 1 else by_first(r)
+    out = "|".join(re.escape(a) + branch(rest(a)) for a in firsts)
+    return f"(?:{out})?" if "" in words else f"(?:{out})"
 
 
 def joined(patterns: list[str]) -> str:
