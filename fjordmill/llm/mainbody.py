@@ -136,7 +136,8 @@ def shape_of(line: str) -> int:
         return PARAGRAPH
     if not LETTERS.search(line):
         return FURNISHED if PAGE_NUMBERS.fullmatch(line) else MARK if MARKS.fullmatch(line) or len(line) >= 12 else FURNISHED
-    words, ended = len(WORD.findall(line)), bool(ENDS.search(line))
+    ended = not line[-1].isalnum() and bool(ENDS.search(line))
+    words = len(WORD.findall(line))
     if not ended and MARKS.fullmatch(line):
         return MARK
     if CLOCKED.match(line):
@@ -152,7 +153,10 @@ def shape_of(line: str) -> int:
 
 def is_sentence(line: str) -> bool:
     """Whether a stripped line ends as sentences do; the anchor of the main slot while nothing is known of the template."""
-    return line[-1] not in ":;" and line.count(" ") >= 2 and bool(ENDS.search(line))
+    last = line[-1]
+    if last in ":;" or last.isalnum() or line.count(" ") < 2:
+        return False
+    return last in ".!?…»”“" or bool(ENDS.search(line))
 
 
 class Nodes:
@@ -299,6 +303,8 @@ class Pages:
         self.remember = remember
 
     def _kind(self, line: str, by_shape: bool) -> int:
+        if line[-1] in TERMINAL and line.count(" ") >= 14 and (by_shape or not LONG_FURNITURE.match(line)):
+            return PARAGRAPH
         known = self.shaped if by_shape else self.worded
         k = known.get(line)
         if k is None:
