@@ -66,15 +66,20 @@ def _local(wall: datetime, zone: str, fold: int) -> int:
 
 
 def readings(text: str | None, zone: str, strict: bool = True) -> list[tuple[str, int]]:
-    """All readings of ``text``; wall times without zone are in ``zone``.
+    """The readings of ``text`` as (format, microseconds); wall times without zone are in ``zone``.
 
     strict keeps only the reading that the table's rules allow (day first, the first of two equal wall times, a skipped
     wall time with the offset before the change). Otherwise month-first readings and second occurrences follow it.
     None, blanks, words, days that don't exist and numbers of other lengths have no reading.
     """
+    return [(name, us) for name, us, _ in ruled_readings(text, zone, strict)]
+
+
+def ruled_readings(text: str | None, zone: str, strict: bool = False) -> list[tuple[str, int, bool]]:
+    """``readings``, each with whether it follows the table's rules; at most one does, and it comes first."""
     if text is None or not (t := text.strip()) or not any(c.isdigit() for c in t):
         return []
-    out: list[tuple[str, int]] = []
+    out: list[tuple[str, int, bool]] = []
     for shape, pattern in SHAPES:
         m = pattern.fullmatch(t)
         if not m:
@@ -84,7 +89,7 @@ def readings(text: str | None, zone: str, strict: bool = True) -> list[tuple[str
             unit = {10: 1_000_000, 13: 1000, 16: 1}[len(g["n"])]
             digits = {1_000_000: 6, 1000: 3, 1: 0}[unit]
             us = int(g["n"]) * unit + (int(g["f"][:digits].ljust(digits, "0")) if g["f"] and digits else 0)
-            return [(f"epoch{len(g['n'])}", us)] if us < 253402300800000000 else []
+            return [(f"epoch{len(g['n'])}", us, True)] if us < 253402300800000000 else []
         if "name" in g:
             month = MONTHS.get(g["name"].lower())
             if month is None:
@@ -102,16 +107,16 @@ def readings(text: str | None, zone: str, strict: bool = True) -> list[tuple[str
         minutes = _minutes(g["zone"]) if g.get("zone") else None
         if g.get("zone") and minutes is None:
             continue
-        for name, mo, day in orders:
+        for k, (name, mo, day) in enumerate(orders):
             try:
                 wall = datetime(int(g["y"]), mo, day, hour, int(g.get("mi") or 0), int(g.get("s") or 0), int((g.get("f") or "0")[:6].ljust(6, "0")))
                 if minutes is not None:
-                    out.append((name + "z", (wall - EPOCH) // MICRO - minutes * 60_000_000))
+                    out.append((name + "z", (wall - EPOCH) // MICRO - minutes * 60_000_000, k == 0))
                 else:
                     first = _local(wall, zone, 0)
-                    out.append((name, first))
+                    out.append((name, first, k == 0))
                     if not strict and (second := _local(wall, zone, 1)) > first:
-                        out.append((name, second))
+                        out.append((name, second, False))
             except (ValueError, OverflowError):
                 pass
         return out

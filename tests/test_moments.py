@@ -128,3 +128,37 @@ def test_iso_forms_agree_with_duckdb(spark, sf):
     want = {(a, b): c for a, b, c in con.execute(sql).fetchall()}
     got = {(r["row_id"], r["field"]): r["utc"] for r in resolve_moments(table(spark, sf, "sample_old_facebook"), table(spark, sf, "source_zones")).collect()}
     assert len(want) > 50 and {k: (v, got.get(k)) for k, v in want.items() if got.get(k) != v} == {}
+
+
+def test_spans_are_the_chain():
+    """Merged summaries and the readings picked at the ends of blocks against the whole chain."""
+    import random
+
+    from fjordmill.operators.moments import chain_costs, merge_spans, pick_ends
+
+    rng = random.Random(8)
+    for _ in range(80):
+        options = [[(rng.choice("ab"), rng.randrange(5), float(rng.randrange(3))) for _ in range(rng.randrange(1, 4))] for _ in range(rng.randrange(2, 9))]
+        cuts = sorted({0, len(options), *(rng.randrange(len(options)) for _ in range(2))})
+        blocks = [options[a:b] for a, b in zip(cuts, cuts[1:])]
+        spans = [([o[:2] for o in b[0]], [o[:2] for o in b[-1]], chain_costs(b)) for b in blocks]
+        whole = spans[0]
+        for s in spans[1:]:
+            whole = merge_spans(whole, s)
+        assert whole[2] == chain_costs(options)
+        cost = lambda pick: sum(o[k][2] for o, k in zip(options, pick)) + sum((x[0] != y[0]) + 2.0 * (y[1] < x[1]) for x, y in zip([o[k] for o, k in zip(options, pick)], [o[k] for o, k in zip(options, pick)][1:]))
+        pick = [p for b, (i, j) in zip(blocks, pick_ends(spans)) for p in viterbi(b, first=i, last=j)]
+        assert cost(pick) == cost(viterbi(options)) == min(map(min, whole[2]))
+
+
+def test_neighbours_decide_across_blocks(spark):
+    """Without the cost of breaking rules a chain of month-first values decides about ambiguous ones, in whatever block they are; with it the rules do."""
+    rows = [(k, "a", "03/15/2014" if k % 17 == 0 else f"03/{k % 9 + 16}/2014" if k % 5 == 0 else "04/05/2014", None) for k in range(100)]
+    df = spark.createDataFrame(rows, "row_id long, source string, date string, scraped_at string")
+    zones = spark.createDataFrame([("a", "UTC"), ("a", "UTC")], "source string, zone string")
+    loose = {b: sorted(map(tuple, resolve_moments(df, zones, rule_cost=0.0, block=b, fan=3).collect())) for b in (3, 10, 1000)}
+    assert loose[3] == loose[10] == loose[1000] and len(loose[3]) == 100 and all("2014-04-0" in r[2] or "2014-03" in r[2] for r in loose[3])
+    ruled = sorted(map(tuple, resolve_moments(df, zones, block=10).collect()))
+    assert [r[0] for r in ruled] == [k for k in range(100) if k % 17 and k % 5] and {r[2] for r in ruled} == {"2014-05-03 22:00:00.000000"}
+    odd = spark.createDataFrame([(None, "a", "2020-08-05", None), (None, "a", "2020-08-05", "x"), (None, None, "1398826257", None)], "row_id long, source string, date string, scraped_at string")
+    assert resolve_moments(odd, zones).count() == 3
