@@ -1,13 +1,14 @@
 """The language of each document and of each of its segments, by multilingual mixture inference.
 
 A sentence has a log-likelihood in every language, from character 4-gram counts. Expectation-maximisation over a document's
-sentences gives the document's language proportions; a language stays in its set only if leaving it out costs more
-likelihood than a penalty. Segments are the best path through the sentences over the languages of the set, where every
-segment has at least two sentences and a change of language costs the penalty. Confidence is the posterior of the
-segment's language over its sentences.
+sentences gives the document's language proportions and the likelihood of their mixture; a language stays in the document's set only
+if the mixture without it, fitted anew, is less likely by ``SET_PENALTY``. Segments are the best path through the sentences over the
+languages of the set, where every segment has at least two sentences, its language is drawn from the document's proportions
+and a change of language costs ``PENALTY``. Confidence is the posterior of the segment's language over its sentences, with the
+proportions as the prior.
 
 The n-gram model is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``, the rows with the least hashes of their
-ids): sentences are first counted under the row's label, then as the model places them within their documents, in turn.
+ids, of at most ``SAMPLE_CHARS`` characters each): sentences are first counted under the row's label, then as the model places them within their documents, in turn.
 Labels in the sample may be wrong as long as most are right; function words of all languages are always counted.
 
 Scale: the fit is bounded; the model is a fixed table of a few MB, broadcast; the inference is a narrow Arrow stage over
@@ -29,9 +30,11 @@ from fjordmill.llm.residue import with_residue_flag
 from fjordmill.session import ship_package
 
 LANGUAGES = ["da", "en", "de", "sv", "no", "fr"]
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS, SAMPLE_CHARS = 6000, 10_000
 BUCKETS = 1 << 18
 PENALTY, MOST = 8.5, 10.0  # what a change of language costs; the most that one sentence can say for or against a language
+SET_PENALTY = 4.0  # what a language costs a document
+EM_ROUNDS = 6
 LABEL_WORTH = 2.0
 WORDS_WEIGHT = 20.0  # occurrences that each function word counts for; matters in small samples only
 TEMPER = 0.25  # neighbouring 4-grams share three characters
@@ -149,24 +152,43 @@ def proportions(scores: np.ndarray, owner: np.ndarray, n_docs: int, rounds: int
     return mix
 
 
-def language_set(scores: np.ndarray, mix: np.ndarray, penalty: float = PENALTY) -> list[int]:
-    """The languages of one document: the least likely ones leave while that costs less than the penalty."""
-    chosen = [j for j in np.argsort(-mix) if mix[j] > 0.5 / (len(scores) + 1)] or [int(mix.argmax())]
-    best = lambda s: scores[:, s].max(axis=1).sum()
+def mixture(scores: np.ndarray, chosen: list[int], rounds: int = EM_ROUNDS) -> tuple[np.ndarray, float]:
+    """(proportions, log-likelihood) of one document as a mixture of the chosen languages, by expectation-maximisation."""
+    own = scores[:, chosen].astype(np.float64)
+    top = own.max(axis=1, keepdims=True)
+    base = np.exp(own - top)
+    mix = np.full(len(chosen), 1 / len(chosen))
+    for _ in range(rounds if len(chosen) > 1 else 0):
+        each = base * mix
+        mix = np.maximum((each / each.sum(axis=1, keepdims=True)).mean(axis=0), 1e-9)
+    return mix, float(np.log(base @ mix).sum() + top.sum())
+
+
+def language_set(scores: np.ndarray, mix: np.ndarray, penalty: float = SET_PENALTY) -> tuple[list[int], np.ndarray]:
+    """The languages of one document and their proportions: the least needed ones leave while the mixture without them is
+    less likely by under ``penalty``. mix has the proportions over all languages; those that make up half a sentence enter."""
+    chosen = [int(j) for j in np.argsort(-mix) if mix[j] > 0.5 / (len(scores) + 1)] or [int(mix.argmax())]
+    shares, likely = mixture(scores, chosen)
     while len(chosen) > 1:
-        costs = [best(chosen) - best([x for x in chosen if x != j]) for j in chosen]
-        if min(costs) >= penalty:
+        without = [(mixture(scores, [x for x in chosen if x != j]), j) for j in chosen]
+        (fewer, less), gone = max(without, key=lambda x: x[0][1])
+        if likely - less >= penalty:
             break
-        chosen.pop(int(np.argmin(costs)))
-    return [int(j) for j in chosen]
+        chosen.remove(gone)
+        shares, likely = fewer, less
+    return chosen, shares
 
 
-def segments(scores: np.ndarray, chosen: list[int], penalty: float = PENALTY, least: int = 2) -> list[tuple[int, int, int]]:
-    """(first sentence, end, language) of the best path; all segments have ``least`` sentences unless there are fewer in all."""
+def segments(scores: np.ndarray, chosen: list[int], penalty: float = PENALTY, least: int = 2, shares: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+    """(first sentence, end, language) of the best path; all segments have ``least`` sentences unless there are fewer in all.
+
+    shares are the proportions of the chosen languages: a segment's language is drawn from them.
+    """
     n = len(scores)
+    prior = dict(zip(chosen, np.log(shares) if shares is not None else np.zeros(len(chosen))))
     if len(chosen) == 1 or n < 2 * least:
         part = scores.sum(axis=0)
-        return [(0, n, max(chosen, key=lambda j: part[j]))]
+        return [(0, n, max(chosen, key=lambda j: part[j] + prior[j]))]
     total = np.concatenate([np.zeros((1, scores.shape[1])), np.cumsum(scores, axis=0, dtype=np.float64)])
     # best[e]: the best path that ends a segment before sentence e; open[j]: the best start of a segment in language j so far
     best = [0.0] + [-np.inf] * n
@@ -178,7 +200,7 @@ def segments(scores: np.ndarray, chosen: list[int], penalty: float = PENALTY, le
         if s >= 0 and best[s] > -np.inf:
             for j in chosen:
                 if last_lang[s] != j:
-                    value = best[s] - total[s, j] - (penalty if s else 0)
+                    value = best[s] - total[s, j] - (penalty if s else 0) + prior[j]
                     if value > open_at[j][0]:
                         open_at[j] = (value, s)
         for j in chosen:
@@ -218,29 +240,32 @@ def infer(model: np.ndarray, texts: list[str], labels: list[str | None] | None =
             continue
         at = ends[k] - len(p)
         own, top = scores[at : ends[k]], tops[at : ends[k]]
-        if (top == top[0]).all():
+        if (top == top[0]).all():  # the likeliest mixture is that language alone
             found = [(0, len(p), int(top[0]))]
         else:
             # one foreign sentence must not outweigh its neighbours, so that it can't make a segment with one of them
             bounded = np.maximum(own - own.max(axis=1, keepdims=True), -MOST)
-            found = segments(bounded, language_set(bounded, mix[k]))
+            chosen, shares = language_set(bounded, mix[k])
+            found = segments(bounded, chosen, shares=shares)
         if len(found) == 1 and labels and (named := label_language(labels[k])):
             part = own.sum(axis=0, dtype=np.float64)
             if part.max() - part[LANGUAGES.index(named)] < LABEL_WORTH:
                 found = [(0, len(p), LANGUAGES.index(named))]
         rows = []
         for s, e, j in found:
-            part = own[s:e].sum(axis=0, dtype=np.float64)
+            part = own[s:e].sum(axis=0, dtype=np.float64) + np.log(mix[k])
             rows.append((LANGUAGES[j], float(1 / np.exp(np.minimum(part - part[j], 50)).sum()), e - s))
         out.append(rows)
     return out
 
 
-def fit_on(df: DataFrame, rows: int = SAMPLE_ROWS) -> np.ndarray:
-    """The model from at most ``rows`` labelled rows of df: those with the least hashes of row_id."""
-    labelled = df.filter("language IS NOT NULL AND content IS NOT NULL AND length(language) > 1 AND length(content) > 40").select("language", "content", F.xxhash64("row_id").alias("h"))
+def fit_on(df: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> np.ndarray:
+    """The model from at most ``rows`` labelled rows of df of at most ``chars`` characters: those with the least hashes of row_id."""
+    fits = "language IS NOT NULL AND content IS NOT NULL AND length(language) > 1 AND length(content) > 40"
+    place = F.shiftrightunsigned(F.xxhash64("row_id"), 1)  # 63 bits
+    labelled = df.filter(fits).filter(F.length("content") <= chars).select("language", "content", place.alias("h"))
     share = min(1.0, 1.5 * rows / max(1, labelled.select("h").count()))
-    sample = labelled.filter(F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000)).orderBy(F.pmod("h", F.lit(1_000_000)), "h").limit(rows)
+    sample = labelled.filter(F.col("h") <= min(2**63 - 1, int(share * 2**63))).orderBy("h").limit(rows)
     return fit([(r["language"], r["content"]) for r in sample.collect()])
 
 

@@ -298,3 +298,40 @@ def test_half_the_wordings(spark, monkeypatch):
     monkeypatch.setattr(residue, "NOTICE", "(?U)" + residue.joined(half))
     found = {r["row_id"] for r in residue.residue_found(pages(spark, rows)).collect()}
     assert len(found) >= 0.9 * len(rows)
+
+
+def test_mixture_decides():
+    """The set of languages depends on the proportions that expectation-maximisation finds, not on each sentence's best language."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    # two languages that are almost alike over many sentences: as a mixture one of them explains all
+    near = np.column_stack([np.zeros(40), rng.choice([-0.4, 0.4], 40), np.full(40, -9.0)])
+    assert np.maximum(near[:, 0], near[:, 1]).sum() - near[:, 0].sum() > language.SET_PENALTY
+    mix = language.proportions(near, np.zeros(40, dtype=int), 1)[0]
+    assert len(language.language_set(near, mix)[0]) == 1
+    # two languages that differ: both stay, in their proportions
+    far = np.array([[0.0, -8.0, -9.0]] * 9 + [[-8.0, 0.0, -9.0]] * 3)
+    chosen, shares = language.language_set(far, language.proportions(far, np.zeros(12, dtype=int), 1)[0])
+    assert sorted(chosen) == [0, 1] and abs(dict(zip(chosen, shares))[0] - 0.75) < 0.01
+    # the log-likelihood grows with each round and is that of its definition
+    last = -np.inf
+    for rounds in range(6):
+        w, like = language.mixture(far, [0, 1, 2], rounds)
+        assert like >= last - 1e-9 and abs(like - np.log(np.exp(far) @ w).sum()) < 1e-9
+        last = like
+    # proportions decide between languages that a short text can't tell apart
+    tie = np.array([[0.0, 0.2, -9.0], [0.0, 0.2, -9.0]])
+    assert language.segments(tie, [0, 1])[0][2] == 1 and language.segments(tie, [0, 1], shares=np.array([0.9, 0.1]))[0][2] == 0
+
+
+def test_sample_is_bounded(spark):
+    rows = [{"content": " ".join(DA) if k % 2 else " ".join(EN), "language": "da" if k % 2 else "en"} for k in range(60)] + [{"content": "x " * 9000, "language": "da"}]
+    df = pages(spark, rows)
+    got = []
+    real, language.fit = language.fit, lambda sample: got.append(sample)
+    try:
+        language.fit_on(df, rows=20, chars=5000)
+    finally:
+        language.fit = real
+    assert len(got[0]) == 20 and max(len(t) for _, t in got[0]) <= 5000
