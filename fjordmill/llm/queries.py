@@ -32,6 +32,10 @@ def p2_clean(spark: SparkSession, root: str) -> DataFrame:
     return repeated_lines.without_repeated(table(spark, root, "sample_old_facebook"))
 
 
+def p2_clean_clusters(spark: SparkSession, root: str) -> DataFrame:
+    return repeated_lines.without_repeated(table(spark, root, "sample_old_facebook"), rule="clusters")
+
+
 def p2_sites(spark: SparkSession, root: str) -> DataFrame:
     return repeated_lines.site_report(table(spark, root, "sample_old_facebook"))
 
@@ -82,7 +86,7 @@ def p10_shared(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [p1_found, p1_rates, p1_spikes, p2_found, p2_clean, p2_sites, p3_found, p3_segments, p3_documents, p4_found, p4_clean, p6_found, p6_bodies, p8_ids, p9_containers, p10_found, p10_shared]
+    found = [p1_found, p1_rates, p1_spikes, p2_found, p2_clean, p2_clean_clusters, p2_sites, p3_found, p3_segments, p3_documents, p4_found, p4_clean, p6_found, p6_bodies, p8_ids, p9_containers, p10_found, p10_shared]
     return {f.__name__: f for f in found}
 
 

@@ -57,3 +57,15 @@ def test_days_are_moments(spark):
     # 2009-01-14 in Copenhagen begins on the 13th in UTC, and so do the other dates without a time
     df = spark.createDataFrame([(k, "a.dk", f"samme\negen {chr(97 + k)}", d) for k, d in enumerate(same + other + none)], "row_id long, domain string, content string, date string")
     assert [r["n_days"] for r in R.site_report(df).collect()] == [4]
+
+
+def test_clusters_decide(spark):
+    """An article published again ten times is kept by the rule over clusters and days; a notice on many articles goes."""
+    rows = [(k, "a.dk", "samme artikel\nmed to linjer", "2020-01-01") for k in range(30)]
+    rows += [(100 + k, "a.dk", f"egen {chr(97 + k)}\nDel på Facebook", f"2020-02-{k % 9 + 10}") for k in range(12)]
+    rows += [(200 + k, "a.dk", f"anden {chr(97 + k)}\nEn dags tilbud", "2020-03-01") for k in range(12)]
+    df = spark.createDataFrame(rows, "row_id long, domain string, content string, date string")
+    clean = {r["row_id"]: r["clean"] for r in R.without_repeated(df, rule="clusters").collect()}
+    assert clean[0] == "samme artikel\nmed to linjer" and clean[103] == "egen d" and clean[203] == "anden d\nEn dags tilbud"
+    by_rows = {r["row_id"]: r["clean"] for r in R.without_repeated(df).collect()}
+    assert by_rows[0] == "" and by_rows[103] == "egen d"
