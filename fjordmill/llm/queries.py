@@ -116,5 +116,10 @@ def oracle_sql() -> dict[str, str]:
         "p2_clean": PLACES
         + """, kept AS (SELECT row_id, string_agg(line, chr(10) ORDER BY line_no) AS clean FROM keyed LEFT JOIN hot USING (site, key) WHERE hot.key IS NULL GROUP BY row_id)
         SELECT r.row_id, CASE WHEN r.lines IS NOT NULL THEN coalesce(k.clean, '') END AS clean FROM rows r LEFT JOIN kept k USING (row_id)""",
+        "p10_shared": """WITH s AS (SELECT doc_id, p, md5(substr(text, CAST(p AS BIGINT), 160)) AS stretch FROM (SELECT doc_id, text, unnest(range(1, length(text) - 158)) AS p FROM documents WHERE length(text) >= 160)),
+          k AS (SELECT stretch FROM s GROUP BY stretch HAVING count(DISTINCT doc_id) > 1),
+          h AS (SELECT doc_id, p, lead(p) OVER (PARTITION BY doc_id ORDER BY p) AS next_p FROM s WHERE stretch IN (SELECT stretch FROM k)),
+          n AS (SELECT doc_id, sum(least(160, coalesce(next_p - p, 160))) AS n_shared FROM h GROUP BY doc_id)
+          SELECT doc_id, CAST(coalesce(n_shared, 0) AS BIGINT) AS n_shared FROM documents LEFT JOIN n USING (doc_id)""",
         "p10_found": STRETCHES + " SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM shared a JOIN shared b ON a.stretch = b.stretch AND a.doc_id < b.doc_id",
     }

@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from fjordmill.llm.spans import SharedSpans, sliding_min, window_hashes
+from fjordmill.llm.spans import SharedSpans, compact_windows, joined_windows, min_hashes, signatures, sliding_min, window_hashes
 
 
 def brute(rows, k):
@@ -64,3 +64,44 @@ def test_edges(spark):
     check(spark, [(1, "x" * 24), (2, "x" * 24), (3, None)], 24, 10, 32)
     df = spark.createDataFrame([], "doc_id long, text string")
     assert SharedSpans(df).pairs().count() == 0 and SharedSpans(df).shared_chars().count() == 0
+
+
+def test_windows_are_nodes_of_the_tree():
+    """The compact windows against the Cartesian tree: a node spanning at least w tokens is the least token of a run of starts."""
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        n, w = int(rng.integers(5, 60)), int(rng.integers(2, 9))
+        tokens = rng.permutation(n).astype(np.uint64)
+        want, todo = [], [(0, n - 1)]
+        while todo:
+            lo, hi = todo.pop()
+            if hi - lo + 1 < w:
+                continue
+            c = lo + int(tokens[lo : hi + 1].argmin())
+            want.append((max(lo, c - w + 1), int(tokens[c])))
+            todo += [(lo, c - 1), (c + 1, hi)]
+        first, sig = compact_windows(tokens, w)
+        assert list(zip(first.tolist(), sig.tolist())) == sorted(want)
+
+
+def test_interval_join():
+    """Joined windows against the signatures of every start."""
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        tokens = rng.integers(0, 30, int(rng.integers(8, 80))).astype(np.uint64)
+        parts = min_hashes(tokens, 3)
+        starts, joint, own = joined_windows([compact_windows(t, 5) for t in parts])
+        each = list(zip(*(sliding_min(t, 5).tolist() for t in parts)))
+        edges = [0] + [k for k in range(1, len(each)) if each[k] != each[k - 1]]
+        assert starts.tolist() == edges and own.tolist() == [each[k][0] for k in edges]
+        assert len(set(joint.tolist())) == len({each[k] for k in edges})
+    # texts in one batch have the signatures that they have alone
+    texts = ["abcdefgh" * 9, "x" * 30, "hgfedcba" * 8 + "abcdefgh" * 9]
+    together = {(int(k), int(v)) for k, v in zip(*signatures(texts, 24, 10))}
+    assert together == {(n, int(v)) for n, t in enumerate(texts) for v in signatures([t], 24, 10)[1]}
+
+
+def test_classes(spark):
+    rows = [(5, "ab" * 40), (3, "ab" * 40), (9, "ab" * 40), (4, "cd" * 50), (7, None), (8, "short")]
+    got = {tuple(r) for r in SharedSpans(spark.createDataFrame(rows, "doc_id long, text string"), span=24, gram=10).classes().collect()}
+    assert got == {(3, 3), (5, 3), (9, 3), (4, 4)}
