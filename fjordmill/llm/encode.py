@@ -1,13 +1,14 @@
-"""Encoding of all texts with a public byte-level BPE tokenizer, as a monoid tree reduction.
+"""Encoding of all texts with a public byte-level BPE tokenizer, as a monoid tree reduction, and decoding up the same tree.
 
 A text is halved until the parts are short; the leaves are encoded, and neighbours are joined by encoding again a window
-around the seam. The window runs between *sync points*: a blank between two letters always starts a new piece of the
-tokenizer's pattern, whatever stands around it, and pieces are encoded apart. So tokens before the window's start and from
+around the seam. The window grows to both sides until it ends at *sync points*, where a piece of the tokenizer's pattern ends whatever
+stands around it: before a blank or line feed that follows anything but white space, and, for texts without blanks, between a letter and
+a sign that never continues it. Pieces are encoded apart, so the tokens before the window's start and from
 its end on are provably those of the joined text, and the join is associative. Where a side has no sync point, the window
-grows to the whole side.
+grows to the whole side. Decoding concatenates the bytes of halves.
 
 Scale: short texts are encoded in one narrow Arrow stage. A text over ``split_chars`` is cut into leaf rows that are
-spread over all tasks; their token lists are merged per document in tree order. No special tokens: their strings are plain
+spread over all tasks; their token lists are merged per row in tree order. No special tokens: their strings are plain
 text. Empty texts give an empty list, null texts null.
 """
 
@@ -29,7 +30,7 @@ LEAF_CHARS = 1 << 14
 SPLIT_CHARS = 1 << 20
 # Fixed value: the public pattern that splits a text into the pieces that are encoded apart.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-SYNC = re.compile(r"(?<=[a-zA-Z]) (?=[a-zA-Z])")
+SYNC = re.compile(r"(?<=\S)(?=[ \n])|(?<=[A-Za-z])(?=[0-9.,;:!?])|(?<=[\u4e00-\u9fff\u3041-\u3096\u30a1-\u30fa\uac00-\ud7a3])(?=[\u3001\u3002\uff01\uff0c\uff1f])")
 
 
 @lru_cache(4)
@@ -92,46 +93,80 @@ def _merge_tree(enc, parts: list[tuple[str, list[int]]]) -> list[int]:
     return parts[0][1]
 
 
-def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str = TOKENIZERS, name: str = "byte_bpe_50k", split_chars: int = SPLIT_CHARS, leaf: int = LEAF_CHARS) -> DataFrame:
-    """doc_id, ids: one row per row of df. Other columns are ignored; repeated ids keep one row per row while short."""
+def decode_tree(enc, ids: list[int], leaf: int = LEAF_CHARS) -> bytes:
+    """The bytes of ids by halving; a character may lie across a seam, so text is made of the whole only."""
+    if len(ids) <= leaf:
+        return enc.decode_bytes(ids)
+    mid = len(ids) // 2
+    return decode_tree(enc, ids[:mid], leaf) + decode_tree(enc, ids[mid:], leaf)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(folder, name)
-        for b in batches:
-            ids = [None if t is None else encode_tree(enc, t, leaf) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+def _slim(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    ship_package(df.sparkSession)
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def _is_long(split_chars: int):
+    return F.coalesce(F.length("text") > split_chars, F.lit(False))
+
+
+def _encode_long(slim: DataFrame, folder: str, name: str, split_chars: int, leaf: int) -> DataFrame:
+    """doc_id, ids of the texts over ``split_chars``; rows are told apart by where they are, not by doc_id."""
 
     def encode_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(folder, name)
         for b in batches:
-            ids = [encode_tree(enc, t, leaf) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "part", "text", "ids"])
+            ids = [encode_tree(enc, t, leaf) for t in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], ["row", "doc_id", "part", "text", "ids"])
 
     def merge(t: pa.Table) -> pa.Table:
         t = t.sort_by("part")
         ids = _merge_tree(encoder(folder, name), list(zip(t.column("text").to_pylist(), t.column("ids").to_pylist())))
         return pa.table({"doc_id": t.column("doc_id")[:1], "ids": pa.array([ids], pa.list_(pa.int32()))})
 
-    ship_package(df.sparkSession)
-    slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    long_text = F.coalesce(F.length("text") > split_chars, F.lit(False))
-    out = "doc_id long, ids array<int>"
-    short = slim.filter(~long_text).mapInArrow(encode, out)
     n_parts = F.ceil(F.length("text") / split_chars).cast("int")
-    parts = slim.filter(long_text).withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
-    leaves = parts.select("doc_id", "part", F.expr(f"substring(text, part * {split_chars} + 1, {split_chars})").alias("text")).repartition("doc_id", "part")
-    merged = leaves.mapInArrow(encode_leaves, "doc_id long, part int, text string, ids array<int>").groupBy("doc_id").applyInArrow(merge, out)
-    return short.unionByName(merged)
+    rows = slim.withColumn("row", F.monotonically_increasing_id()).filter(_is_long(split_chars))
+    parts = rows.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
+    leaves = parts.select("row", "doc_id", "part", F.expr(f"substring(text, part * {split_chars} + 1, {split_chars})").alias("text")).repartition("row", "part")
+    return leaves.mapInArrow(encode_leaves, "row long, doc_id long, part int, text string, ids array<int>").groupBy("row").applyInArrow(merge, "doc_id long, ids array<int>")
+
+
+def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str = TOKENIZERS, name: str = "byte_bpe_50k", split_chars: int = SPLIT_CHARS, leaf: int = LEAF_CHARS) -> DataFrame:
+    """doc_id, ids: one row per row of df. Other columns are ignored; repeated ids keep one row per row."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(folder, name)
+        for b in batches:
+            ids = [None if t is None else encode_tree(enc, t, leaf) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+    slim = _slim(df, id_col, text_col)
+    short = slim.filter(~_is_long(split_chars)).mapInArrow(encode, "doc_id long, ids array<int>")
+    return short.unionByName(_encode_long(slim, folder, name, split_chars, leaf))
 
 
-def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
-    """doc_id, n_tokens; null texts count 0. The ids are dropped where they are made."""
+def decode_texts(encoded: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k", leaf: int = LEAF_CHARS) -> DataFrame:
+    """doc_id, text from doc_id, ids; null ids give a null text, an empty list an empty one. Bytes that are no UTF-8 become replacement characters."""
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(folder, name)
+        for b in batches:
+            texts = [None if ids is None else decode_tree(enc, ids, leaf).decode("utf-8", "replace") for ids in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    ship_package(encoded.sparkSession)
+    return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, text string")
+
+
+def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str = TOKENIZERS, name: str = "byte_bpe_50k", split_chars: int = SPLIT_CHARS, leaf: int = LEAF_CHARS) -> DataFrame:
+    """doc_id, n_tokens; null texts count 0. The ids are dropped where they are made; texts over ``split_chars`` are split as in encode_texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(folder, name)
         for b in batches:
-            n = [0 if t is None else len(encode_tree(enc, t)) for t in b.column(1).to_pylist()]
+            n = [0 if t is None else len(encode_tree(enc, t, leaf)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
 
-    ship_package(df.sparkSession)
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(count, "doc_id long, n_tokens long")
+    slim = _slim(df, id_col, text_col)
+    short = slim.filter(~_is_long(split_chars)).mapInArrow(count, "doc_id long, n_tokens long")
+    return short.unionByName(_encode_long(slim, folder, name, split_chars, leaf).select("doc_id", F.size("ids").cast("long").alias("n_tokens")))

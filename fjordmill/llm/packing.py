@@ -3,7 +3,7 @@
 Each item goes to the fill level (0 is a new container) after which the sum, over all fill levels, of the squared counts of
 partly filled containers is least; a level array holds the counts and the containers open at each level. Ties go to the
 fullest container. The rule is made for items in random order, so a shard's items come in the order of a hash, but its
-smallest ``LATE`` share last, in falling size, to fill what is left.
+smallest ``late`` share last, in falling size, to fill what is left; ``late=0`` is the plain online order.
 
 Scale: items are hashed into shards of about ``shard_items`` by id; a shard is packed alone, in O(capacity) memory per
 level array, and at most a few containers per fill level stay open in each, which is a vanishing share of a shard. Texts
@@ -53,7 +53,7 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
-def fill_containers(sizes: DataFrame, n_rows: int, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS) -> DataFrame:
+def fill_containers(sizes: DataFrame, n_rows: int, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS, late: float = LATE) -> DataFrame:
     """doc_id, piece, n_tokens, container: the pieces of each text in order and where they lie.
 
     sizes has doc_id and n_tokens; n_rows is its number of rows or an upper bound (a parquet footer count). A text over the
@@ -77,8 +77,8 @@ def fill_containers(sizes: DataFrame, n_rows: int, capacity: int = CAPACITY, sha
         items = (tokens > 0) & (tokens < capacity)
         at = np.flatnonzero(items)
         if len(at):
-            late = tokens[at] < np.quantile(tokens[at], LATE)
-            at = np.concatenate([at[~late], at[late][np.argsort(-tokens[at[late]], kind="stable")]])
+            last = tokens[at] < np.quantile(tokens[at], late)
+            at = np.concatenate([at[~last], at[last][np.argsort(-tokens[at[last]], kind="stable")]])
             names[at] = [f"{shard}-{b}" for b in pack(tokens[at], capacity).tolist()]
         return t.select(["doc_id", "piece", "n_tokens"]).append_column("container", pa.array(names, pa.string()))
 

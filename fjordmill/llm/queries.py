@@ -72,6 +72,17 @@ def p8_ids(spark: SparkSession, root: str) -> DataFrame:
     return encode.encode_texts(table(spark, root, "documents"))
 
 
+def p8_decoded(spark: SparkSession, root: str) -> DataFrame:
+    """The texts from their ids."""
+    return encode.decode_texts(encode.encode_texts(table(spark, root, "documents")))
+
+
+def p9_online(spark: SparkSession, root: str) -> DataFrame:
+    """p9_containers in plain online order."""
+    docs = table(spark, root, "documents")
+    return packing.fill_containers(encode.count_tokens(docs), docs.count(), late=0.0)
+
+
 def p9_containers(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
     return packing.fill_containers(encode.count_tokens(docs), docs.count())
@@ -86,7 +97,7 @@ def p10_shared(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [p1_found, p1_rates, p1_spikes, p2_found, p2_clean, p2_clean_clusters, p2_sites, p3_found, p3_segments, p3_documents, p4_found, p4_clean, p6_found, p6_bodies, p8_ids, p9_containers, p10_found, p10_shared]
+    found = [p1_found, p1_rates, p1_spikes, p2_found, p2_clean, p2_clean_clusters, p2_sites, p3_found, p3_segments, p3_documents, p4_found, p4_clean, p6_found, p6_bodies, p8_ids, p8_decoded, p9_containers, p9_online, p10_found, p10_shared]
     return {f.__name__: f for f in found}
 
 
@@ -116,6 +127,7 @@ def oracle_sql() -> dict[str, str]:
         "p2_clean": PLACES
         + """, kept AS (SELECT row_id, string_agg(line, chr(10) ORDER BY line_no) AS clean FROM keyed LEFT JOIN hot USING (site, key) WHERE hot.key IS NULL GROUP BY row_id)
         SELECT r.row_id, CASE WHEN r.lines IS NOT NULL THEN coalesce(k.clean, '') END AS clean FROM rows r LEFT JOIN kept k USING (row_id)""",
+        "p8_decoded": "SELECT doc_id, text FROM documents",
         "p10_shared": """WITH s AS (SELECT doc_id, p, md5(substr(text, CAST(p AS BIGINT), 160)) AS stretch FROM (SELECT doc_id, text, unnest(range(1, length(text) - 158)) AS p FROM documents WHERE length(text) >= 160)),
           k AS (SELECT stretch FROM s GROUP BY stretch HAVING count(DISTINCT doc_id) > 1),
           h AS (SELECT doc_id, p, lead(p) OVER (PARTITION BY doc_id ORDER BY p) AS next_p FROM s WHERE stretch IN (SELECT stretch FROM k)),

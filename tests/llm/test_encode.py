@@ -50,3 +50,18 @@ def test_frames(spark):
     assert ids[3] == encode.encoder().encode_ordinary(long) and encode.encoder().decode(ids[5]) == "   "
     assert {r["doc_id"]: r["n_tokens"] for r in encode.count_tokens(df).collect()}[3] == len(ids[3])
     assert encode.encode_texts(df.limit(0)).count() == 0
+
+
+def test_repeated_ids_and_decoding(spark):
+    """Long rows of one id stay apart; decoding gives the texts back."""
+    from fjordmill.llm.encode import count_tokens, decode_texts, encode_texts, encoder
+
+    texts = ["abc def " * 40, "ghi jkl, " * 50, "", None, "日本語の文。" * 60, "kort", "x" * 300, " \n\t " * 80]
+    df = spark.createDataFrame([(7, t) for t in texts], "doc_id long, text string")
+    enc = encoder()
+    encoded = encode_texts(df, split_chars=64, leaf=16)
+    got = [r["ids"] for r in encoded.collect()]
+    want = [None if t is None else enc.encode_ordinary(t) for t in texts]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert sorted(str(r["text"]) for r in decode_texts(encoded, leaf=4).collect()) == sorted(map(str, texts))
+    assert sorted(r["n_tokens"] for r in count_tokens(df, split_chars=64, leaf=16).collect()) == sorted(len(w or []) for w in want)
