@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 16
+CHUNK = 1 << 12
 
 
 def canonical_domain(c: Column | str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fjordmill.session import staged
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first by ``order``, which should end in a unique column. Null keys form one group.
@@ -66,7 +67,8 @@ def number_batches(df: DataFrame, order: list[str], size: int, partitions: int |
     Rows are range-partitioned, counted per partition and numbered by offset; no task sees all rows. order should be unique.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
+    # written once: range bounds are sampled, so a second run of the same plan could place rows otherwise
+    placed = staged(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
     # at most n rows, one per partition
     offsets = F.broadcast(counts.select("_part", (F.sum("_rows").over(W.orderBy("_part")) - F.col("_rows")).alias("_offset")))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fjordmill.plans import basic_queries, core, report_queries, stream_queries, url_queries
+from fjordmill.plans import basic_queries, core, report_queries, source_queries, stream_queries, url_queries
 
-MODULES = [core, url_queries, basic_queries, report_queries, stream_queries]
+MODULES = [core, url_queries, basic_queries, report_queries, source_queries, stream_queries]
 FLAGSHIP = report_queries.a1_metrics
 
 

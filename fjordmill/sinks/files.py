@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from fjordmill.operators.relational import not_seen, number_batches
 
+# values as they are: the writer would trim them
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def flat(df: DataFrame) -> DataFrame:
     """df for CSV: times as ISO text, arrays joined by '; ', structs and maps as JSON."""
@@ -28,7 +31,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, max_rows: int = 1_000_000, mode: str = "overwrite") -> None:
     """CSV parts of at most max_rows rows, each with a header."""
-    flat(df).write.option("header", True).option("escape", '"').option("maxRecordsPerFile", max_rows).mode(mode).csv(path)
+    flat(df).write.options(**CSV).option("maxRecordsPerFile", max_rows).mode(mode).csv(path)
 
 
 def write_both(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
@@ -38,9 +41,9 @@ def write_both(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
 
 
 def write_batches(df: DataFrame, path: str, order: list[str], size: int, first: int = 0) -> None:
-    """Numbered batches of ``size`` rows in the given order, one folder each."""
+    """Numbered batches of ``size`` rows in the given order, one folder each; batches written again are replaced, others stay."""
     numbered = number_batches(df, order, size).withColumn("batch", F.col("batch") + first)
-    flat(numbered).repartition("batch").write.option("header", True).partitionBy("batch").mode("append").csv(path)
+    flat(numbered).repartition("batch").write.options(**CSV).option("partitionOverwriteMode", "dynamic").partitionBy("batch").mode("overwrite").csv(path)
 
 
 def write_by_domain(df: DataFrame, path: str, domain: str = "domain", max_rows: int = 100_000) -> None:
@@ -54,20 +57,29 @@ def write_sheets(sheets: dict[str, DataFrame], path: str) -> None:
         write_csv(df, f"{path}/{name}")
 
 
+def _few(df: DataFrame, limit: int) -> list:
+    """The rows of a small aggregate; more than ``limit`` are an error, not a shorter report."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a report has at most {limit} rows; write larger tables with write_csv")
+    return rows
+
+
 def write_report(df: DataFrame, path: str, title: str, limit: int = 1000) -> str:
-    """A short text report of a small aggregate, at most ``limit`` rows; returns the text."""
-    rows = df.limit(limit).collect()
+    """A short text report of a small aggregate; returns the text. More than ``limit`` rows are an error."""
+    rows = _few(df, limit)
     text = "\n".join([title, "=" * len(title), *("  ".join(f"{k}: {v}" for k, v in r.asDict().items()) for r in rows)]) + "\n"
     Path(path).write_text(text, encoding="utf8")
     return text
 
 
 def write_json_report(df: DataFrame, path: str, limit: int = 1000) -> None:
-    rows = [json.loads(r[0]) for r in df.select(F.to_json(F.struct("*"))).limit(limit).collect()]
+    """The rows of a small aggregate as a JSON list. More than ``limit`` rows are an error."""
+    rows = [json.loads(r[0]) for r in _few(df.select(F.to_json(F.struct("*"))), limit)]
     Path(path).write_text(json.dumps(rows, ensure_ascii=False, indent=1), encoding="utf8")
 
 
-def append_new(df: DataFrame, path: str, key: str, known: DataFrame | None) -> None:
-    """Appends the rows whose key isn't known yet."""
+def append_new(df: DataFrame, path: str, key: str, known: DataFrame | None, batch: str = "0") -> None:
+    """Adds the rows whose key isn't known yet as one batch, in a folder of its own; a batch written again is replaced."""
     fresh = df if known is None else not_seen(df, known, key)
-    fresh.dropDuplicates([key]).write.mode("append").parquet(path)
+    fresh.dropDuplicates([key]).write.mode("overwrite").parquet(f"{path}/batch={batch}")

@@ -62,27 +62,29 @@ def chrome_visits(files: DataFrame) -> DataFrame:
     ).filter("url IS NOT NULL AND url <> ''")
 
 
-def keys_at_any_path(df: DataFrame, id_col: str, json_col: str, keys: list[str], depth: int = 32) -> DataFrame:
-    """id, path, value: every value of one of the keys, at any place in a JSON text; texts that aren't JSON have none."""
+def keys_at_any_path(df: DataFrame, id_col: str, json_col: str, keys: list[str]) -> DataFrame:
+    """id, path, value: every value of one of the keys, at any place and depth in a JSON text; texts that aren't JSON have none."""
     wanted = set(keys)
 
-    def walk(node, path: str, left: int) -> Iterator[tuple[str, str]]:
-        if left and isinstance(node, dict):
-            for k, v in node.items():
-                here = f"{path}.{k}"
-                if k in wanted:
-                    yield here, v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
-                yield from walk(v, here, left - 1)
-        elif left and isinstance(node, list):
-            for n, v in enumerate(node):
-                yield from walk(v, f"{path}[{n}]", left - 1)
+    def walk(node) -> Iterator[tuple[str, str]]:
+        todo = [(node, "$")]
+        while todo:
+            node, path = todo.pop()
+            if isinstance(node, dict):
+                below = [(v, f"{path}.{k}") for k, v in node.items()]
+                yield from ((here, v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)) for (v, here), k in zip(below, node) if k in wanted)
+            elif isinstance(node, list):
+                below = [(v, f"{path}[{n}]") for n, v in enumerate(node)]
+            else:
+                continue
+            todo += reversed(below)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 try:
-                    rows += [(key, *x) for x in walk(json.loads(text or "null"), "$", depth)]
+                    rows += [(key, *x) for x in walk(json.loads(text or "null"))]
                 except ValueError:
                     pass
             columns = list(zip(*rows)) or [()] * 3
@@ -96,14 +98,13 @@ def unified_visits(spark: SparkSession, base: str) -> DataFrame:
     """Visits of the SQLite, Safari JSON and Chrome JSON files below base in one schema, with their source type and account (the folder's name)."""
     from fjordmill.sources import sqlite
 
-    sqlite.register(spark)
     files = json_files(spark, base)
-    db = spark.read.format("sqlite_history").option("path", base).load()
+    db = sqlite.read_histories(spark, base).filter("error IS NULL")
     cols = ["source_file", "visit_id", "url", "title"]
     parts = [
         db.select(*cols, F.col("visit_time").cast("string").alias("visit_time"), F.lit("safari_db").alias("source_type")),
         safari_visits(files).select(*cols, F.col("visit_time").cast("decimal(38,0)").cast("string").alias("visit_time"), F.lit("safari_json").alias("source_type")),
         chrome_visits(files).select(*cols, "visit_time", F.lit("chrome_json").alias("source_type")),
     ]
-    account = F.element_at(F.split("source_file", "/"), -2)
+    account = F.element_at(F.split("source_file", "/"), -2)  # the folder that a file lies in
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("account_name", account)

@@ -76,15 +76,25 @@ def filename_facts(name: Column | str) -> Column:
     return F.struct(part(r"(\d{4}-\d\d-\d\dT\d\d)").alias("stamp"), part(r"_([^_.]+)\.[^.]+$").alias("user"), source.alias("source_type"), part(r"\.([^.]+)$").alias("file_type"))
 
 
+# Why a browser-like file may be left over: (extensions or None for all others, name has one of these words, reason); the first that fits counts.
+LEFT_OVER = [
+    (DATABASE_EXTENSIONS, ["history", "historik"], "database with history in its name that failed"),
+    (DATABASE_EXTENSIONS, [], "database without history in its name"),
+    ([".json"], ["history", "historik", "browser"], "JSON with a browser word that failed"),
+    ([".json"], [], "JSON without a browser word"),
+    (None, [], "unsupported type "),
+]
+RELEVANT_WORDS = ["history", "historik", "safari", "chrome"]
+CANDIDATE_WORDS = [*RELEVANT_WORDS, "firefox", "browser"]
+CANDIDATE_EXTENSIONS = [*DATABASE_EXTENSIONS, ".json", ".plist"]
+
+
 def unprocessed(catalog: DataFrame, processed: DataFrame) -> DataFrame:
-    """Browser-like files that weren't processed, with the reason and whether they look relevant."""
-    ext, low = F.col("extension"), F.lower("filename")
-    candidate = ext.isin(".db", ".json", ".sqlite", ".sqlite3", ".plist") | any_part("filename", ["history", "historik", "safari", "chrome", "firefox", "browser"])
-    history = low.rlike("history|historik")
-    reason = (
-        F.when(ext.isin(DATABASE_EXTENSIONS), F.when(history, "database with history in its name that failed").otherwise("database without history in its name"))
-        .when(ext == ".json", F.when(low.rlike("history|historik|browser"), "JSON with a browser word that failed").otherwise("JSON without a browser word"))
-        .otherwise(F.concat(F.lit("unsupported type "), ext))
-    )
-    left = catalog.filter(candidate).join(processed.select(F.col("full_path").alias("_done")).distinct(), F.col("full_path") == F.col("_done"), "left_anti")
-    return left.select("*", reason.alias("reason_not_processed"), history.alias("potentially_relevant"), F.round(F.col("size_bytes") / 1048576, 2).alias("size_mb"))
+    """Browser-like files that weren't processed, with the reason and whether their names look relevant."""
+    ext = F.col("extension")
+    fits = [(F.lit(True) if kinds is None else ext.isin(kinds)) & (any_part("filename", words) if words else F.lit(True)) for kinds, words, _ in LEFT_OVER]
+    texts = [F.concat(F.lit(text), ext) if kinds is None else F.lit(text) for kinds, _, text in LEFT_OVER]
+    reason = F.coalesce(*(F.when(f, t) for f, t in zip(fits, texts)))
+    candidates = catalog.filter(ext.isin(CANDIDATE_EXTENSIONS) | any_part("filename", CANDIDATE_WORDS))
+    left = candidates.join(processed.select(F.col("full_path").alias("_done")).distinct(), F.col("full_path") == F.col("_done"), "left_anti")
+    return left.select("*", reason.alias("reason_not_processed"), any_part("filename", RELEVANT_WORDS).alias("potentially_relevant"), F.round(F.col("size_bytes") / 1048576, 2).alias("size_mb"))

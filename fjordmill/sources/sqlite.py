@@ -1,4 +1,9 @@
-"""SQLite browser histories as a Spark data source: one partition per file, one fixed schema whatever columns a file has."""
+"""SQLite browser histories: one fixed schema whatever columns a file has.
+
+``read_histories`` lists and reads files of any file system by Spark's binary source and opens them in memory, so a file may
+have up to 2 GB. A file that can't be read to its end gives one row with an error and none of its visits. The data source
+``sqlite_history`` reads local files of any size, one partition per file.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,9 @@ import sqlite3
 from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 VISITS = "source_file string, visit_id long, url string, title string, visit_time double, visit_count long, domain_expansion string, load_successful int, http_non_get int, synthesized int, referring_visit_id long, tags string, tag_count long"
@@ -60,10 +67,10 @@ class HistoryReader(DataSourceReader):
         try:
             con = sqlite3.connect(f"file:{partition.path}?mode=ro&immutable=1", uri=True)
             try:
-                for row in _profile(con) if self.kind == "tables" else _visits(con):
-                    yield (partition.path, *row)
+                rows = list(_profile(con) if self.kind == "tables" else _visits(con))  # all of a file or nothing
             finally:
                 con.close()
+            yield from ((partition.path, *row) for row in rows)
         except sqlite3.DatabaseError:
             if self.options.get("mode", "PERMISSIVE").upper() == "FAILFAST":
                 raise
@@ -88,3 +95,37 @@ def register(spark: SparkSession) -> None:
 
     ship_package(spark)
     spark.dataSource.register(HistorySource)
+
+
+def parse_histories(files: DataFrame, kind: str = "visits") -> DataFrame:
+    """The visits (or tables) of SQLite contents and ``error``; files has path and content. Empty contents give no row."""
+    schema = TABLES if kind == "tables" else VISITS
+    fields = [f.split() for f in schema.split(", ")]
+    types = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if not content:
+                    continue
+                con = sqlite3.connect(":memory:")
+                try:
+                    con.deserialize(content)
+                    rows = [(path, *row, None) for row in (_profile(con) if kind == "tables" else _visits(con))]
+                except sqlite3.Error as e:
+                    rows = [(path, *[None] * (len(fields) - 1), str(e))]
+                finally:
+                    con.close()
+                columns = list(zip(*rows)) or [()] * (len(fields) + 1)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, types[t]) for c, (_, t) in zip(columns, fields)), pa.array(columns[-1], pa.string())], [*(n for n, _ in fields), "error"])
+
+    return files.select("path", "content").mapInArrow(run, f"{schema}, error string")
+
+
+def read_histories(spark: SparkSession, base: str, glob: str = "*.db", kind: str = "visits") -> DataFrame:
+    """parse_histories of the files below base, hidden twins left out."""
+    from fjordmill.session import ship_package
+
+    ship_package(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(base)
+    return parse_histories(files.filter(~F.substring_index("path", "/", -1).startswith("._")).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "content"), kind)

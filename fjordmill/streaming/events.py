@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,44 +48,84 @@ def run_available(df: DataFrame, write: Callable[[DataFrame, int], None], checkp
     return q
 
 
-def upsert_into(path: str, keys: list[str], order: list, versions: int = 2) -> Callable[[DataFrame, int], None]:
-    """A batch writer that keeps the first row per key by ``order`` in a table of numbered versions below path.
+BUCKETS = 64
 
-    Each batch writes a new version and then points to it, so a repeated batch gives the same table and readers never see
-    half a one.
+
+def _bucket(keys: list[str]):
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[int, dict[int, int]]:
+    """The newest version of a table and, for each of its buckets, the version that wrote it; (0, {}) if there is none."""
+    fs, root = _fs(spark, f"{path}/manifests")
+    found = [int(f.getPath().getName()) for f in fs.listStatus(root) if f.getPath().getName().isdigit()] if fs.exists(root) else []
+    if not found:
+        return 0, {}
+    line = spark.read.text(f"{path}/manifests/{max(found)}").first()[0]
+    return max(found), {int(k): v for k, v in json.loads(line).items()}
+
+
+def upsert_into(path: str, keys: list[str], order: list) -> Callable[[DataFrame, int], None]:
+    """A batch writer that keeps the first row per key by ``order`` in a table of ``BUCKETS`` buckets by key below path.
+
+    A batch merges and writes only the buckets that its keys fall in, then a manifest of the table's new version, which counts up in the
+    table itself, whatever checkpoint the batches come from. Readers see whole versions; a batch that is repeated gives the same
+    table. Older buckets stay until ``forget_versions``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fs, root = _fs(spark, path)
-        found = sorted(int(f.getPath().getName()[1:]) for f in fs.listStatus(root) if f.getPath().getName().startswith("v")) if fs.exists(root) else []
-        before = [v for v in found if v < batch_id + 1 and fs.exists(_path(spark, f"{path}/v{v}/_SUCCESS"))]
-        merged = upsert(spark.read.parquet(f"{path}/v{before[-1]}"), batch, keys, order) if before else upsert(batch, batch.limit(0), keys, order)
-        merged.write.mode("overwrite").parquet(f"{path}/v{batch_id + 1}")
-        for old in before[: -versions + 1] if versions > 1 else before:
-            fs.delete(_path(spark, f"{path}/v{old}"), True)
+        version, buckets = _manifest(spark, path)
+        placed = batch.withColumn("bucket", _bucket(keys)).persist()  # the batch is read twice
+        touched = [r[0] for r in placed.select("bucket").distinct().collect()]  # at most BUCKETS
+        if not touched:
+            placed.unpersist()
+            return
+        old = [f"{path}/data/{buckets[k]}/bucket={k}" for k in touched if k in buckets]
+        before = spark.read.parquet(*old).withColumn("bucket", _bucket(keys)) if old else placed.limit(0)
+        new = version + 1
+        upsert(before, placed, keys, order).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/{new}")
+        placed.unpersist()
+        line = json.dumps(buckets | {k: new for k in touched})
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifests/{new}")
 
     return write
 
 
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete version that upsert_into wrote."""
-    fs, root = _fs(spark, path)
-    found = [int(f.getPath().getName()[1:]) for f in fs.listStatus(root) if f.getPath().getName().startswith("v")]
-    return spark.read.parquet(f"{path}/v{max(v for v in found if fs.exists(_path(spark, f'{path}/v{v}/_SUCCESS')))}")
+    _, buckets = _manifest(spark, path)
+    return spark.read.parquet(*(f"{path}/data/{v}/bucket={k}" for k, v in buckets.items()))
+
+
+def forget_versions(spark: SparkSession, path: str) -> None:
+    """Delete the buckets and manifests that the newest version doesn't need."""
+    version, buckets = _manifest(spark, path)
+    fs, root = _fs(spark, f"{path}/data")
+    for v in fs.listStatus(root):
+        for b in fs.listStatus(v.getPath()):
+            name = b.getPath().getName()
+            if name.startswith("bucket=") and buckets.get(int(name[7:])) != int(v.getPath().getName()):
+                fs.delete(b.getPath(), True)
+    for m in fs.listStatus(_path(spark, f"{path}/manifests")):
+        if m.getPath().getName() != str(version):
+            fs.delete(m.getPath(), True)
 
 
 def append_unseen(path: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A batch writer that appends the rows whose key no earlier batch had, each batch in a folder of its own."""
+    """A batch writer that appends the rows whose key no earlier batch had, each batch in a folder of its own, by buckets of the
+    key; only the buckets that a batch touches are read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fs, root = _fs(spark, path)
-        fresh = batch.dropDuplicates([key])
+        fresh = distinct = batch.dropDuplicates([key]).withColumn("bucket", _bucket([key])).persist()
         if fs.exists(root) and any(f.getPath().getName().startswith("batch=") for f in fs.listStatus(root)):
-            earlier = spark.read.parquet(path).filter(F.col("batch") < batch_id)
+            touched = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most BUCKETS
+            earlier = spark.read.parquet(path).filter((F.col("batch") < batch_id) & F.col("bucket").isin(touched))
             fresh = not_seen(fresh, earlier, key)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch={batch_id}")
+        distinct.unpersist()
 
     return write
 

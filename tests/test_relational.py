@@ -55,3 +55,19 @@ def test_first_match(spark):
     names = spark.createDataFrame([("dr nyheder",), ("intet",), (None,)], "name string")
     patterns = spark.createDataFrame([("nyheder", 2), ("^dr", 1)], "pattern string, rank int")
     assert {tuple(r) for r in first_match(names, patterns, F.col("name"), ["name"]).collect()} == {("dr nyheder", "^dr")}
+
+
+def test_first_match_against_brute_force(spark):
+    import random
+    import re
+
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("ab.c") for _ in range(n))
+    patterns = sorted({(rng.randrange(4), word(rng.randrange(0, 3))) for _ in range(12)})
+    texts = sorted({word(rng.randrange(6)) for _ in range(60)})
+    p = spark.createDataFrame(patterns + [(0, None)], "rank int, pattern string")
+    t = spark.createDataFrame([(x,) for x in texts] + [(None,)], "name string")
+    for contains in (True, False):
+        hit = (lambda x, y: y in x) if contains else (lambda x, y: re.search(y, x))
+        want = {(x, min(q for q in patterns if hit(x, q[1]))[1]) for x in texts if any(hit(x, q[1]) for q in patterns)}
+        assert {tuple(r) for r in first_match(t, p, F.col("name"), ["name"], contains=contains).collect()} == want

@@ -130,3 +130,28 @@ def test_keys_and_links(spark):
     posts = ['{"link":"https://a.dk"}', '{"url":"https://reddit.com/x","text":"se https://b.dk/c."}', '{"entities":{"urls":[{"url":"https://t.co/1","expanded_url":"https://c.dk"}]}}', "{}"]
     df = spark.createDataFrame([(p,) for p in posts], "j string").withColumn("post", F.parse_json("j"))
     assert [r[0] for r in df.select(social.external_link()).collect()] == ["https://a.dk", "https://b.dk/c", "https://c.dk", None]
+
+
+def test_broken_history_gives_an_error_row(spark, folder):
+    rows = sqlite.read_histories(spark, str(folder)).collect()
+    assert {r["visit_id"] for r in rows if r["error"] is None} == {10, 11, 5}
+    assert [r["source_file"].rsplit("/", 1)[-1] for r in rows if r["error"]] == ["bad.db"]
+
+
+def test_relevant_leftovers(spark):
+    names = ["a_safari.db", "chrome.json", "x.db", "historik.plist", "firefox.csv"]
+    c = spark.createDataFrame([(f"/d/{n}", n, "." + n.rsplit(".")[-1], 10) for n in names], "full_path string, filename string, extension string, size_bytes long")
+    got = {r["filename"]: r["potentially_relevant"] for r in catalog.unprocessed(c, c.limit(0)).collect()}
+    assert got == {"a_safari.db": True, "chrome.json": True, "x.db": False, "historik.plist": True, "firefox.csv": False}
+
+
+def test_deep_keys_and_long_reports(spark, tmp_path):
+    deep = '{"x":' * 60 + '{"k":1}' + "}" * 60
+    got = browser_json.keys_at_any_path(spark.createDataFrame([(1, deep)], "id int, j string"), "id", "j", ["k"]).collect()
+    assert len(got) == 1 and got[0]["path"].count(".x") == 60
+    for write in (lambda: sinks.write_report(spark.range(12), str(tmp_path / "r"), "T", limit=10), lambda: sinks.write_json_report(spark.range(12), str(tmp_path / "j"), limit=10)):
+        with pytest.raises(ValueError):
+            write()
+    sinks.write_batches(spark.range(30), str(tmp_path / "b"), ["id"], 10)
+    sinks.write_batches(spark.range(30), str(tmp_path / "b"), ["id"], 10)
+    assert spark.read.option("header", True).csv(str(tmp_path / "b")).count() == 30

@@ -33,3 +33,19 @@ def test_append_unseen(spark, tmp_path):
     w(spark.createDataFrame([("b",), ("c",)], "k string"), 1)
     w(spark.createDataFrame([("b",), ("c",)], "k string"), 1)
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "o")).collect()) == ["a", "b", "c"]
+
+
+def test_versions_outlive_checkpoints(spark, tmp_path):
+    """Batches of another checkpoint, which count from 0 again, go on with the table's versions; only touched buckets are written."""
+    out = str(tmp_path / "t")
+    write = E.upsert_into(out, ["k"], [F.desc("t")])
+    frame = lambda rows: spark.createDataFrame(rows, "k string, t int")
+    write(frame([(f"k{i}", 1) for i in range(200)]), 7)
+    write(frame([("k3", 2)]), 0)
+    write(frame([("k3", 2)]), 0)
+    write(frame([]), 1)
+    rows = {r["k"]: r["t"] for r in E.latest_version(spark, out).collect()}
+    assert len(rows) == 200 and rows["k3"] == 2
+    assert len(list((tmp_path / "t/data/2").glob("bucket=*"))) == 1
+    E.forget_versions(spark, out)
+    assert {r["k"]: r["t"] for r in E.latest_version(spark, out).collect()} == rows
