@@ -3,7 +3,7 @@
 1. Rows are pre-aggregated per (key, content): repeats collapse before and after one shuffle on both columns, so a hot key
    is spread over all partitions by its contents.
 2. Keys are counted per partition; a prefix sum over the partitions gives each its offset; every row is numbered
-   offset + position, and number // chunk_size is its chunk. The counts have at most partitions x keys rows.
+   offset + position, where it is, and number // chunk_size is its chunk. The counts have at most partitions x keys rows.
 3. Chunks of at most chunk_size rows are aggregated to states, which are merged per key in chunk order.
 
 No task gets a key whole: the largest unit of work is a chunk, or a key's part of one partition.
@@ -11,9 +11,15 @@ No task gets a key whole: the largest unit of work is a chunk, or a key's part o
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from fjordmill.session import ship_package
 
 CHUNK = 1 << 12
 
@@ -26,12 +32,27 @@ def canonical_domain(c: Column | str) -> Column:
 
 
 def number_within_key(df: DataFrame, key: str, by: list[str], partitions: int) -> DataFrame:
-    """df with ``n``: 0, 1, ... within each key, by exact offsets. df is hash-partitioned on ``by``; the numbers' order is arbitrary."""
+    """df with ``n``: 0, 1, ... within each key, by exact offsets. df is hash-partitioned on ``by``; the numbers' order is arbitrary.
+
+    Positions are counted where the rows are, with one counter per key of a partition: no sort and no further shuffle of the rows.
+    """
+    ship_package(df.sparkSession)
     placed = df.repartition(partitions, *by).withColumn("_part", F.spark_partition_id())
     counts = placed.groupBy(key, "_part").agg(F.count("*").alias("_rows"))
     before = W.partitionBy(key).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(F.col(key).alias("_key"), F.col("_part").alias("_at"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    local = placed.withColumn("_pos", F.row_number().over(W.partitionBy(key, "_part").orderBy(*by)) - 1)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict = {}
+        for b in batches:
+            at = []
+            for k in b.column(b.schema.get_field_index(key)).to_pylist():
+                n = seen.get(k, 0)
+                at.append(n)
+                seen[k] = n + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at, pa.int64())], [*b.schema.names, "_pos"])
+
+    local = placed.mapInArrow(number, StructType([*placed.schema.fields, StructField("_pos", LongType())]))
     joined = local.join(offsets, local[key].eqNullSafe(offsets["_key"]) & (local["_part"] == offsets["_at"]))
     return joined.withColumn("n", F.col("_pos") + F.col("_offset")).drop("_key", "_at", "_offset", "_pos", "_part")
 

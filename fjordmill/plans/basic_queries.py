@@ -122,13 +122,6 @@ def n7_top_urls_per_account(s: SparkSession, d: str) -> DataFrame:
     return R.top_per_group(g, ["account_name"], [F.desc("n"), F.asc("url")], 3)
 
 
-def n8_slices(s: SparkSession, d: str) -> DataFrame:
-    """A contiguous slice of each account's visits from a seeded start."""
-    g = table(s, d, "visits").groupBy("account_name").agg(F.sort_array(F.collect_set("visit_id")).alias("ids"))
-    start = F.pmod(F.xxhash64(F.lit(42), "account_name"), F.size("ids")).cast("int") + 1
-    return g.select("account_name", F.least(F.lit(5), F.size("ids")).alias("want"), F.size(F.slice(F.concat("ids", "ids"), start, F.least(F.lit(5), F.size("ids")))).alias("got"))
-
-
 def o2_sorted(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "sample_old_facebook").select("domain", "url", "row_id").orderBy(F.asc_nulls_first("domain"), "url", "row_id")
 
@@ -226,7 +219,6 @@ ORACLE = {
     "n2_best_by_resolved": "SELECT resolved_url, row_id FROM sample_old_facebook WHERE resolved_url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY resolved_url ORDER BY word_count DESC NULLS LAST, row_id) = 1",
     "n5_positions": "SELECT row_id, CAST(unnest(range(len(l))) AS INT) AS pos, unnest(l) AS line FROM (SELECT row_id, string_split(content, chr(10)) AS l FROM scraped_cache WHERE content IS NOT NULL)",
     "n7_top_urls_per_account": "SELECT account_name, url, count(*) AS n, CAST(row_number() OVER (PARTITION BY account_name ORDER BY count(*) DESC, url) AS INT) AS rank FROM visits GROUP BY 1, 2 QUALIFY rank <= 3",
-    "n8_slices": "SELECT account_name, CAST(least(5, count(DISTINCT visit_id)) AS INT) AS want, CAST(least(5, count(DISTINCT visit_id)) AS INT) AS got FROM visits GROUP BY 1",
     "o2_sorted": "SELECT domain, url, row_id FROM sample_old_facebook ORDER BY domain NULLS FIRST, url, row_id",
     "o3_mixed_sort": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_custkey, o_totalprice DESC, o_orderkey",
     "o9_page": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10 OFFSET 10",

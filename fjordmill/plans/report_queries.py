@@ -125,11 +125,16 @@ def a17_combine_summary(s: SparkSession, d: str) -> DataFrame:
 
 def a18_length_stats(s: SparkSession, d: str) -> DataFrame:
     """Lengths of the URLs per source; the median is the upper one."""
+    # one row per source and length, however many visits a source has
     v = table(s, d, "visits").withColumn("n", F.length("url"))
-    ranked = v.withColumn("k", F.row_number().over(W.partitionBy("source_type").orderBy("n", "source_file", "visit_id"))).withColumn("size", F.count("*").over(W.partitionBy("source_type")))
-    return ranked.groupBy("source_type").agg(
-        F.min("n").alias("shortest"), F.max("n").alias("longest"), F.round(F.avg("n"), 6).alias("mean"), F.max(F.when(F.col("k") == F.floor(F.col("size") / 2) + 1, F.col("n"))).alias("median"), F.count_distinct("url").alias("distinct_urls")
-    )
+    lengths = v.groupBy("source_type", "n").agg(F.count("*").alias("c"))
+    source = W.partitionBy("source_type")
+    ranked = lengths.withColumn("upto", F.sum("c").over(source.orderBy(F.asc_nulls_last("n")))).withColumn("size", F.sum("c").over(source))
+    stats = ranked.groupBy("source_type").agg(
+        F.min("n").alias("shortest"), F.max("n").alias("longest"), F.round(F.sum(F.col("n") * F.col("c")) / F.sum(F.when(F.col("n").isNotNull(), F.col("c"))), 6).alias("mean"),
+        F.min(F.when(F.col("upto") >= F.floor(F.col("size") / 2) + 1, F.col("n"))).alias("median"),
+    )
+    return stats.join(v.groupBy("source_type").agg(F.count_distinct("url").alias("distinct_urls")), "source_type")
 
 
 def a19_completeness(s: SparkSession, d: str) -> DataFrame:
@@ -210,17 +215,14 @@ def n9_sampled_visits(s: SparkSession, d: str) -> DataFrame:
     return R.sample_per_key(docs, "source", "doc_id", 10, 50).groupBy("source").agg(F.count("*").alias("n"))
 
 
-def n10_improved(s: SparkSession, d: str) -> DataFrame:
-    """Rescraped pages with clearly more words than the earlier best of the same address."""
-    c = table(s, d, "scraped_cache").filter("word_count IS NOT NULL")
-    best = lambda flag, name: c.filter(flag).groupBy("url_hash").agg(F.max("word_count").alias(name))
-    j = best("source = 'rescrape'", "new_words").join(best("source <> 'rescrape'", "old_words"), "url_hash")
-    return j.filter(F.col("new_words") > F.greatest(F.col("old_words") * 1.2, F.col("old_words") + 100))
-
-
 def n11_recent_rate(s: SparkSession, d: str) -> DataFrame:
-    w = W.partitionBy("event_type").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-300_000_000, 0)
-    return table(s, d, "events").select("event_id", F.count("*").over(w).alias("last_5_minutes"))
+    """How many events of its type each event has in the five minutes up to it. A type's events are spread over slots of five
+    minutes; each slot also sees the events of the one before it."""
+    us = 300_000_000
+    e = table(s, d, "events").select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    slots = e.withColumn("own", F.explode(F.array(F.lit(1), F.lit(0)))).withColumn("slot", F.floor(F.col("at") / us) + 1 - F.col("own"))
+    w = W.partitionBy("event_type", "slot").orderBy("at").rangeBetween(-us, 0)
+    return slots.withColumn("last_5_minutes", F.count("*").over(w)).filter("own = 1").select("event_id", "last_5_minutes")
 
 
 def n12_error_runs(s: SparkSession, d: str) -> DataFrame:
@@ -347,7 +349,7 @@ QUERIES = {
         c1_classify, a1_metrics, a2_optional_metrics, a3_activity_span, a4_by_source_type, a5_top_domains, a6_classification_summary, a7_titles_per_url, a8_url_rollup, a9_account_summary, a10_account_domains,
         a11_account_titles, a12_totals, a13_timestamp_validity, a14_resolution_report, a15_scraping_report, a16_unique_counts, a17_combine_summary, a18_length_stats, a19_completeness, a20_busy_accounts,
         a21_distinct_accounts, a22_language_shares, a23_error_counts, a24_user_inventory, a25_source_pivot, a26_top_per_class, a27_words_of_top_domains, a_rollup_sources, n1_keep_best, n3_unique_content,
-        n3_unique_content_collapsed, n4_first_seen, n6_batches, n9_sampled_visits, n10_improved, n11_recent_rate, n12_error_runs, n_sessions, n_revisit_gap, j1_items_visits, j2_left_aggregate, j4_suffix_join,
+        n3_unique_content_collapsed, n4_first_seen, n6_batches, n9_sampled_visits, n11_recent_rate, n12_error_runs, n_sessions, n_revisit_gap, j1_items_visits, j2_left_aggregate, j4_suffix_join,
         j6_resolved_pages, j8_pattern_match, j9_containment, j11_unprocessed, j12_unprocessed_any, j13_semi, j16_cache_probe, u1_union, u4_compare, u5_comparison_report, u9_merge, i3_cache_upsert,
         resolve_chains, o1_recent_visits, o4_top_accounts, w2_file_sizes,
     ]
@@ -405,8 +407,6 @@ ORACLE = {
     "n4_first_seen": f"SELECT clean_url, source_file, visit_id FROM {CLEAN_VISITS} QUALIFY row_number() OVER (PARTITION BY clean_url ORDER BY source_file, visit_id, visit_datetime) = 1",
     "n6_batches": "SELECT k // 1000 AS batch, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS k FROM orders) GROUP BY 1",
     "n9_sampled_visits": "SELECT source, least(greatest(1, CAST(floor(count(*) * 10.0 / 100) AS BIGINT)), 50) AS n FROM documents GROUP BY 1",
-    "n10_improved": """SELECT url_hash, new_words, old_words FROM (SELECT url_hash, max(word_count) AS new_words FROM scraped_cache WHERE source = 'rescrape' AND word_count IS NOT NULL GROUP BY 1)
-        JOIN (SELECT url_hash, max(word_count) AS old_words FROM scraped_cache WHERE source <> 'rescrape' AND word_count IS NOT NULL GROUP BY 1) USING (url_hash) WHERE new_words > greatest(1.2 * old_words, old_words + 100)""",
     "n11_recent_rate": "SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 5 MINUTES PRECEDING AND CURRENT ROW) AS last_5_minutes FROM events",
     "n12_error_runs": """WITH m AS (SELECT *, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events),
         r AS (SELECT user_id, island, count(*) FILTER (event_type = 'error') AS run FROM m GROUP BY 1, 2) SELECT user_id, max(run) AS longest_run FROM r GROUP BY 1""",
