@@ -96,15 +96,15 @@ class Units:
     def __init__(self, remember: int = 300_000):
         self.short: dict[str, str] = {}
         self.long: dict[str, str] = {}
-        self.words: dict[str, str] = {}
-        self.longer: dict[str, list[str]] = {}
+        self.seen: dict[str, tuple[str, str, str | None]] = {}
+        self.prefixes: dict[str, tuple[str, list[str]]] = {}
         self.remember = remember
 
     def _kind(self, token: str, long: bool) -> str:
         core = token.strip(PUNCTUATION)
         if not core:
             return token
-        if any(ch.isdigit() for ch in core):
+        if not core.isalpha() and any(ch.isdigit() for ch in core):
             kind = "X" if core[0].isalpha() else "0"
         elif core[0].isupper():
             kind = "X"
@@ -132,39 +132,41 @@ class Units:
     def last_word(fragment: str) -> str:
         word = fragment.rstrip(PUNCTUATION).rsplit(None, 1)[-1:]
         core = word[0].strip(PUNCTUATION).lower() if word else ""
-        return "0" if any(ch.isdigit() for ch in core) else core
+        return "0" if not core.isalpha() and any(ch.isdigit() for ch in core) else core
+
+    def _learn(self, token: str) -> tuple[str, str, str | None]:
+        """A token's kind in short units, in longer ones, and its key as a word."""
+        if len(self.seen) >= self.remember:
+            self.seen.clear()
+        word = self.last_word(token)
+        out = self.seen[token] = (self._kind(token, False), self._kind(token, True), "w" + word if word else None)
+        return out
 
-    def beginnings(self, fragment: str, after: bool) -> list[str]:
-        """The skeletons of a fragment's first words, for each number of words but all."""
+    def scan(self, fragment: str, after: bool, in_line: bool) -> tuple[str, str, list[str], list[str]]:
+        """The keys of a unit's skeleton and last word, of its beginnings and of its other words, in one pass over its tokens."""
         fragment = fragment.strip()
         lead = LEAD.match(fragment)
-        tokens = (fragment[lead.end() :] if lead else fragment).split()
-        sign = "+" if after else ""
-        short = [self._known(t, False) for t in tokens[:SHORT_BLANKS]]
-        out = [sign + " ".join(short[:k]).rstrip(PUNCTUATION) for k in range(1, min(len(tokens), SHORT_BLANKS + 1))]
-        if len(tokens) <= SHORT_BLANKS + 1:
-            return out
-        kinds = sign + " ".join([self._known(t, True) for t in tokens[:-1]])
-        longer = self.longer.get(kinds)
-        if longer is None:
-            if len(self.longer) >= self.remember // 20:
-                self.longer.clear()
-            at = [k for k, c in enumerate(kinds) if c == " "][SHORT_BLANKS:] + [len(kinds)]
-            longer = self.longer[kinds] = [kinds[:k].rstrip(PUNCTUATION) for k in at]
-        return out + longer
-
-    def inner_words(self, fragment: str) -> list[str]:
-        """The words of a fragment before its last one, as ``last_word`` would give them."""
-        out, known = [], self.words
-        for t in fragment.split()[:-1]:
-            w = known.get(t)
-            if w is None:
-                if len(known) >= self.remember:
-                    known.clear()
-                w = known[t] = self.last_word(t)
-            if w:
-                out.append(w)
-        return out
+        get = self.seen.get
+        tokens = [get(t) or self._learn(t) for t in fragment.split()]
+        words = [t[2] for t in tokens[:-1] if t[2]]
+        last = next((t[2] for t in reversed(tokens) if t[2]), "w")
+        if lead:
+            tokens = [get(t) or self._learn(t) for t in fragment[lead.end() :].split()]
+        n, sign = len(tokens), "s+" if in_line else "s"
+        begun = [sign + " ".join([t[0] for t in tokens[:k]]).rstrip(PUNCTUATION) for k in range(1, min(n, SHORT_BLANKS + 1))]
+        if n <= SHORT_BLANKS:
+            whole = " ".join([t[0] for t in tokens]).rstrip(PUNCTUATION)
+        else:
+            kinds = sign + " ".join([t[1] for t in tokens])
+            known = self.prefixes.get(kinds)
+            if known is None:
+                if len(self.prefixes) >= self.remember // 20:
+                    self.prefixes.clear()
+                at = [k for k, c in enumerate(kinds) if c == " "][SHORT_BLANKS:]
+                known = self.prefixes[kinds] = (kinds[len(sign) :].rstrip(PUNCTUATION), [kinds[:k].rstrip(PUNCTUATION) for k in at])
+            whole = known[0]
+            begun += known[1]
+        return ("s+" if after else "s") + whole, last, begun, words
 
     def fragments(self, line: str) -> list[tuple[str, bool]]:
         """The fragments of a line, and whether each is unfinished after a finished one."""
@@ -223,20 +225,21 @@ def corpus_units(texts: DataFrame, share: float = END_SHARE) -> DataFrame:
                 text = text.rstrip()
                 if not text:
                     continue
-                ending, inner, words = set(), set(), set()
+                ending, inner = set(), set()
                 for part, after, in_line in units.complete(text):
-                    ending.add("s" + units.skeleton(part, after))
-                    ending.add("w" + units.last_word(part))
+                    whole, word, begun, others = units.scan(part, after, in_line)
+                    ending.add(whole)
+                    ending.add(word)
                     if not is_finished(part):
                         ending.add("u" + part.strip())
-                    inner.update(units.beginnings(part, in_line))
-                    words.update(units.inner_words(part))
+                    inner.update(begun)
+                    inner.update(others)
                 ending.update(["l" + x for x in units.followed_lines(text)])
                 last = text.rsplit("\n", 1)[-1].strip()
                 if len(last) >= ENDING_CHARS and not is_finished(last) and not LINK.search(last):  # links cut short are alike
                     ending.add("e" + last)
                 ends.update(ending)
-                inside.update(["s" + x for x in inner] + ["w" + x for x in words])
+                inside.update(inner)
                 if len(ends) + len(inside) > FLUSH:
                     yield flush()
         yield flush()
