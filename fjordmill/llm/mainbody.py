@@ -339,7 +339,7 @@ class Pages:
                         if items and 2 * sum(x in roles and roles[x] != SUBHEAD for x in items) >= len(items):
                             node = next(x for x in items if x in roles and roles[x] != SUBHEAD)
                             role = FURNISHED
-                if role is not None and (template.enough or kind in (SENTENCE, SHORT, BULLET, PARAGRAPH) and role != SUBHEAD):
+                if role is not None and (template.enough or kind in (SENTENCE, SHORT, BULLET, PARAGRAPH)):
                     place = weights[node]
                     if kind == BULLET:
                         constant.add(len(kinds))

@@ -97,11 +97,11 @@ FURNITURE = [
     r"(?:privatlivs|personvern|privacy|integritets|datenschutz|confidentialité|cookiepoliti|cookie.?polic|impressum|vilkår|terms)", r"(?:rss|facebook|instagram|twitter|x|linkedin|youtube|tiktok)(?: *[·|/,] *(?:rss|facebook|instagram|twitter|x|linkedin|youtube|tiktok))+$",
     r"(?:tags?|emner|emneord|nøkkelord|ämnen|stichwort|stichworte|schlagworte|themen|mots-clés|sujets|topics|nyckelord|emne|thèmes|étiquettes|taggar)\s*:", r"(?:kommentarer|comments|kommentare|les commentaires|commentaires)\b.{0,60}$", r"(?:skriv en kommentar|log ind for at kommentere)",
     # page numbers and ornaments
-    r"[«‹<]?(?:[ |·]*\d+)*[ |·]*(?:[»›>]|\.\.\.)$", r"[«‹]", r"\d+ ?/ ?\d+$", r"(?:side|page|seite|sida) \d+(?: (?:af|av|of|von|de|sur|/) \d+)?$", r"[★☆▲▼►◄■●]+$", r"a a a$", r"(?:til toppen|back to top|nach oben|haut de page|till toppen|tilbage til toppen)$",
+    r"[«‹<]?(?:[ |·]*\d+)*[ |·]*(?:[»›>]|\.\.\.)$", r"[«‹][\W\d]*$", r"[«‹] ?(?:forrige|previous|föregående|zurück|précédent)", r"\d+ ?/ ?\d+$", r"(?:side|page|seite|sida) \d+(?: (?:af|av|of|von|de|sur|/) \d+)?$", r"[★☆▲▼►◄■●]+$", r"a a a$", r"(?:til toppen|back to top|nach oben|haut de page|till toppen|tilbage til toppen)$",
 ]
 
 # Subheadings that belong to a text although many pages have them.
-SUBHEADS = "baggrund|bakgrunn|bakgrund|background|hintergrund|le contexte|contexte|det mener parterne|dette mener partene|det tycker båda sidor|what both sides think|was beide seiten meinen|ce que pensent les deux camps|sådan gør du|slik gjør du det|så gör du|how to do it|so geht es|comment faire|spørgsmål og svar|spørsmål og svar|frågor och svar|questions and answers|fragen und antworten|questions et réponses|fakta|facts|fakten|les faits|tidslinje|timeline|konklusion|conclusion|fazit".split("|")
+SUBHEADS = "baggrund|bakgrunn|bakgrund|background|hintergrund|le contexte|contexte|spørgsmål og svar|spørsmål og svar|frågor och svar|questions and answers|fragen und antworten|questions et réponses|fakta|facts|fakten|les faits|tidslinje|timeline|konklusion|conclusion|fazit".split("|")
 
 
 # Function words, which say nothing about a line's kind.
