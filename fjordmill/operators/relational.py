@@ -91,20 +91,28 @@ def islands(df: DataFrame, key: list[str], time: str, tie: str, flag: Column, ou
     return marked.withColumn(out, F.when(F.col("_flag"), F.sum(F.col("_flag").cast("int")).over(inner)).otherwise(0)).drop("_flag", "_island")
 
 
-def resolve_redirects(starts: DataFrame, edges: DataFrame, max_redirects: int = 5, every: int = 4, checkpoint=None) -> DataFrame:
-    """url, resolved_url, redirect_count: each start followed along edges (src, dst) for at most ``max_redirects`` steps.
+def resolve_redirects(starts: DataFrame, edges: DataFrame, max_redirects: int = 5, every: int = 4, checkpoint=staged) -> DataFrame:
+    """url, resolved_url, redirect_count, ended: each start followed along edges (src, dst) for at most ``max_redirects`` steps.
 
-    edges should have one dst per src. A start without an edge resolves to itself; when the budget ends, what was reached
-    counts. Each step is one equi-join; ``checkpoint`` (a function of a DataFrame) cuts the lineage every few steps.
+    Of several dst of one src the least counts; null ones are none. A start without an edge resolves to itself; when the budget ends, what was reached
+    counts. ended says how: ``direct`` (no edge), ``resolved``, ``loop`` (an address came twice) or ``budget``. Each step is one equi-join;
+    ``checkpoint`` (a function of a DataFrame) cuts the lineage every few steps. A path has at most ``max_redirects`` + 1 addresses.
     """
-    cur = starts.select("url").distinct().select("url", F.col("url").alias("resolved_url"), F.lit(0).alias("redirect_count"))
-    e = edges.select(F.col("src").alias("_src"), F.col("dst").alias("_dst")).filter("_src <> _dst")
+    first = F.array("url")
+    cur = starts.select("url").filter("url IS NOT NULL").distinct().select("url", F.col("url").alias("resolved_url"), F.lit(0).alias("redirect_count"), first.alias("_path"), F.lit(False).alias("_loop"), F.lit(False).alias("_open"))
+    e = edges.filter("src <> dst").groupBy(F.col("src").alias("_src")).agg(F.min("dst").alias("_dst"))
     for step in range(1, max_redirects + 1):
         j = cur.join(e, cur["resolved_url"] == e["_src"], "left")
-        cur = j.select("url", F.coalesce("_dst", "resolved_url").alias("resolved_url"), (F.col("redirect_count") + F.when(F.col("_dst").isNotNull(), 1).otherwise(0)).alias("redirect_count"))
+        moved = F.col("_dst").isNotNull()
+        cur = j.select(
+            "url", F.coalesce("_dst", "resolved_url").alias("resolved_url"), (F.col("redirect_count") + F.when(moved, 1).otherwise(0)).alias("redirect_count"),
+            F.when(moved, F.array_append("_path", F.col("_dst"))).otherwise(F.col("_path")).alias("_path"), (F.col("_loop") | F.coalesce(F.array_contains("_path", F.col("_dst")), F.lit(False))).alias("_loop"), moved.alias("_open"),
+        )
         if checkpoint and step % every == 0:
             cur = checkpoint(cur)
-    return cur
+    more = cur.join(e.select(F.col("_src")), cur["resolved_url"] == F.col("_src"), "left")  # whether the last address would go on
+    ended = F.when(F.col("redirect_count") == 0, "direct").when(F.col("_loop"), "loop").when(F.col("_open") & F.col("_src").isNotNull(), "budget").otherwise("resolved")
+    return more.select("url", "resolved_url", "redirect_count", ended.alias("ended"))
 
 
 def sample_per_key(df: DataFrame, key: str, row_id: str, percent: float, cap: int | None = None, seed: int = 42) -> DataFrame:

@@ -328,7 +328,15 @@ def resolve_chains(s: SparkSession, d: str) -> DataFrame:
     """Addresses followed through the cache's redirects, at most five steps."""
     c = table(s, d, "url_cache").filter("resolved_url IS NOT NULL")
     starts = table(s, d, "sample_old_facebook").select("url")
-    return R.resolve_redirects(starts, c.select(F.col("original_url").alias("src"), F.col("resolved_url").alias("dst")))
+    return R.resolve_redirects(starts, c.select(F.col("original_url").alias("src"), F.col("resolved_url").alias("dst"))).drop("ended")
+
+
+def resolve_outcomes(s: SparkSession, d: str) -> DataFrame:
+    """How chains of redirects over the shared links end: customers' nations as links that run in circles, with a budget of 3."""
+    n = table(s, d, "nation")
+    step = n.select(F.concat(F.lit("n"), "n_nationkey").alias("src"), F.concat(F.lit("n"), F.pmod(F.col("n_nationkey") * 2 + 1, F.lit(30))).alias("dst"))
+    starts = table(s, d, "customer").select(F.concat(F.lit("n"), "c_nationkey").alias("url"))
+    return R.resolve_redirects(starts, step, 3)
 
 
 def o1_recent_visits(s: SparkSession, d: str) -> DataFrame:
@@ -351,7 +359,7 @@ QUERIES = {
         a21_distinct_accounts, a22_language_shares, a23_error_counts, a24_user_inventory, a25_source_pivot, a26_top_per_class, a27_words_of_top_domains, a_rollup_sources, n1_keep_best, n3_unique_content,
         n3_unique_content_collapsed, n4_first_seen, n6_batches, n9_sampled_visits, n11_recent_rate, n12_error_runs, n_sessions, n_revisit_gap, j1_items_visits, j2_left_aggregate, j4_suffix_join,
         j6_resolved_pages, j8_pattern_match, j9_containment, j11_unprocessed, j12_unprocessed_any, j13_semi, j16_cache_probe, u1_union, u4_compare, u5_comparison_report, u9_merge, i3_cache_upsert,
-        resolve_chains, o1_recent_visits, o4_top_accounts, w2_file_sizes,
+        resolve_chains, resolve_outcomes, o1_recent_visits, o4_top_accounts, w2_file_sizes,
     ]
 }
 
@@ -437,6 +445,11 @@ ORACLE = {
     "resolve_chains": """WITH RECURSIVE e AS (SELECT original_url AS src, resolved_url AS dst FROM url_cache WHERE resolved_url IS NOT NULL AND original_url <> resolved_url),
         w AS (SELECT DISTINCT url, url AS cur, 0 AS n FROM sample_old_facebook UNION ALL SELECT url, dst, n + 1 FROM w JOIN e ON cur = src WHERE n < 5)
         SELECT url, arg_max(cur, n) AS resolved_url, CAST(max(n) AS INT) AS redirect_count FROM w GROUP BY 1""",
+    "resolve_outcomes": """WITH RECURSIVE e AS (SELECT 'n' || n_nationkey AS src, 'n' || ((n_nationkey * 2 + 1) % 30) AS dst FROM nation WHERE n_nationkey <> (n_nationkey * 2 + 1) % 30),
+        w AS (SELECT DISTINCT 'n' || c_nationkey AS url, 'n' || c_nationkey AS cur, 0 AS n, ['n' || c_nationkey] AS path, false AS looped FROM customer
+            UNION ALL SELECT url, dst, n + 1, list_append(path, dst), looped OR list_contains(path, dst) FROM w JOIN e ON cur = src WHERE n < 3),
+        l AS (SELECT url, arg_max(cur, n) AS resolved_url, CAST(max(n) AS INT) AS redirect_count, bool_or(looped) AS looped FROM w GROUP BY 1)
+        SELECT url, resolved_url, redirect_count, CASE WHEN redirect_count = 0 THEN 'direct' WHEN looped THEN 'loop' WHEN redirect_count = 3 AND resolved_url IN (SELECT src FROM e) THEN 'budget' ELSE 'resolved' END AS ended FROM l""",
     "o1_recent_visits": "SELECT source_file, visit_id, visit_datetime FROM visits ORDER BY visit_datetime DESC NULLS LAST, source_file, visit_id",
     "o4_top_accounts": f"SELECT account_name, mainstream FROM ({SUMMARY}) WHERE mainstream > 0 ORDER BY mainstream DESC, account_name LIMIT 5",
     "w2_file_sizes": "SELECT k // 500 AS batch, count(*) AS n FROM (SELECT row_number() OVER () - 1 AS k FROM visits) GROUP BY 1",

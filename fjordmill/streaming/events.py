@@ -135,6 +135,13 @@ def progress(query: StreamingQuery) -> list[dict]:
     return [{"batch": p["batchId"], "rows": p["numInputRows"], "seconds": p["durationMs"].get("triggerExecution", 0) / 1000} for p in query.recentProgress]
 
 
+def checkpoint_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """batch, committed: the micro-batches that a query's checkpoint knows, and whether they were finished."""
+    number = F.col("_metadata.file_name").try_cast("long")
+    read = lambda part: spark.read.option("pathGlobFilter", "[0-9]*").text(f"{checkpoint}/{part}").select(number.alias("batch")).distinct()
+    return read("offsets").join(read("commits").withColumn("committed", F.lit(True)), "batch", "left").select("batch", F.coalesce("committed", F.lit(False)).alias("committed"))
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 

@@ -21,7 +21,10 @@ def test_redirects(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("l", "m"), ("m", "l"), ("s", "s")], "src string, dst string")
     starts = spark.createDataFrame([("a",), ("c",), ("l",), ("s",), ("a",)], "url string")
     got = {tuple(r) for r in R.resolve_redirects(starts, edges, 5).collect()}
-    assert got == {("a", "c", 2), ("c", "c", 0), ("l", "m", 5), ("s", "s", 0)}
+    assert got == {("a", "c", 2, "resolved"), ("c", "c", 0, "direct"), ("l", "m", 5, "loop"), ("s", "s", 0, "direct")}
+    twice = edges.union(edges).union(spark.createDataFrame([("a", "z"), (None, "q"), ("z", None)], "src string, dst string"))
+    assert {tuple(r) for r in R.resolve_redirects(starts.union(spark.createDataFrame([(None,)], "url string")), twice, 5, every=1).collect()} == got
+    assert {tuple(r) for r in R.resolve_redirects(starts.filter("url = 'a'"), edges, 1).collect()} == {("a", "b", 1, "budget")}
 
 
 def test_seen_and_sets(spark):
