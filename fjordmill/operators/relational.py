@@ -76,19 +76,55 @@ def number_batches(df: DataFrame, order: list[str], size: int, partitions: int |
     return local.join(offsets, "_part").withColumn(out, F.floor((F.col("_pos") + F.col("_offset")) / size)).drop("_part", "_pos", "_offset")
 
 
-def sessions(df: DataFrame, key: list[str], time: str, tie: str, gap_minutes: int = 30) -> DataFrame:
-    """df with session_no, from 1 within each key: a new one starts after a gap of more than ``gap_minutes``."""
-    w = W.partitionBy(*key).orderBy(time, tie)
-    gap = F.col(time) > F.lag(time).over(w) + F.expr(f"INTERVAL {gap_minutes} MINUTES")
-    return df.withColumn("_new", F.when(F.lag(time).over(w).isNull() | gap, 1).otherwise(0)).withColumn("session_no", F.sum("_new").over(w)).drop("_new")
+def _ranges(df: DataFrame, key: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+    """df with ``_part``, ranges of (key, order): a key with a third of all rows lies in many parts. Written once, as range bounds are sampled."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(df.repartitionByRange(n, *key, *order).withColumn("_part", F.spark_partition_id()))
+
+
+def _carried(rows: DataFrame, key: list[str], state: Column, fold, out: str) -> DataFrame:
+    """rows with ``out``: the fold of the states of a key's earlier parts; null for its first part. There are at most parts x keys states."""
+    before = W.partitionBy(*key).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    states = rows.groupBy(*key, "_part").agg(state.alias("_state"))
+    carry = states.select(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(key)), F.col("_part").alias("_at"), fold(F.col("_state")).over(before).alias(out))
+    on = rows["_part"] == carry["_at"]
+    for i, k in enumerate(key):
+        on = on & rows[k].eqNullSafe(carry[f"_key{i}"])
+    return rows.join(carry, on).drop("_at", *(f"_key{i}" for i in range(len(key))))
+
+
+def rank_within_key(df: DataFrame, key: list[str], order: list[str], out: str = "rank", partitions: int | None = None) -> DataFrame:
+    """df with ``out``: 1, 2, ... within each key by ``order``, exactly, with no task that has a whole key."""
+    rows = _carried(_ranges(df, key, order, partitions), key, F.count("*"), F.sum, "_before")
+    local = W.partitionBy(*key, "_part").orderBy(*order)
+    return rows.withColumn(out, F.row_number().over(local) + F.coalesce("_before", F.lit(0))).drop("_part", "_before")
+
 
+def sessions(df: DataFrame, key: list[str], time: str, tie: str, gap_minutes: int = 30, partitions: int | None = None) -> DataFrame:
+    """df with session_no, from 1 within each key: a new one starts after a gap of more than ``gap_minutes``.
 
-def islands(df: DataFrame, key: list[str], time: str, tie: str, flag: Column, out: str = "run_length") -> DataFrame:
-    """df with ``out``: how many rows in a row, up to this one, have the flag."""
-    w = W.partitionBy(*key).orderBy(time, tie)
-    marked = df.withColumn("_flag", flag).withColumn("_island", F.sum(F.when(F.col("_flag"), 0).otherwise(1)).over(w))
-    inner = W.partitionBy(*key, "_island").orderBy(time, tie)
-    return marked.withColumn(out, F.when(F.col("_flag"), F.sum(F.col("_flag").cast("int")).over(inner)).otherwise(0)).drop("_flag", "_island")
+    A key's rows are cut into ranges of time; each range takes over the last time and the number of sessions of those before it.
+    """
+    rows = _carried(_ranges(df, key, [time, tie], partitions), key, F.max(time), F.max, "_last")
+    local = W.partitionBy(*key, "_part").orderBy(time, tie)
+    previous = F.coalesce(F.lag(time).over(local), F.col("_last"))
+    gap = F.col(time) > previous + F.expr(f"INTERVAL {gap_minutes} MINUTES")
+    opened = rows.withColumn("_new", F.when(previous.isNull() | gap, 1).otherwise(0))
+    counted = _carried(opened, key, F.sum("_new"), F.sum, "_opened")
+    return counted.withColumn("session_no", F.sum("_new").over(local) + F.coalesce("_opened", F.lit(0))).drop("_new", "_opened", "_last", "_part")
+
+
+def islands(df: DataFrame, key: list[str], time: str, tie: str, flag: Column, out: str = "run_length", partitions: int | None = None) -> DataFrame:
+    """df with ``out``: how many rows in a row, up to this one, have the flag; a null flag ends a run.
+
+    A row's run is its position less that of the last row without the flag, in its range of time or in those before it.
+    """
+    rows = _carried(_ranges(df.withColumn("_flag", F.coalesce(flag, F.lit(False))), key, [time, tie], partitions), key, F.count("*"), F.sum, "_before")
+    local = W.partitionBy(*key, "_part").orderBy(time, tie)
+    placed = rows.withColumn("_pos", F.row_number().over(local) + F.coalesce("_before", F.lit(0))).withColumn("_break", F.when(~F.col("_flag"), F.col("_pos")))
+    carried = _carried(placed, key, F.max("_break"), F.max, "_broke")
+    last = F.coalesce(F.max("_break").over(local.rowsBetween(W.unboundedPreceding, 0)), F.col("_broke"), F.lit(0))
+    return carried.withColumn(out, F.when(F.col("_flag"), F.col("_pos") - last).otherwise(0)).drop("_flag", "_pos", "_break", "_before", "_broke", "_part")
 
 
 def resolve_redirects(starts: DataFrame, edges: DataFrame, max_redirects: int = 5, every: int = 4, checkpoint=staged) -> DataFrame:
@@ -117,10 +153,9 @@ def resolve_redirects(starts: DataFrame, edges: DataFrame, max_redirects: int =
 
 def sample_per_key(df: DataFrame, key: str, row_id: str, percent: float, cap: int | None = None, seed: int = 42) -> DataFrame:
     """max(1, percent of the rows) per key, at most ``cap``: those with the least seeded hashes. The same rows each time."""
-    order = W.partitionBy(key).orderBy(F.xxhash64(F.lit(seed), row_id), row_id)
     counts = df.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_size"))
     want = F.greatest(F.lit(1), F.floor(F.col("_size") * F.lit(percent) / 100))
     if cap is not None:
         want = F.least(want, F.lit(cap))
-    ranked = df.withColumn("_rank", F.row_number().over(order)).join(counts, F.col(key).eqNullSafe(F.col("_k"))).drop("_k")
-    return ranked.filter(F.col("_rank") <= want).drop("_rank", "_size")
+    ranked = rank_within_key(df.withColumn("_hash", F.xxhash64(F.lit(seed), row_id)), [key], ["_hash", row_id], "_rank")
+    return ranked.join(counts, F.col(key).eqNullSafe(F.col("_k"))).filter(F.col("_rank") <= want).drop("_k", "_hash", "_rank", "_size")

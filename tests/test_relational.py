@@ -74,3 +74,24 @@ def test_first_match_against_brute_force(spark):
         hit = (lambda x, y: y in x) if contains else (lambda x, y: re.search(y, x))
         want = {(x, min(q for q in patterns if hit(x, q[1]))[1]) for x in texts if any(hit(x, q[1]) for q in patterns)}
         assert {tuple(r) for r in first_match(t, p, F.col("name"), ["name"], contains=contains).collect()} == want
+
+
+def test_hot_keys_are_cut_into_ranges(spark):
+    """Sessions, runs and ranks of a hot key over many ranges against one pass."""
+    import random
+
+    rng = random.Random(6)
+    rows = [(None if rng.random() < 0.1 else "hot" if rng.random() < 0.8 else rng.choice("ab"), i, rng.randrange(600), rng.random() < 0.7) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, id int, minute int, good boolean").withColumn("t", F.timestamp_seconds(F.col("minute") * 60))
+    sessions, runs, ranks = {}, {}, {}
+    for k in {r[0] for r in rows}:
+        last, no, run = None, 0, 0
+        for pos, (_, i, minute, good) in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: (r[2], r[1])), 1):
+            no += last is None or minute > last + 3
+            last, run = minute, run + 1 if good else 0
+            sessions[i], runs[i], ranks[i] = no, run, pos
+    for parts in (1, 7):
+        assert {r["id"]: r["session_no"] for r in R.sessions(df, ["k"], "t", "id", 3, parts).collect()} == sessions
+        assert {r["id"]: r["run_length"] for r in R.islands(df, ["k"], "t", "id", F.col("good"), partitions=parts).collect()} == runs
+        assert {r["id"]: r["rank"] for r in R.rank_within_key(df, ["k"], ["t", "id"], partitions=parts).collect()} == ranks
+    assert R.sessions(df.limit(0), ["k"], "t", "id").columns[-1] == "session_no"
