@@ -44,7 +44,7 @@ TEMPLATE_PAGES = 20
 CONSTANT_PAGES, CONSTANT_SHARE, SHARED_HOSTS = 3, 0.01, 3
 HEADING_SHARE, HEADING_HEAD, HEADING_TAIL, OPENER_SHARE = 0.87, 0.6, 0.06, 0.5
 SENTENCE_PAGES, SENTENCE_SHARE = 5, 0.05
-BROADCAST_NODES = 1_000_000
+BROADCAST_NODES, BROADCAST_COPIES = 1_000_000, 1_000_000
 
 PARAGRAPH, FURNISHED, TEASERS, SUBHEAD, MARK, BULLET, SENTENCE, SHORT = range(8)
 ENDS = re.compile(r"[.!?…:;][»”“\"')\]]*\W*$|[»”“]\W*$")
@@ -191,17 +191,17 @@ class Nodes:
         return [self.line(x) for x in parts] if len(parts) >= 2 else []
 
 
-NODE_SCHEMA = "site string, page long, node long, ended boolean, n int, before int, head int, tail int, open int"
+NODE_SCHEMA = "site string, node long, ended boolean, n int, before int, head int, tail int, open int"
 
 
 def page_nodes(df: DataFrame) -> DataFrame:
-    """site, page, node, ended and, for each node of a page, how often it occurs, introduces a sentence, stands before the
+    """site, node, ended and, for each node of a page, how often it occurs, introduces a sentence, stands before the
     first sentence, after the last one, and introduces two open lines. page is the hash of the first long sentence, of the whole text if there is none."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
-            for site, page, content in zip(*(c.to_pylist() for c in b.columns)):
+            for site, content in zip(*(c.to_pylist() for c in b.columns)):
                 lines = [x for x in (y.strip() for y in content.split("\n")) if x]
                 if not lines:
                     continue
@@ -226,20 +226,23 @@ def page_nodes(df: DataFrame) -> DataFrame:
                         at[2] += k < first
                         at[3] += k > last
                         at[4] += context[1]
-                rows += [(site, page, key, ended, *v) for (key, ended), v in found.items()]
-            columns = list(zip(*rows)) or [()] * 9
-            types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int32()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["site", "page", "node", "ended", "n", "before", "head", "tail", "open"])
+                rows += [(site, key, ended, *v) for (key, ended), v in found.items()]
+            columns = list(zip(*rows)) or [()] * 8
+            types = [pa.string(), pa.int64(), pa.bool_(), *[pa.int32()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["site", "node", "ended", "n", "before", "head", "tail", "open"])
 
-    return df.filter("site IS NOT NULL AND content IS NOT NULL").select("site", "page", "content").mapInArrow(walk, NODE_SCHEMA)
+    return df.select("site", "content").mapInArrow(walk, NODE_SCHEMA)
 
 
 def templates(df: DataFrame) -> DataFrame:
-    """site, pages, template: for each host its number of pages and its nodes, whether they are sentences, with role, share in the head and share in the tail."""
+    """site, pages, nodes, codes: for each host its number of pages and its nodes, with what ``Template`` reads from their codes."""
     sums = [F.sum(c).alias(c) for c in ("n", "before", "head", "tail", "open")]
-    per_page = page_nodes(df).groupBy("site", "page", "node", "ended").agg(*(F.max(c).alias(c) for c in ("n", "before", "head", "tail", "open")))
-    counted = staged(per_page.groupBy("site", "node", "ended").agg(F.count("*").alias("pages"), *sums))
-    totals = df.filter("site IS NOT NULL AND content IS NOT NULL").groupBy("site").agg(F.count_distinct("page").alias("site_pages"))
+    rows = df.filter("site IS NOT NULL AND content IS NOT NULL")
+    first = rows.groupBy("site", "page").agg(F.min("row_id").alias("_first"), F.count("*").alias("_n"))
+    copies = rows.select("site", "page", "row_id").join(first.filter("_n > 1"), ["site", "page"]).filter("row_id <> _first").select("row_id")
+    single = rows.join(broadcast_if_small(copies, BROADCAST_COPIES), "row_id", "left_anti")
+    counted = staged(page_nodes(single).groupBy("site", "node", "ended").agg(F.count("*").alias("pages"), *sums))
+    totals = first.groupBy("site").agg(F.count("*").alias("site_pages"))
     shared = counted.filter("NOT ended").groupBy("node").agg(F.count("*").alias("hosts"), *sums).filter(F.col("hosts") >= SHARED_HOSTS)
     shared = broadcast_if_small(shared.select(F.col("node").alias("_node"), *(F.col(c).alias(f"s_{c}") for c in ("n", "before", "head", "tail", "open"))), BROADCAST_NODES)
     own = counted.join(totals, "site").join(shared, ~F.col("ended") & (F.col("node") == F.col("_node")), "left")
@@ -251,23 +254,26 @@ def templates(df: DataFrame) -> DataFrame:
     heading = ~F.col("ended") & ((stat("before") + 1) / (n + 1.5) >= HEADING_SHARE) & (stat("head") <= HEADING_HEAD * n) & (stat("tail") <= HEADING_TAIL * n + 1)
     opener = ~F.col("ended") & (stat("open") >= OPENER_SHARE * n)
     role = F.when(heading, SUBHEAD).when(opener, TEASERS).otherwise(FURNISHED)
-    node = F.struct("node", "ended", role.alias("role"), (stat("head") / n).alias("head"), (stat("tail") / n).alias("tail"))
-    return kept.groupBy("site").agg(F.first("site_pages").alias("pages"), F.collect_list(node).alias("template"))
+    percent = lambda c: F.round(100 * stat(c) / n).cast("int")
+    # one long and one int a node, as every row of a host carries them: role, whether it is a sentence, percent in the head and in the tail
+    code = ((role * 2 + F.col("ended").cast("int")) * 128 + percent("head")) * 128 + percent("tail")
+    packed = kept.groupBy("site").agg(F.first("site_pages").alias("pages"), F.collect_list(F.struct("node", code.alias("code"))).alias("t"))
+    return packed.select("site", "pages", F.col("t.node").alias("nodes"), F.col("t.code").alias("codes"))
 
 
 class Template:
     """A host's template: the role of each node and its weights in the head, the main slot and the tail."""
 
-    def __init__(self, pages: int = 0, nodes: list[dict] | None = None):
+    def __init__(self, pages: int = 0, nodes: list[int] = (), codes: list[int] = ()):
         self.enough = pages >= TEMPLATE_PAGES
         self.roles: dict[int, int] = {}
         self.weights: dict[int, tuple[float, float, float]] = {}
         self.sentences = False
-        for x in nodes or []:
-            self.sentences = self.sentences or x["ended"]
-            self.roles[x["node"]] = x["role"]
-            head, tail = x["head"], x["tail"]
-            self.weights[x["node"]] = tuple(math.log(0.05 + 0.95 * max(p, 0.0)) for p in (head, 1 - head - tail, tail))
+        for node, code in zip(nodes, codes):
+            head, tail = (code >> 7 & 127) / 100, (code & 127) / 100
+            self.sentences = self.sentences or bool(code >> 14 & 1)
+            self.roles[node] = code >> 15
+            self.weights[node] = tuple(math.log(0.05 + 0.95 * max(p, 0.0)) for p in (head, 1 - head - tail, tail))
 
 
 def align(weights: list[tuple[float, float, float]]) -> tuple[int, int]:
@@ -387,10 +393,10 @@ def page_rows(df: DataFrame) -> DataFrame:
     """
     ship_package(df.sparkSession)
     page = F.xxhash64(F.coalesce("url_hash", "original_url"))
-    found = templates(df.select(host("resolved_url", "original_url").alias("site"), page.alias("page"), "content"))
-    found = broadcast_if_small(found, BROADCAST_NODES, F.size("template"))
+    found = templates(df.select("row_id", host("resolved_url", "original_url").alias("site"), page.alias("page"), "content"))
+    found = broadcast_if_small(found, BROADCAST_NODES, F.size("nodes"))
     rows = with_residue_flag(df.select("row_id", "title", "content", "original_url", "resolved_url").filter("content IS NOT NULL"))
-    return rows.filter("NOT bad_content").join(found, "site", "left").select("row_id", "content", "title", "site", "pages", "template")
+    return rows.filter("NOT bad_content").join(found, "site", "left").select("row_id", "content", "title", "site", "pages", "nodes", "codes")
 
 
 class Templates:
@@ -400,18 +406,18 @@ class Templates:
         self.known: dict[str | None, Template] = {None: Template()}
         self.remember = remember
 
-    def of(self, site: str | None, pages: int | None, template: pa.ListScalar) -> Template:
+    def of(self, site: str | None, pages: int | None, nodes: pa.ListScalar, codes: pa.ListScalar) -> Template:
         if site not in self.known:
             if len(self.known) > self.remember:
                 self.known = {None: Template()}
-            self.known[site] = Template(pages or 0, template.as_py())
+            self.known[site] = Template(pages or 0, nodes.as_py() or [], codes.as_py() or [])
         return self.known[site]
 
 
 def _walked(b: pa.RecordBatch, pages: Pages, known: Templates) -> Iterator[tuple[list[str], list[bool | None]]]:
-    for content, title, site, n, template in zip(*(b.column(k).to_pylist() for k in range(1, 5)), b.column(5)):
+    for content, title, site, n, nodes, codes in zip(*(b.column(k).to_pylist() for k in range(1, 5)), b.column(5), b.column(6)):
         lines = content.split("\n")
-        yield lines, pages.main(lines, known.of(site, n, template), site, title)
+        yield lines, pages.main(lines, known.of(site, n, nodes, codes), site, title)
 
 
 def furniture_lines(df: DataFrame) -> DataFrame:
