@@ -226,13 +226,13 @@ def _mixed_names(s: SparkSession, d: str) -> DataFrame:
     return _names(s, d, F.concat(F.col("visit_id").cast("string"), F.lit("_"), F.get(kinds, F.pmod("visit_id", F.lit(11)).cast("int"))))
 
 
-def p24_unprocessed_files(s: SparkSession, d: str) -> DataFrame:
+def filter_p24_unprocessed_files(s: SparkSession, d: str) -> DataFrame:
     files = _mixed_names(s, d)
     left = catalog.unprocessed(files, files.filter("size_bytes % 2000 = 0"))
     return left.select("full_path", "reason_not_processed", "potentially_relevant", "size_mb")
 
 
-def p11_file_predicates(s: SparkSession, d: str) -> DataFrame:
+def filter_p11_file_predicates(s: SparkSession, d: str) -> DataFrame:
     files = _mixed_names(s, d)
     return files.select("full_path", catalog.any_part("filename", catalog.BROWSER_PARTS).alias("browser"), catalog.any_part("filename", catalog.POST_FILES).alias("posts"))
 
@@ -462,7 +462,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         s8_sqlite_visits, s11_sqlite_tables, s11_broken_files, s12_safari_json, s13_chrome_json, s14_unified, s15_activity_items, s17_recently_viewed, s18_liked_pages, s19_reactions, s20_numbered_files,
-        s21_html_activities, s22_viewed_links, s23_html_urls, s24_csv_batches, s1_catalog, s7_account_names, s32_filename_facts, p24_unprocessed_files, p11_file_predicates, s3_history_files, s2_export_files,
+        s21_html_activities, s22_viewed_links, s23_html_urls, s24_csv_batches, s1_catalog, s7_account_names, s32_filename_facts, filter_p24_unprocessed_files, filter_p11_file_predicates, s3_history_files, s2_export_files,
         s4_social_folders, s27_url_list, w1_flat_csv, w2_parts, w3_both, w4_sheets, w6_batches, w7_append_new, w12_by_domain, x10_pages, x14_keys, k6_meta_refresh, k7_shims, k8_external_links, k9_permalinks,
         t4_social_times, t9_localised_dates, x15_compact, x17_rates, x18_beginnings, filter_p18_language_code, o6_by_time, o10_first_items, c2_second_dictionary, n5_row_index, n8_slice_sample, u5_examples,
         n10_better_pages, j12_new_by_any,
@@ -500,11 +500,11 @@ ORACLE = {
     "s7_account_names": "SELECT DISTINCT account_name, replace(account_name, '_', '') AS account, 'facebook-' || replace(account_name, '_', '') || '-2024' AS source FROM visits",
     "s32_filename_facts": """SELECT DISTINCT source_file, '2025-01-02T03' AS stamp, nullif(regexp_extract('2025-01-02T03_' || replace(source_file, '/', '-') || '.json', '_([^_.]+)\\.[^.]+$', 1), '') AS user,
         CASE WHEN contains(source_file, 'safari') THEN 'safari' WHEN contains(source_file, 'chrome') THEN 'chrome' ELSE 'unknown' END AS source_type, 'json' AS file_type FROM visits""",
-    "p24_unprocessed_files": f"""SELECT full_path, CASE WHEN ext IN ('.db', '.sqlite', '.sqlite3') THEN CASE WHEN regexp_matches(low, 'history|historik') THEN 'database with history in its name that failed' ELSE 'database without history in its name' END
+    "filter_p24_unprocessed_files": f"""SELECT full_path, CASE WHEN ext IN ('.db', '.sqlite', '.sqlite3') THEN CASE WHEN regexp_matches(low, 'history|historik') THEN 'database with history in its name that failed' ELSE 'database without history in its name' END
         WHEN ext = '.json' THEN CASE WHEN regexp_matches(low, 'history|historik|browser') THEN 'JSON with a browser word that failed' ELSE 'JSON without a browser word' END ELSE 'unsupported type ' || ext END AS reason_not_processed,
         regexp_matches(low, 'history|historik|safari|chrome') AS potentially_relevant, round(size_bytes / 1048576, 2) AS size_mb FROM {MIXED}
         WHERE size_bytes % 2000 <> 0 AND (ext IN ('.db', '.sqlite', '.sqlite3', '.json', '.plist') OR regexp_matches(low, 'history|historik|safari|chrome|firefox|browser'))""",
-    "p11_file_predicates": f"SELECT full_path, regexp_matches(low, 'history|historik|safari|chrome|firefox|edge|browser|webkit|bookmarks|cookies|cache') AS browser, regexp_matches(low, 'posts_and_comments\\.json|posts\\.json|comments\\.json') AS posts FROM {MIXED}",
+    "filter_p11_file_predicates": f"SELECT full_path, regexp_matches(low, 'history|historik|safari|chrome|firefox|edge|browser|webkit|bookmarks|cookies|cache') AS browser, regexp_matches(low, 'posts_and_comments\\.json|posts\\.json|comments\\.json') AS posts FROM {MIXED}",
     "s3_history_files": f"SELECT full_path FROM {MIXED} WHERE ext IN ('.db', '.json') AND size_bytes > 0",
     "s2_export_files": f"SELECT full_path FROM {MIXED} WHERE ext IN ('.json', '.html', '.htm')",
     "s4_social_folders": f"""SELECT directory, bool_or(regexp_matches(low, 'posts_and_comments\\.json|posts\\.json|comments\\.json')) OR count(*) FILTER (ext = '.html') >= 20 AS valid FROM {MIXED} WHERE directory IS NOT NULL GROUP BY 1""",

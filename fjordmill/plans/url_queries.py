@@ -105,6 +105,11 @@ def t5_extractor_time(s: SparkSession, d: str) -> DataFrame:
     return v.select("source_file", "visit_id", F.date_trunc("second", times.extractor_timestamp("visit_time")).cast("timestamp_ntz").alias("wall"))
 
 
+def t5_all_sources(s: SparkSession, d: str) -> DataFrame:
+    """The extractor's reading of every visit; microseconds are out of its range and give null."""
+    return table(s, d, "visits").select("source_file", "visit_id", "source_type", F.date_trunc("second", times.extractor_timestamp("visit_time")).cast("timestamp_ntz").alias("wall"))
+
+
 def t6_seconds_or_millis(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "visits").select("source_file", "visit_id", F.date_trunc("second", times.seconds_or_millis("visit_time")).cast("timestamp_ntz").alias("wall"))
 
@@ -165,7 +170,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         d_domains, d_redirect_domain, d_first_domain, k1_clean_url, k2_dedup_url, k3_canonical_url, k4_comparison_url, k5_join_url, e1_urls_in_text, e2_hosts_in_text, e3_first_url,
-        p7_generic_filter, p8_skip_filter, p9_usable_urls, p13_needs_resolution, t1_t3_visit_time, t5_extractor_time, t6_seconds_or_millis, t7_zone_conversion, t11_iso_text, t28_timestamp_problems,
+        p7_generic_filter, p8_skip_filter, p9_usable_urls, p13_needs_resolution, t1_t3_visit_time, t5_extractor_time, t5_all_sources, t6_seconds_or_millis, t7_zone_conversion, t11_iso_text, t28_timestamp_problems,
         x1_word_count, x2_content_hash, x3_folded_hash, x4_url_hash, x7_shortened, x8_error_kind, x9_slug, x19_fallback_text, x20_titled_text, c14_proxy_errors,
     ]
 }
@@ -200,6 +205,8 @@ ORACLE = {
         WHEN source_type = 'chrome_json' THEN {WALL.format(us='round(nullif(visit_time, 0) * 1000)')} ELSE {WALL.format(us='trunc(nullif(visit_time, 0))')} END AS wall FROM visits""",
     "t5_extractor_time": f"""SELECT source_file, visit_id, CASE WHEN visit_time > 1e12 THEN {WALL.format(us='round(visit_time * 1000)')} WHEN abs(visit_time) < 2.5e11 THEN
         {WALL.format(us='round((nullif(visit_time, 0) + 978307200) * 1000000)')} END AS wall FROM visits WHERE source_type <> 'safari_json'""",
+    "t5_all_sources": f"""SELECT source_file, visit_id, source_type, CASE WHEN visit_time >= 2.534e14 THEN NULL WHEN visit_time > 1e12 THEN {WALL.format(us='round(visit_time * 1000)')} WHEN abs(visit_time) < 2.5e11 THEN
+        {WALL.format(us='round((nullif(visit_time, 0) + 978307200) * 1000000)')} END AS wall FROM visits""",
     "t6_seconds_or_millis": f"""SELECT source_file, visit_id, CASE WHEN visit_time BETWEEN 1e9 AND 1e10 THEN {WALL.format(us='round(visit_time * 1000000)')} WHEN visit_time > 1e12 AND visit_time < 2.534e14 THEN
         {WALL.format(us='round(visit_time * 1000)')} END AS wall FROM visits""",
     "t7_zone_conversion": "SELECT event_id, timezone('Europe/Copenhagen', ts AT TIME ZONE 'UTC') AS local FROM events",
