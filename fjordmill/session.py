@@ -34,6 +34,16 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+SPREAD_PARTITIONS = 8
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if it is a scan of a few partitions for many cores (a small file with one row group is one task
+    otherwise), so at most ``SPREAD_PARTITIONS`` input splits ever move; larger scans stay as they are. The rows are the same."""
+    have, want = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if have <= SPREAD_PARTITIONS and 2 * have <= want else df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``; a folder of our own only in local mode where that is unset."""
     have = spark.sparkContext.getCheckpointDir()
