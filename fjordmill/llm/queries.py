@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fjordmill.llm import encode, language, mainbody, packing, repeated_lines, residue, spans, truncation
-from fjordmill.session import table
+from fjordmill.session import spread
+from fjordmill.session import table as scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spread(scan(spark, root, name))
+
+
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return truncation.cut_at_limits(table(spark, root, "scraped_cache")).select("row_id", "field")
 
@@ -80,12 +85,12 @@ def p8_decoded(spark: SparkSession, root: str) -> DataFrame:
 def p9_online(spark: SparkSession, root: str) -> DataFrame:
     """p9_containers in plain online order."""
     docs = table(spark, root, "documents")
-    return packing.fill_containers(encode.count_tokens(docs), docs.count(), late=0.0)
+    return packing.fill_containers(encode.count_tokens(docs), scan(spark, root, "documents").count(), late=0.0)
 
 
 def p9_containers(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
-    return packing.fill_containers(encode.count_tokens(docs), docs.count())
+    return packing.fill_containers(encode.count_tokens(docs), scan(spark, root, "documents").count())
 
 
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
