@@ -162,3 +162,66 @@ def test_neighbours_decide_across_blocks(spark):
     assert [r[0] for r in ruled] == [k for k in range(100) if k % 17 and k % 5] and {r[2] for r in ruled} == {"2014-05-03 22:00:00.000000"}
     odd = spark.createDataFrame([(None, "a", "2020-08-05", None), (None, "a", "2020-08-05", "x"), (None, None, "1398826257", None)], "row_id long, source string, date string, scraped_at string")
     assert resolve_moments(odd, zones).count() == 3
+
+
+def test_no_pass_where_rules_prevail(spark, sf, monkeypatch):
+    """With the rules' full cost the chain finds what the rules say of each value by itself, so it isn't passed."""
+    from fjordmill.operators import moments
+    from fjordmill.plans.core import p5_found
+    from fjordmill.session import table
+    from tests.test_plans import plan
+
+    texts = ["03/15/2014", "04/05/2014", "2020-10-25 02:30:00", "2020-03-29 02:30:00", "2021-06-25", "", "recently", "1398826257", "Fri, 03 Oct 2025 08:18:17 EST", None]
+    rows = [(None if k % 29 == 0 else k // 2, ("a", "ny", None, "other")[k % 4], texts[k * 7 % 10], texts[k * k % 9]) for k in range(200)]
+    df = spark.createDataFrame(rows, "row_id long, source string, date string, scraped_at string")
+    zones = spark.createDataFrame([("a", CPH), ("a", "UTC"), ("ny", "America/New_York"), (None, CPH)], "source string, zone string")
+    pages, page_zones = table(spark, sf, "sample_old_facebook"), table(spark, sf, "source_zones")
+    ordered = lambda d: sorted(map(tuple, d.collect()), key=repr)
+
+    with monkeypatch.context() as m:
+        m.setattr(moments, "rules_prevail", lambda rule_cost: False)
+        passed = [ordered(resolve_moments(df, zones, block=7, fan=3)), ordered(resolve_moments(pages, page_zones, block=500))]
+    monkeypatch.setattr(moments, "chain_ends", None)
+    assert [ordered(resolve_moments(df, zones)), ordered(p5_found(spark, sf))] == passed and all(passed)
+    assert "MapInArrow" in (p := plan(p5_found(spark, sf))) and "Exchange hashpartitioning" not in p and "FlatMap" not in p
+
+
+def test_rules_prevail_from_a_cost():
+    """Just above the bound no chain goes against a rule; at the bound and below one may."""
+    from itertools import product
+
+    from fjordmill.operators.moments import BACK_COST, RULE_COST, SKIP_COST, SWITCH_COST, rules_prevail
+
+    bound = max(SKIP_COST, 2 * (SWITCH_COST + BACK_COST))
+    assert rules_prevail(RULE_COST) and rules_prevail(bound + 0.01) and not rules_prevail(bound) and not rules_prevail(0.0)
+
+    def values(cost):
+        return [[("a", 1, 0.0)], [("b", 2, 0.0)], [("a", 3, 0.0), ("b", 0, cost)], [("b", 0, 0.0), ("a", 3, cost)], [("a", 2, cost), (None, 0, SKIP_COST)]]
+
+    def ruled(pick, options):
+        return all(o[k][2] == 0.0 or o[k][0] is None for k, o in zip(pick, options))
+
+    for options in product(values(bound + 0.01), repeat=4):
+        assert ruled(viterbi(list(options)), options)
+    assert not all(ruled(viterbi(list(options)), options) for options in product(values(bound), repeat=4))
+
+
+def test_ends_of_blocks_decide_in_p5_neighbours(spark, tmp_path, monkeypatch):
+    """Where neighbours decide, what the chain says of the ends of blocks shows in the rows."""
+    from functools import partial
+
+    from fjordmill.operators import moments
+    from fjordmill.plans import core
+
+    monkeypatch.setattr(core, "resolve_moments", partial(resolve_moments, block=1, fan=2))
+    rows = [(k, "a", f"03/{15 + k}/2014" if k % 2 else "04/05/2014", None) for k in range(1, 8)]
+    spark.createDataFrame(rows, "row_id long, source string, date string, scraped_at string").write.parquet(f"{tmp_path}/sample_old_facebook.parquet")
+    spark.createDataFrame([("a", "UTC")], "source string, zone string").write.parquet(f"{tmp_path}/source_zones.parquet")
+    got = lambda query: {r["row_id"]: r["utc"][:10] for r in query(spark, str(tmp_path)).collect()}
+    assert got(core.p5_found) == {k: "2014-05-03" for k in (2, 4, 6)}
+    chained = got(core.p5_neighbours)
+    assert len(chained) == 7 and {chained[k] for k in (2, 4, 6)} == {"2014-04-04"}
+    real = moments.chain_ends
+    monkeypatch.setattr(moments, "chain_ends", lambda spans, fan: real(spans, fan).limit(0))
+    alone = got(core.p5_neighbours)
+    assert {alone[k] for k in (2, 4, 6)} == {"2014-05-03"}
